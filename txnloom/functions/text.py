@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 # Fixed value: a comma followed by an even number of double quotes.
 COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
+# The characters Unicode counts as white space or separators.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 _MARK = "\n"
 
 
@@ -43,8 +49,8 @@ def split_csv_line(line: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove all leading and trailing white space, not only spaces."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Remove leading and trailing white space of every kind, not only spaces."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def to_float(text: Column) -> Column:

@@ -1,5 +1,5 @@
 from .ids import fits_broadcast, keep_unseen, require_ids
-from .jdbc import append_jdbc, append_new_jdbc
+from .jdbc import append_jdbc, append_new_jdbc, stored_ids
 from .kafka import kafka_write_options, publish
 from .parquet import append_new, create_table, lookup, read_table, write_partitioned
 
@@ -15,5 +15,6 @@ __all__ = [
     "publish",
     "read_table",
     "require_ids",
+    "stored_ids",
     "write_partitioned",
 ]

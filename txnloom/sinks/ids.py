@@ -15,15 +15,10 @@ def fits_broadcast(
     ids: DataFrame, key: str = KEY, max_rows: int = MAX_BROADCAST_IDS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> bool:
-    """Whether the ids are few and short enough to send to every executor.
-
-    Counts at most ``max_rows + 1`` of them.
-    """
-    size = (
-        ids.limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.sum(F.octet_length(key)).alias("bytes"))
-        .first()
-    )
+    """Whether the ids are few and short enough to send to every executor."""
+    size = ids.agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length(key)).alias("bytes")
+    ).first()
     return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 

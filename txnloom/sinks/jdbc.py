@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -21,23 +19,38 @@ def append_jdbc(
     )
 
 
+def stored_ids(batch: DataFrame, target: JdbcTarget, max_connections: int = 16) -> DataFrame:
+    """The batch's ids that the table already holds.
+
+    The ids are put in a side table and joined inside the database, so the work
+    follows the batch and the table's key index, not the size of the table.
+    """
+    side = f"{target.table}_incoming"
+    (
+        batch.select(KEY)
+        .write.option("numPartitions", max_connections)
+        .option("truncate", True)
+        .jdbc(target.url, side, mode="overwrite", properties=target.properties)
+    )
+    query = f"SELECT t.{KEY} FROM {target.table} t JOIN {side} s ON t.{KEY} = s.{KEY}"
+    return jdbc_query(batch.sparkSession, target, query)
+
+
 def append_new_jdbc(
-    batch: DataFrame,
-    target: JdbcTarget,
-    id_predicates: Sequence[str] | None = None,
-    max_connections: int = 16,
+    batch: DataFrame, target: JdbcTarget, check_existing: bool = True, max_connections: int = 16
 ) -> None:
-    """Insert the rows whose id the table lacks.
+    """Insert the rows whose id the table lacks; ids must be distinct in the batch.
 
-    A batch that failed part-way may have left rows behind; inserting those again
-    would break the primary key. ``id_predicates`` cuts the read of existing ids
-    into disjoint parts, read in parallel.
+    A batch that failed part-way may have left rows behind, and inserting those
+    again would break the primary key.
     """
-    spark = batch.sparkSession
-    rows = require_ids(conform(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = require_ids(conform(batch))
+    if not check_existing:
+        append_jdbc(rows, target, max_connections)
+        return
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        query = f"SELECT {KEY} FROM {target.table}"
-        existing = jdbc_query(spark, target, query, id_predicates)
-        append_jdbc(keep_unseen(rows, existing), target, max_connections)
+        known = stored_ids(rows, target, max_connections)
+        append_jdbc(keep_unseen(rows, known), target, max_connections)
     finally:
         rows.unpersist()

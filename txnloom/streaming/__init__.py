@@ -2,6 +2,7 @@ from .runner import (
     finish,
     jdbc_sink,
     parquet_sink,
+    run_until_stopped,
     start_batches,
     start_console,
     start_files,
@@ -12,6 +13,7 @@ __all__ = [
     "finish",
     "jdbc_sink",
     "parquet_sink",
+    "run_until_stopped",
     "start_batches",
     "start_console",
     "start_files",

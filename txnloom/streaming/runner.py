@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -29,33 +29,45 @@ def start_batches(
     return _writer(df, checkpoint, every, drain).foreachBatch(sink).start()
 
 
-def parquet_sink(path: str, always_check: bool = False) -> BatchSink:
-    """Append micro-batches of distinct ids to a date-partitioned table.
+def _first_call_checks(
+    append: Callable[[DataFrame, bool], None], always_check: bool
+) -> BatchSink:
+    """A batch sink that looks for stored ids in the first batch of each run.
 
     Ids are distinct over all batches of a checkpoint, and only the batch that was
     in flight when the last run ended can be delivered again; it is then the first
-    one of the next run. So a run's first batch is checked against the table and
-    later ones are not. ``always_check`` checks each; it is needed if something
-    else writes to the table too.
+    one of the next run. ``always_check`` looks every time; it is needed if
+    something else writes to the table too.
     """
     first = True
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         nonlocal first
+        append(batch, first or always_check)
+        first = False
+
+    return sink
+
+
+def parquet_sink(path: str, always_check: bool = False) -> BatchSink:
+    """Append micro-batches of distinct ids to a date-partitioned table."""
+
+    def append(batch: DataFrame, check: bool) -> None:
         # Ranging samples its input first; uncached, that would run the state store twice.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            append_new(batch, path, unique=True, check_existing=first or always_check)
+            append_new(batch, path, unique=True, check_existing=check)
         finally:
             batch.unpersist()
-        first = False
 
-    return sink
+    return _first_call_checks(append, always_check)
 
 
-def jdbc_sink(target: JdbcTarget, id_predicates: Sequence[str] | None = None) -> BatchSink:
-    """Append micro-batches to a keyed JDBC table, checking its ids each time."""
-    return lambda batch, batch_id: append_new_jdbc(batch, target, id_predicates)
+def jdbc_sink(target: JdbcTarget, always_check: bool = False) -> BatchSink:
+    """Append micro-batches of distinct ids to a keyed JDBC table."""
+    return _first_call_checks(
+        lambda batch, check: append_new_jdbc(batch, target, check), always_check
+    )
 
 
 def start_files(
@@ -89,3 +101,11 @@ def finish(query: StreamingQuery) -> None:
         query.processAllAvailable()
     finally:
         query.stop()
+
+
+def run_until_stopped(query: StreamingQuery) -> None:
+    """Wait for the query; an interrupt stops it between micro-batches."""
+    try:
+        query.awaitTermination()
+    except KeyboardInterrupt:
+        query.stop()

@@ -110,9 +110,9 @@ def event_calendar(date_part: str, time_part: str) -> str:
     return f"SELECT CAST(event_id AS VARCHAR) AS transaction_id, {parts} FROM events"
 
 
-def keep_first(source: str) -> str:
+def keep_first(source: str, left_out: tuple[str, ...] = (VELOCITY,)) -> str:
     """One row per id: the earliest, ties broken by the other columns in order."""
-    rest = [n for n in FIELD_NAMES if n not in ("transaction_id", "timestamp", VELOCITY)]
+    rest = [n for n in FIELD_NAMES if n not in ("transaction_id", "timestamp", *left_out)]
     order = ", ".join(f"{name} NULLS FIRST" for name in ["timestamp", *rest])
     return (
         f"SELECT * FROM {source} "
@@ -120,17 +120,15 @@ def keep_first(source: str) -> str:
     )
 
 
-def target_ctes(table: str, fx: str, flag, quoted: bool, prefix: str = "") -> str:
-    """CTEs ending in ``{prefix}target``: de-duplicated, dated and converted rows."""
+def target_ctes(table: str, fx: str, flag, quoted: bool) -> str:
+    """CTEs ending in ``target``: de-duplicated, dated and converted rows."""
     typed = listing(NO_VELOCITY, lambda name: as_typed(name, flag, quoted))
     instant = "CAST(substr(timestamp, 1, 19) AS TIMESTAMP)"
     kept = ", ".join(name for name in TARGET_NAMES if name in FIELD_NAMES)
     return (
-        f"{rows_cte(table).replace('tx AS', f'{prefix}tx AS', 1)}, "
-        f"{prefix}typed AS (SELECT {typed} FROM {prefix}tx), "
-        f"{prefix}uniq AS ({keep_first(f'{prefix}typed')}), "
-        f"{prefix}target AS (SELECT {kept}, {calendar(instant, instant)}, "
-        f"amount {fx} rate AS rate_usd FROM {prefix}uniq LEFT JOIN rates USING (currency))"
+        f"{rows_cte(table)}, typed AS (SELECT {typed} FROM tx), uniq AS ({keep_first('typed')}), "
+        f"target AS (SELECT {kept}, {calendar(instant, instant)}, "
+        f"amount {fx} rate AS rate_usd FROM uniq LEFT JOIN rates USING (currency))"
     )
 
 
@@ -139,12 +137,12 @@ def target_sql(table: str, fx: str, flag=loose_bool, quoted: bool = False) -> st
     return f"WITH {RATES_CTE}, {target_ctes(table, fx, flag, quoted)} SELECT {names} FROM target"
 
 
-def amounts_sql(columns: str, join: bool = True) -> str:
-    rate = "LEFT JOIN rates USING (currency)" if join else ""
+def amounts_sql(column: str) -> str:
     return (
         f"WITH {RATES_CTE}, {rows_cte('lineitem')}, "
         f"money AS (SELECT transaction_id, city, {float32('amount')} AS amount, currency FROM tx) "
-        f"SELECT transaction_id, city, amount, currency, {columns} FROM money {rate}"
+        f"SELECT transaction_id, city, amount, currency, {column} "
+        f"FROM money LEFT JOIN rates USING (currency)"
     )
 
 
@@ -153,24 +151,19 @@ EVENT_TARGET = target_sql("events", "*", literal_true)
 
 def idempotent_append_sql() -> str:
     names = ", ".join(TARGET_NAMES)
-    prefixed = ", ".join(
-        "'E' || transaction_id AS transaction_id" if name == "transaction_id" else name
-        for name in TARGET_NAMES
-    )
-    lines = target_ctes("lineitem", "/", loose_bool, True, "line_")
-    events = target_ctes("events", "*", literal_true, False, "event_")
+    others = names.replace("transaction_id", "'E' || transaction_id AS transaction_id")
+    ctes = target_ctes("events", "*", literal_true, False)
     return (
-        f"WITH {RATES_CTE}, {lines}, {events} SELECT {names} FROM line_target "
-        f"UNION ALL SELECT {prefixed} FROM event_target"
+        f"WITH {RATES_CTE}, {ctes} SELECT {names} FROM target "
+        f"UNION ALL SELECT {others} FROM target"
     )
 
 
 def unique_sql() -> str:
-    typed = listing(FIELD_NAMES, lambda name: as_typed(name))
+    typed = listing(FIELD_NAMES, as_typed)
     return (
-        f"WITH {rows_cte('lineitem')}, typed AS (SELECT {typed} FROM tx), "
-        f"uniq AS ({keep_first('typed').replace('is_fraud NULLS', f'{VELOCITY} NULLS FIRST, is_fraud NULLS')}) "
-        f"SELECT * FROM uniq"
+        f"WITH {rows_cte('lineitem')}, typed AS (SELECT {typed} FROM tx) "
+        f"{keep_first('typed', left_out=())}"
     )
 
 

@@ -245,14 +245,12 @@ def sink_foreach_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines go in first, then lines and events together; every id is stored once."""
+    """Events go in, then again together with as many new ids; each id is stored once."""
     path = scratch_path(spark, "append")
-    lines = enrich_csv(spark, sf_dir)
-    events = _event_target(spark, sf_dir).withColumn(
-        "transaction_id", F.concat(F.lit("E"), "transaction_id")
-    )
-    sinks.append_new(lines, path)
-    sinks.append_new(lines.unionByName(events), path)
+    events = _event_target(spark, sf_dir)
+    others = events.withColumn("transaction_id", F.concat(F.lit("E"), "transaction_id"))
+    sinks.append_new(events, path)
+    sinks.append_new(events.unionByName(others), path)
     return sinks.read_table(spark, path)
 
 
