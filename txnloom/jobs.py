@@ -2,20 +2,22 @@
 
 Jobs read messages from a Kafka topic (``--servers``, ``--topic``) or from a
 folder (``--input``), as a stream that runs until stopped, or with ``--drain``
-until the input is used up.
+until the input is used up. ``--batch`` enriches a folder as one batch instead,
+for loads larger than a stream should take at once.
 """
 
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from txnloom import plans, sinks, sources, streaming
 from txnloom.operators import rejected_json
-from txnloom.session import build_session
+from txnloom.session import build_session, size_shuffle
 from txnloom.sources import JdbcTarget
 
 
@@ -31,7 +33,7 @@ def _message_arguments(job: argparse.ArgumentParser, topic: str) -> None:
 
 
 def _stream_arguments(job: argparse.ArgumentParser) -> None:
-    job.add_argument("--checkpoint", required=True, help="shared folder for progress and state")
+    job.add_argument("--checkpoint", help="shared folder for a stream's progress and state")
     job.add_argument("--every", help="micro-batch interval, such as '15 seconds'")
     job.add_argument("--drain", action="store_true", help="stop at the end of the input")
 
@@ -52,6 +54,7 @@ def _enrich_arguments(job: argparse.ArgumentParser, topic: str, fx: str) -> None
     job.add_argument("--spread", type=int, help="slots that split a hot transaction id")
     job.add_argument("--output", help="Parquet table; the default is JDBC from DB_* variables")
     job.add_argument("--always-check", action="store_true", help="others write to the table too")
+    job.add_argument("--batch", action="store_true", help="read --input as one batch")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -86,11 +89,11 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """The job's input as a stream with the payload in ``value``."""
+def messages(spark: SparkSession, args: argparse.Namespace, streaming: bool = True) -> DataFrame:
+    """The job's input with the payload in ``value``."""
     if args.input is None:
-        if args.servers is None:
-            raise SystemExit("name --servers or --input")
+        if args.servers is None or not streaming:
+            raise SystemExit("name --input, or --servers for a stream")
         return sources.kafka_stream(
             spark,
             args.servers,
@@ -99,13 +102,14 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             min_partitions=args.min_partitions,
             max_offsets_per_trigger=args.max_offsets,
         )
-    if args.input_format == "text":
-        return sources.text_lines(
-            spark, args.input, streaming=True, max_files_per_trigger=args.max_files
-        )
-    return sources.parquet_rows(
-        spark, args.input, streaming=True, max_files_per_trigger=args.max_files
-    )
+    read = sources.text_lines if args.input_format == "text" else sources.parquet_rows
+    return read(spark, args.input, streaming=streaming, max_files_per_trigger=args.max_files)
+
+
+def checkpoint(args: argparse.Namespace, name: str) -> str:
+    if args.checkpoint is None:
+        raise SystemExit("a stream needs --checkpoint")
+    return f"{args.checkpoint}/{name}"
 
 
 def _send(out: DataFrame, args: argparse.Namespace) -> None:
@@ -123,7 +127,7 @@ def publish_json(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def publish_lines(spark: SparkSession, args: argparse.Namespace) -> None:
-    lines = sources.text_lines(spark, args.csv)
+    lines = sources.text_lines(spark, args.csv, header=sources.first_line(spark, args.csv))
     if args.limit is not None:
         lines = sources.first_rows(lines, args.limit)
     _send(plans.line_envelope(lines), args)
@@ -131,46 +135,47 @@ def publish_lines(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def normalize(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     out = plans.normalize_messages(messages(spark, args), args.key_column)
+    progress = checkpoint(args, "normalize")
     if args.output is not None:
-        return [
-            streaming.start_files(
-                out, args.output, args.checkpoint, every=args.every, drain=args.drain
-            )
-        ]
-    return [
-        streaming.start_kafka(
-            out, args.servers, args.to_topic, args.checkpoint, args.every, args.drain
-        )
-    ]
-
-
-def _table_sink(args: argparse.Namespace):
-    if args.output is not None:
-        return streaming.parquet_sink(args.output, args.always_check)
-    return streaming.jdbc_sink(JdbcTarget.from_env(), args.always_check)
-
-
-def enrich_json(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
-    payloads = messages(spark, args)
-    rows = plans.enrich_json(
-        payloads,
-        sources.rates_from_csv(spark, args.rates),
-        fx=args.fx,
-        strict=args.strict,
-        with_id_only=args.rejects is not None,
-        spread=args.spread,
+        start = partial(streaming.start_files, out, args.output)
+    else:
+        start = partial(streaming.start_kafka, out, args.servers, args.to_topic)
+    return [start(checkpoint=progress, every=args.every, drain=args.drain)]
+
+
+def _load(
+    spark: SparkSession,
+    args: argparse.Namespace,
+    enrich: Callable[[DataFrame, DataFrame], DataFrame],
+) -> list[StreamingQuery]:
+    """Enrich the input into the target table, as one batch or as a stream."""
+    if args.batch and args.input is not None:
+        size_shuffle(spark, args.input)
+    payloads = messages(spark, args, streaming=not args.batch)
+    rows = enrich(payloads, sources.rates_from_csv(spark, args.rates))
+    rejects = getattr(args, "rejects", None)
+    if args.batch:
+        if args.output is not None:
+            sinks.append_new(rows, args.output, unique=True)
+        else:
+            sinks.append_new_jdbc(rows, JdbcTarget.from_env())
+        if rejects is not None:
+            rejected_json(payloads).write.mode("append").parquet(rejects)
+        return []
+    sink = (
+        streaming.jdbc_sink(JdbcTarget.from_env(), args.always_check)
+        if args.output is None
+        else streaming.parquet_sink(args.output, args.always_check)
     )
     queries = [
-        streaming.start_batches(
-            rows, _table_sink(args), f"{args.checkpoint}/table", args.every, args.drain
-        )
+        streaming.start_batches(rows, sink, checkpoint(args, "table"), args.every, args.drain)
     ]
-    if args.rejects is not None:
+    if rejects is not None:
         queries.append(
             streaming.start_files(
                 rejected_json(payloads),
-                args.rejects,
-                f"{args.checkpoint}/rejects",
+                rejects,
+                checkpoint(args, "rejects"),
                 every=args.every,
                 drain=args.drain,
             )
@@ -178,20 +183,24 @@ def enrich_json(spark: SparkSession, args: argparse.Namespace) -> list[Streaming
     return queries
 
 
+def enrich_json(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    options = {
+        "fx": args.fx,
+        "strict": args.strict,
+        "with_id_only": args.rejects is not None,
+        "spread": args.spread,
+    }
+    return _load(spark, args, partial(plans.enrich_json, **options))
+
+
 def enrich_csv(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
-    rows = plans.enrich_csv(
-        messages(spark, args),
-        sources.rates_from_csv(spark, args.rates),
-        fx=args.fx,
-        unquote=args.unquote,
-        string_rule=args.string_rule,
-        spread=args.spread,
-    )
-    return [
-        streaming.start_batches(
-            rows, _table_sink(args), f"{args.checkpoint}/table", args.every, args.drain
-        )
-    ]
+    options = {
+        "fx": args.fx,
+        "unquote": args.unquote,
+        "string_rule": args.string_rule,
+        "spread": args.spread,
+    }
+    return _load(spark, args, partial(plans.enrich_csv, **options))
 
 
 def check_jdbc(spark: SparkSession, args: argparse.Namespace) -> None:

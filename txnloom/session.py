@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -59,14 +60,40 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
 def is_directory(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is a folder on whichever file system it names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system, jvm_path = _located(spark, path)
     return bool(file_system.getFileStatus(jvm_path).isDirectory())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system, jvm_path = _located(spark, path)
     return bool(file_system.exists(jvm_path))
+
+
+def size_shuffle(
+    spark: SparkSession,
+    *paths: str,
+    partition_bytes: int = 256 * 1024 * 1024,
+    growth: float = 3.0,
+) -> int:
+    """Set the shuffle partition count from the size of a batch job's input.
+
+    De-duplication sends every row through one shuffle, whose tasks adaptive
+    execution can merge but not split, so the count has to come from the data:
+    input bytes, times ``growth`` for decoding compressed files into rows, over
+    the bytes one task should sort. It never goes below the session's setting.
+    """
+    total = 0
+    for path in paths:
+        file_system, jvm_path = _located(spark, path)
+        total += file_system.getContentSummary(jvm_path).getLength()
+    wanted = math.ceil(total * growth / partition_bytes)
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count

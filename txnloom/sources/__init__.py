@@ -1,4 +1,4 @@
-from .files import csv_rows, first_rows, parquet_rows, text_lines
+from .files import csv_rows, first_line, first_rows, parquet_rows, text_lines
 from .jdbc import JdbcTarget, check_connection, jdbc_query
 from .kafka import kafka_read_options, kafka_stream
 from .rates import RATES_DDL, rates_from_csv, rates_from_mapping, rates_from_parquet
@@ -8,6 +8,7 @@ __all__ = [
     "JdbcTarget",
     "check_connection",
     "csv_rows",
+    "first_line",
     "first_rows",
     "jdbc_query",
     "kafka_read_options",

@@ -56,16 +56,23 @@ def text_lines(
     """Raw lines in ``value``, stripped, without header and blank lines.
 
     Files are split between tasks, so a header is known by its text rather than
-    by being first. ``header=None`` keeps every line.
+    by being first; ``first_line`` finds it. ``header=None`` keeps every line.
     """
     lines = _reader(spark, streaming, max_files_per_trigger).text(path)
     value = strip(F.col("value"))
     lines = lines.select(value.alias("value"))
     if header is not None:
-        lines = lines.where(F.col("value") != F.lit(header.strip()))
+        lines = lines.where(F.col("value") != strip(F.lit(header)))
     return lines if keep_blank else lines.where(F.col("value") != "")
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The line a file of ``path`` starts with, to pass as ``header``."""
+    starts = spark.read.text(path).where("_metadata.file_block_start = 0")
+    row = starts.select("value").first()
+    return None if row is None else row["value"]
+
+
 def parquet_rows(
     spark: SparkSession,
     path: str,
