@@ -1,0 +1,113 @@
+"""The command line, with folders in place of topics and databases."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from tests.conftest import values
+from txnloom import jobs, sinks
+from txnloom.schema import HEADER_LINE
+from txnloom.session import scratch_path
+
+
+@pytest.fixture
+def files(tmp_path, payload):
+    lines = [
+        payload(
+            "csv",
+            transaction_id=str(i),
+            timestamp="2024-09-30 00:00:01.034820+02:00",
+            velocity_last_hour="\"{'n': 1, 'm': 2}\"",
+        )
+        for i in (1, 2, 2, 3)
+    ]
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("\n".join([HEADER_LINE, *lines]) + "\n")
+    (tmp_path / "rates").mkdir()
+    (tmp_path / "rates" / "r.csv").write_text("currency,rate\nUSD,1\nEUR,0.5\n")
+    return tmp_path
+
+
+COLUMNS = ("transaction_id", "day", "hour", "rate_usd", "distance_from_home", "transaction_hour")
+ROWS = [(i, 29, 22, 4.0, 12, 3) for i in "123"]
+
+
+@pytest.mark.parametrize("batch", [False, True])
+def test_json_path_end_to_end(spark, files, batch):
+    raw, fixed, table = (str(files / name) for name in ("raw", "fixed", "table"))
+    jobs.run(spark, ["publish-json", "--csv", str(files / "csv"), "--output", raw])
+    jobs.run(
+        spark,
+        ["normalize", "--input", raw, "--output", fixed, "--drain"]
+        + ["--checkpoint", str(files / "check")],
+    )
+    messages = [json.loads(row["value"]) for row in spark.read.parquet(fixed).collect()]
+    assert {m["timestamp"] for m in messages} == {"2024-09-29T22:00:01.034Z"}
+    command = ["enrich-json", "--input", fixed, "--output", table]
+    command += ["--rates", str(files / "rates"), "--fx", "divide"]
+    mode = ["--batch"] if batch else ["--drain", "--checkpoint", str(files / "check")]
+    for _ in range(2):
+        jobs.run(spark, [*command, *mode])
+    assert values(sinks.read_table(spark, table), *COLUMNS) == ROWS
+
+
+@pytest.mark.parametrize("batch", [False, True])
+def test_line_path_end_to_end(spark, files, batch):
+    raw, table = str(files / "raw"), str(files / "table")
+    jobs.run(spark, ["publish-lines", "--csv", str(files / "csv"), "--output", raw])
+    assert spark.read.parquet(raw).count() == 4
+    command = ["enrich-csv", "--input", raw, "--output", table, "--rates", str(files / "rates")]
+    mode = ["--batch"] if batch else ["--drain", "--checkpoint", str(files / "check")]
+    jobs.run(spark, [*command, *mode])
+    assert values(sinks.read_table(spark, table), *COLUMNS) == ROWS
+
+
+def test_json_path_defaults_multiply_and_strict_nulls(spark, files):
+    raw, table = str(files / "raw"), str(files / "table")
+    jobs.run(spark, ["publish-json", "--csv", str(files / "csv"), "--output", raw])
+    jobs.run(
+        spark,
+        ["enrich-json", "--batch", "--strict", "--input", raw, "--output", table]
+        + ["--rates", str(files / "rates")],
+    )
+    got = values(sinks.read_table(spark, table), *COLUMNS[3:])
+    assert got == [(1.0, None, None)] * 3
+
+
+def test_rejects_are_kept(spark, files, payload):
+    raw = scratch_path(spark, "raw")
+    sent = spark.createDataFrame([(payload(),), ("junk",)], "value string")
+    sent.write.parquet(raw)
+    for mode in (["--batch"], ["--drain", "--checkpoint", str(files / "check")]):
+        place = str(files / f"out{len(mode)}")
+        jobs.run(
+            spark,
+            ["enrich-json", "--input", raw, "--output", f"{place}/table", *mode]
+            + ["--rejects", f"{place}/rejects", "--rates", str(files / "rates")],
+        )
+        assert sinks.read_table(spark, f"{place}/table").count() == 1
+        assert values(spark.read.parquet(f"{place}/rejects")) == [("junk",)]
+
+
+def test_limit_caps_a_replay(spark, files):
+    raw = str(files / "raw")
+    jobs.run(spark, ["publish-lines", "--csv", str(files / "csv"), "--output", raw, "--limit", "3"])
+    assert spark.read.parquet(raw).count() == 3
+
+
+@pytest.mark.parametrize(
+    "command",
+    [
+        ["normalize", "--checkpoint", "c"],
+        ["enrich-csv", "--input", "x", "--rates", "r", "--output", "t", "--drain"],
+    ],
+)
+def test_missing_arguments_are_named(spark, files, command):
+    command = [str(files / "csv") if part == "x" else part for part in command]
+    command = [str(files / "rates") if part == "r" else part for part in command]
+    if "--input" in command:
+        command += ["--input-format", "text"]
+    with pytest.raises(SystemExit, match="--"):
+        jobs.run(spark, command)

@@ -1,0 +1,27 @@
+"""Every registered query against its SQL, over the whole smallest tables."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.oracle_check import compare, connect
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_sql(spark, con, sf_dir, name):
+    query, sql = entry.queries()[name], entry.oracle_sql()[name]
+    assert compare(spark, con, name, query, sql, sf_dir) is None
+
+
+def test_entry_runs(spark):
+    assert entry.entry(spark).count() > 0

@@ -1,0 +1,201 @@
+"""Streams give what batches give; restarts and redeliveries add nothing."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import values
+from txnloom import operators as op
+from txnloom import plans, sinks, sources, streaming
+from txnloom.schema import TARGET_NAMES
+from txnloom.session import scratch_path
+from workload import queries as q
+from workload.tables import read_rows
+
+
+def drain(df, out, checkpoint):
+    streaming.start_files(df, out, checkpoint, drain=True).awaitTermination()
+
+
+def message_folder(spark, *batches):
+    """A folder of message files, one file per batch of payloads, and a way to add more."""
+    folder = scratch_path(spark, "messages")
+
+    def add(*payloads):
+        df = spark.createDataFrame([(p,) for p in payloads], "value string")
+        df.coalesce(1).write.mode("append").parquet(folder)
+
+    for batch in batches:
+        add(*batch)
+    return folder, add
+
+
+def stream_of(spark, folder, **limits):
+    return sources.parquet_rows(spark, folder, "value string", streaming=True, **limits)
+
+
+@pytest.mark.parametrize("name", ["json", "csv", "normalize"])
+def test_stream_equals_batch(spark, sf_dir, rates, name):
+    def build(streaming):
+        rows = read_rows(spark, sf_dir, "events", streaming=streaming)
+        if name == "json":
+            return plans.enrich_json(q.json_payloads(q.twice(rows)), rates)
+        if name == "csv":
+            return plans.enrich_csv(q.line_payloads(q.twice(rows)), rates)
+        return plans.normalize_messages(q.json_payloads(rows))
+
+    out = scratch_path(spark, "out")
+    drain(build(True), out, scratch_path(spark, "check"))
+    batch = build(False)
+    assert values(spark.read.parquet(out), *batch.columns) == values(batch)
+
+
+def ids(spark, folder, payload):
+    return op.drop_repeated_ids(
+        op.parse_json(stream_of(spark, folder), velocity=False).select("transaction_id")
+    )
+
+
+def test_restart_emits_only_unseen_ids(spark, payload):
+    def sent(i):
+        return payload(transaction_id=i)
+
+    folder, add = message_folder(spark, [sent("1"), sent("1"), sent("2"), "not json", "[]"])
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "check")
+    drain(ids(spark, folder, payload), out, checkpoint)
+    assert values(spark.read.parquet(out)) == [("1",), ("2",), (None,)]
+    add(sent("2"), sent("3"), "not json")
+    drain(ids(spark, folder, payload), out, checkpoint)
+    assert values(spark.read.parquet(out)) == [("1",), ("2",), ("3",), (None,)]
+    anew = scratch_path(spark, "out")
+    drain(ids(spark, folder, payload), anew, scratch_path(spark, "check"))
+    assert values(spark.read.parquet(anew)) == [("1",), ("2",), ("3",), (None,)]
+
+
+def test_hot_ids_spread_over_slots_are_still_unique(spark):
+    folder = scratch_path(spark, "hot")
+    hot = spark.range(3000).select(
+        F.when(F.col("id") < 2000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias(
+            "transaction_id"
+        )
+    )
+    for _ in range(2):
+        hot.repartition(6).write.mode("append").parquet(folder)
+    stream = sources.parquet_rows(spark, folder, streaming=True, max_files_per_trigger=4)
+    out = scratch_path(spark, "out")
+    drain(op.drop_repeated_ids_spread(stream, spread=4), out, scratch_path(spark, "check"))
+    got = spark.read.parquet(out)
+    assert got.count() == 1001 and got.distinct().count() == 1001
+
+
+def test_bounded_state_drops_repeats_within_the_delay(spark, payload):
+    folder, _ = message_folder(
+        spark,
+        [payload(transaction_id="1"), payload(transaction_id="1"), payload(transaction_id="2")],
+    )
+    rows = op.parse_json(stream_of(spark, folder)).select("transaction_id", "timestamp")
+    out = scratch_path(spark, "out")
+    drain(op.drop_repeated_ids_within(rows, "1 hour"), out, scratch_path(spark, "check"))
+    assert values(spark.read.parquet(out), "transaction_id") == [("1",), ("2",)]
+
+
+def table_stream(spark, folder, rates, **options):
+    return plans.enrich_json(stream_of(spark, folder), rates, **options)
+
+
+def load(spark, folder, rates, path, checkpoint, **options):
+    streaming.start_batches(
+        table_stream(spark, folder, rates, **options),
+        streaming.parquet_sink(path),
+        checkpoint,
+        drain=True,
+    ).awaitTermination()
+
+
+def test_micro_batches_append_to_the_table(spark, rates, payload):
+    folder, add = message_folder(spark, [payload(transaction_id=i) for i in "112"])
+    path, checkpoint = scratch_path(spark, "table"), scratch_path(spark, "check")
+    load(spark, folder, rates, path, checkpoint)
+    add(*(payload(transaction_id=i) for i in "234"))
+    load(spark, folder, rates, path, checkpoint)
+    table = sinks.read_table(spark, path)
+    assert table.columns == list(TARGET_NAMES)
+    assert values(table, "transaction_id") == [("1",), ("2",), ("3",), ("4",)]
+
+
+def test_a_lost_checkpoint_does_not_repeat_rows(spark, rates, payload):
+    folder, _ = message_folder(spark, [payload(transaction_id=i) for i in "123"])
+    path = scratch_path(spark, "table")
+    for _ in range(2):
+        load(spark, folder, rates, path, scratch_path(spark, "check"))
+    assert values(sinks.read_table(spark, path), "transaction_id") == [("1",), ("2",), ("3",)]
+
+
+def test_a_batch_that_fails_after_writing_is_not_repeated(spark, rates, payload):
+    folder, _ = message_folder(spark, [payload(transaction_id=i) for i in "123"])
+    path, checkpoint = scratch_path(spark, "table"), scratch_path(spark, "check")
+    whole = streaming.parquet_sink(path)
+
+    def written_but_not_committed(batch, batch_id):
+        whole(batch, batch_id)
+        raise RuntimeError("lost after the write")
+
+    query = streaming.start_batches(
+        table_stream(spark, folder, rates), written_but_not_committed, checkpoint, drain=True
+    )
+    with pytest.raises(Exception, match="lost after the write"):
+        query.awaitTermination()
+    load(spark, folder, rates, path, checkpoint)
+    assert values(sinks.read_table(spark, path), "transaction_id") == [("1",), ("2",), ("3",)]
+
+
+def test_only_the_first_batch_of_a_run_looks_at_the_table(spark, rates, payload, monkeypatch):
+    looked = []
+
+    def record(batch, path, unique, check_existing):
+        looked.append(check_existing)
+        batch.count()
+
+    monkeypatch.setattr("txnloom.streaming.runner.append_new", record)
+    folder, add = message_folder(spark, [payload(transaction_id="1")])
+    add(payload(transaction_id="2"))
+    add(payload(transaction_id="3"))
+    rows = plans.enrich_json(stream_of(spark, folder, max_files_per_trigger=1), rates)
+    for always in (False, True):
+        streaming.start_batches(
+            rows, streaming.parquet_sink("t", always), scratch_path(spark, "check"), drain=True
+        ).awaitTermination()
+    assert looked == [True, False, False, True, True, True]
+
+
+def test_payloads_without_an_id_go_beside_the_table(spark, rates, payload):
+    folder, _ = message_folder(spark, [payload(), "not json", "not json", None])
+    path, rejects = scratch_path(spark, "table"), scratch_path(spark, "rejects")
+    load(spark, folder, rates, path, scratch_path(spark, "check"), with_id_only=True, spread=2)
+    drain(op.rejected_json(stream_of(spark, folder)), rejects, scratch_path(spark, "check"))
+    assert values(sinks.read_table(spark, path), "transaction_id") == [("t1",)]
+    assert values(spark.read.parquet(rejects)) == [("not json",), ("not json",), (None,)]
+
+
+def test_paced_stream_can_be_finished(spark, payload):
+    folder, _ = message_folder(spark, [payload()])
+    seen = []
+    query = streaming.start_batches(
+        stream_of(spark, folder),
+        lambda batch, batch_id: seen.append(batch.count()),
+        scratch_path(spark, "check"),
+        every="1 second",
+    )
+    streaming.finish(query)
+    assert not query.isActive and sum(seen) == 1
+
+
+def test_console_preview(spark, payload):
+    folder, _ = message_folder(spark, [payload()])
+    query = streaming.start_console(
+        stream_of(spark, folder), scratch_path(spark, "check"), drain=True
+    )
+    query.awaitTermination()
+    progress = query.lastProgress
+    assert "Console" in progress["sink"]["description"] and progress["numInputRows"] == 1
