@@ -156,7 +156,7 @@ def _load(
     rejects = getattr(args, "rejects", None)
     if args.batch:
         if args.output is not None:
-            sinks.append_new(rows, args.output, unique=True)
+            sinks.append_new(rows, args.output, unique=True, bulk=True)
         else:
             sinks.append_new_jdbc(rows, JdbcTarget.from_env())
         if rejects is not None:

@@ -46,18 +46,24 @@ def drop_repeated_ids_within(
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def drop_repeated_ids_spread(df: DataFrame, key: str = KEY, spread: int = 16) -> DataFrame:
+def drop_repeated_ids_spread(
+    df: DataFrame, key: str = KEY, spread: int = 16, memory: str = "1 hour"
+) -> DataFrame:
     """Stream form for hot ids: two stages, the first over ``(id, slot)``.
 
     A stream has no pre-shuffle combine, so every copy of an id goes to one task.
     Here copies first meet in ``spread`` slots taken from the input task number,
-    and at most ``spread`` of them go on to the second stage. It costs a second
-    state store, so use it where single ids hold a large share of the rows.
+    and only what is new to a slot goes on. The first stage forgets after
+    ``memory`` of processing time, the second never does, so the result is the
+    full de-duplication. ``memory`` must exceed any step back of the driver's
+    clock. It costs one more shuffle and short-lived state: about twice the time
+    where ids are not hot.
     """
     slot = F.pmod(F.spark_partition_id(), F.lit(spread))
     return (
-        df.withColumn("_slot", slot)
-        .dropDuplicates([key, "_slot"])
-        .drop("_slot")
+        df.withColumns({"_slot": slot, "_seen": F.current_timestamp()})
+        .withWatermark("_seen", memory)
+        .dropDuplicatesWithinWatermark([key, "_slot"])
+        .drop("_slot", "_seen")
         .dropDuplicates([key])
     )

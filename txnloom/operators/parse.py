@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import (
@@ -28,6 +28,16 @@ STRICT_NUMBERS = ("amount", "distance_from_home")
 _CASTS = {"float": to_float, "int": to_int, "boolean": to_bool}
 
 
+def _expand(df: DataFrame, record: Column, *keep: str) -> DataFrame:
+    """Turn a struct column into the frame's columns, next to those in ``keep``.
+
+    ``inline`` over a one-element array, rather than ``select("record.*")``: a
+    filter on a field is pushed down through a projection and would decode the
+    payload a second time to evaluate it. A null struct gives a row of nulls.
+    """
+    return df.select(*keep, F.inline(F.array(record)))
+
+
 def payload_to_string(df: DataFrame, column: str = "value") -> DataFrame:
     """Read a binary payload column as UTF-8 text."""
     return df.withColumn(column, F.col(column).cast("string"))
@@ -47,13 +57,11 @@ def parse_json(
     """
     wanted = [(name, kind) for name, kind in TRANSACTION if velocity or name != VELOCITY]
     if strict:
-        decoded = F.from_json(F.col(column), ddl(wanted))
-        return df.select(decoded.alias("decoded")).select("decoded.*")
+        return _expand(df, F.from_json(F.col(column), ddl(wanted)))
     tokens = [
         (name, "string" if kind in _CASTS or name == VELOCITY else kind) for name, kind in wanted
     ]
-    decoded = F.from_json(F.col(column), ddl(tokens))
-    fields = df.select(decoded.alias("decoded")).select("decoded.*")
+    fields = _expand(df, F.from_json(F.col(column), ddl(tokens)))
     if velocity:
         fields = fields.withColumn(VELOCITY, F.from_json(VELOCITY, "map<string,string>"))
     return cast_fields(fields)
@@ -67,12 +75,12 @@ def parse_csv_line(df: DataFrame, column: str = "value", unquote: bool = False)
     text, or null with ``unquote``.
     """
     if unquote:
-        record = F.from_csv(F.col(column), all_string_ddl(), {"escape": '"'})
-        return df.select(record.alias("record")).select("record.*")
+        return _expand(df, F.from_csv(F.col(column), all_string_ddl(), {"escape": '"'}))
     fields = df.select(split_csv_line(F.col(column)).alias("fields"))
-    return fields.select(
+    record = F.struct(
         *(F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(FIELD_NAMES))
     )
+    return _expand(fields, record)
 
 
 def cast_fields(df: DataFrame) -> DataFrame:
@@ -127,5 +135,4 @@ def parse_wire_json(
 
     ``keep`` names columns of the frame to carry along, such as a message key.
     """
-    decoded = F.from_json(F.col(column), ddl(WIRE))
-    return df.select(*keep, decoded.alias("decoded")).select(*keep, "decoded.*")
+    return _expand(df, F.from_json(F.col(column), ddl(WIRE)), *keep)

@@ -40,7 +40,14 @@ def keep_unseen(
     return batch.join(known, key, "left_anti")
 
 
-def require_ids(batch: DataFrame, key: str = KEY) -> DataFrame:
-    """Fail the write if a row has no id, as a primary key does."""
-    present = F.coalesce(F.col(key), F.raise_error(F.lit(f"{key} is null")).cast("string"))
-    return batch.withColumn(key, present)
+def require_ids(batch: DataFrame, key: str = KEY, carrier: str = "rate_usd") -> DataFrame:
+    """Fail the write if a row has no id, as a primary key does.
+
+    The check rides on another computed column. On the id itself it would undo
+    the partitioning by id, and as a filter it would be pushed down to the
+    payload and decode that twice.
+    """
+    failure = F.raise_error(F.lit(f"{key} is null")).cast(batch.schema[carrier].dataType)
+    return batch.withColumn(
+        carrier, F.when(F.col(key).isNull(), failure).otherwise(F.col(carrier))
+    )

@@ -34,25 +34,35 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_new(
-    batch: DataFrame, path: str, unique: bool = False, check_existing: bool = True
+    batch: DataFrame,
+    path: str,
+    unique: bool = False,
+    check_existing: bool = True,
+    bulk: bool = False,
 ) -> None:
     """Append the rows whose id the table lacks, so a repeated append adds nothing.
 
     Set ``unique`` if ids are already distinct within the batch, and unset
     ``check_existing`` if none of them can be in the table yet. A null id fails
-    the append.
+    the append. A batch is cached while its ids are looked up in the table;
+    ``bulk`` is for loads too large for that: the table's ids are shuffled to
+    join the rows, which de-duplication has already put in place by id.
     """
     spark = batch.sparkSession
     rows = require_ids(conform(batch if unique else drop_repeated_ids(batch)))
     if not check_existing or not path_exists(spark, path):
         write_partitioned(rows, path)
         return
-    # The check reads the rows several times; a cached batch needs no second copy.
+    table = read_table(spark, path)
+    if bulk:
+        write_partitioned(rows.join(table.select(KEY), KEY, "left_anti"), path)
+        return
+    # The lookup reads the rows several times; a cached batch needs no second copy.
     own_copy = not (unique and batch.is_cached)
     if own_copy:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_partitioned(keep_unseen(rows, read_table(spark, path)), path)
+        write_partitioned(keep_unseen(rows, table), path)
     finally:
         if own_copy:
             rows.unpersist()
