@@ -97,10 +97,23 @@ def test_limit_caps_a_replay(spark, files):
     assert spark.read.parquet(raw).count() == 3
 
 
+@pytest.mark.parametrize("job", ["publish-json", "publish-lines"])
+def test_publishing_as_a_paced_stream(spark, files, job):
+    source = files / "csv"
+    (source / "b.csv").write_text((source / "a.csv").read_text())
+    raw, check = str(files / "raw"), str(files / "check")
+    command = [job, "--csv", str(source), "--output", raw, "--checkpoint", check]
+    for _ in range(2):
+        jobs.run(spark, [*command, "--drain", "--max-files", "1"])
+    assert spark.read.parquet(raw).count() == 8
+    assert len(list((files / "check" / "commits").glob("[0-9]"))) == 2
+
+
 @pytest.mark.parametrize(
     "command",
     [
         ["normalize", "--checkpoint", "c"],
+        ["publish-lines", "--csv", "x", "--limit", "1", "--checkpoint", "c"],
         ["enrich-csv", "--input", "x", "--rates", "r", "--output", "t", "--drain"],
     ],
 )

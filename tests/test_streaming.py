@@ -199,3 +199,18 @@ def test_console_preview(spark, payload):
     query.awaitTermination()
     progress = query.lastProgress
     assert "Console" in progress["sink"]["description"] and progress["numInputRows"] == 1
+
+
+def test_a_failed_query_stops_its_companion(spark, payload):
+    folder, _ = message_folder(spark, [payload()])
+
+    def fail(batch, batch_id):
+        raise RuntimeError("sink is down")
+
+    steady = streaming.start_batches(
+        stream_of(spark, folder), lambda batch, _: batch.count(), scratch_path(spark, "check")
+    )
+    failing = streaming.start_batches(stream_of(spark, folder), fail, scratch_path(spark, "check"))
+    with pytest.raises(Exception, match="sink is down"):
+        streaming.run_until_stopped(steady, failing)
+    assert not steady.isActive

@@ -1,14 +1,19 @@
-"""Command line: ``spark-submit txnloom/jobs.py <job> ...`` or ``python -m txnloom.jobs <job>``.
+"""Command line: ``python -m txnloom.jobs <job> ...``.
+
+On a cluster: ``spark-submit --py-files txnloom.zip txnloom/jobs.py <job> ...``.
 
 Jobs read messages from a Kafka topic (``--servers``, ``--topic``) or from a
 folder (``--input``), as a stream that runs until stopped, or with ``--drain``
 until the input is used up. ``--batch`` enriches a folder as one batch instead,
-for loads larger than a stream should take at once.
+for loads larger than a stream should take at once. Publishing is one batch, or
+with ``--checkpoint`` a stream over the folder, paced by ``--max-files`` and
+``--every``.
 """
 
 from __future__ import annotations
 
 import argparse
+import signal
 from collections.abc import Callable, Sequence
 from functools import partial
 
@@ -43,7 +48,9 @@ def _publish_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--servers", help="Kafka bootstrap servers")
     job.add_argument("--to-topic", default="raw-transactions")
     job.add_argument("--output", help="Parquet folder to write instead of a topic")
-    job.add_argument("--limit", type=int, help="publish at most this many rows")
+    job.add_argument("--limit", type=int, help="publish at most this many rows, in one batch")
+    job.add_argument("--max-files", type=int, help="files per micro-batch")
+    _stream_arguments(job)
 
 
 def _enrich_arguments(job: argparse.ArgumentParser, topic: str, fx: str) -> None:
@@ -112,35 +119,58 @@ def checkpoint(args: argparse.Namespace, name: str) -> str:
     return f"{args.checkpoint}/{name}"
 
 
-def _send(out: DataFrame, args: argparse.Namespace) -> None:
+def _forward(
+    out: DataFrame, args: argparse.Namespace, progress: str | None
+) -> list[StreamingQuery]:
+    """Send messages to the job's folder or topic, as a stream if they are one."""
+    if not out.isStreaming:
+        if args.output is not None:
+            out.write.mode("append").parquet(args.output)
+        else:
+            sinks.publish(out, args.servers, args.to_topic)
+        return []
     if args.output is not None:
-        out.write.mode("append").parquet(args.output)
+        start = partial(streaming.start_files, out, args.output)
     else:
-        sinks.publish(out, args.servers, args.to_topic)
+        start = partial(streaming.start_kafka, out, args.servers, args.to_topic)
+    return [start(checkpoint=progress, every=args.every, drain=args.drain)]
+
+
+def _capped(rows: DataFrame, args: argparse.Namespace) -> DataFrame:
+    if args.limit is None:
+        return rows
+    if rows.isStreaming:
+        raise SystemExit("--limit needs one batch: leave out --checkpoint")
+    return sources.first_rows(rows, args.limit)
 
 
-def publish_json(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = sources.csv_rows(spark, args.csv, multiline=args.multiline)
-    if args.limit is not None:
-        rows = sources.first_rows(rows, args.limit)
-    _send(plans.publish_json(rows, args.key_column), args)
+def publish_json(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    rows = sources.csv_rows(
+        spark,
+        args.csv,
+        streaming=args.checkpoint is not None,
+        multiline=args.multiline,
+        max_files_per_trigger=args.max_files,
+    )
+    return _forward(
+        plans.publish_json(_capped(rows, args), args.key_column), args, args.checkpoint
+    )
 
 
-def publish_lines(spark: SparkSession, args: argparse.Namespace) -> None:
-    lines = sources.text_lines(spark, args.csv, header=sources.first_line(spark, args.csv))
-    if args.limit is not None:
-        lines = sources.first_rows(lines, args.limit)
-    _send(plans.line_envelope(lines), args)
+def publish_lines(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    lines = sources.text_lines(
+        spark,
+        args.csv,
+        header=sources.first_line(spark, args.csv),
+        streaming=args.checkpoint is not None,
+        max_files_per_trigger=args.max_files,
+    )
+    return _forward(plans.line_envelope(_capped(lines, args)), args, args.checkpoint)
 
 
 def normalize(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     out = plans.normalize_messages(messages(spark, args), args.key_column)
-    progress = checkpoint(args, "normalize")
-    if args.output is not None:
-        start = partial(streaming.start_files, out, args.output)
-    else:
-        start = partial(streaming.start_kafka, out, args.servers, args.to_topic)
-    return [start(checkpoint=progress, every=args.every, drain=args.drain)]
+    return _forward(out, args, checkpoint(args, "normalize"))
 
 
 def _load(
@@ -219,9 +249,14 @@ JOBS = {
 
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    for query in JOBS[args.job](spark, args) or ():
-        streaming.run_until_stopped(query)
+    streaming.run_until_stopped(*(JOBS[args.job](spark, args) or ()))
 
 
-if __name__ == "__main__":
+def main() -> None:
+    parser().parse_args()  # reject bad arguments before a session starts
+    signal.signal(signal.SIGTERM, signal.default_int_handler)
     run(build_session())
+
+
+if __name__ == "__main__":
+    main()

@@ -103,9 +103,16 @@ def finish(query: StreamingQuery) -> None:
         query.stop()
 
 
-def run_until_stopped(query: StreamingQuery) -> None:
-    """Wait for the query; an interrupt stops it between micro-batches."""
+def run_until_stopped(*queries: StreamingQuery) -> None:
+    """Wait for all queries; a failure or an interrupt stops the others too."""
     try:
-        query.awaitTermination()
+        while any(query.isActive for query in queries):
+            for query in queries:
+                query.awaitTermination(1)
+        for query in queries:
+            query.awaitTermination()
     except KeyboardInterrupt:
-        query.stop()
+        pass
+    finally:
+        for query in queries:
+            query.stop()
