@@ -84,6 +84,7 @@ NORMAL = {
     "1969-12-31T23:59:59.9995+00:00": "1969-12-31T23:59:59.999Z",
     "zzz": None,
     "12:30": None,
+    "T12:30:00": None,
 }
 
 

@@ -69,7 +69,9 @@ def test_bulk_append_moves_rows_once_by_id_and_once_into_ranges(spark, sf_dir, c
     path = scratch_path(spark, "table")
     sinks.write_partitioned(q._event_target(spark, sf_dir), path)
     written = []
-    monkeypatch.setattr("txnloom.sinks.parquet.write_partitioned", lambda df, _: written.append(df))
+    monkeypatch.setattr(
+        "txnloom.sinks.parquet.write_partitioned", lambda df, _, **more: written.append(df)
+    )
     sinks.append_new(rows, path, unique=True, bulk=True)
     plan = plan_of(written[0])
     assert "SortMergeJoin" in plan and "LeftAnti" in plan

@@ -120,6 +120,13 @@ def test_a_heavy_day_is_written_by_many_tasks_over_disjoint_ids(spark, conf):
     assert all(a["high"] < b["low"] for a, b in zip(files, files[1:]))
 
 
+def test_the_number_of_ranges_can_be_fixed(spark):
+    rows = target_rows(spark, *(str(i) for i in range(100)))
+    path = scratch_path(spark, "t")
+    sinks.append_new(rows, path, ranges=3)
+    assert len(spark.read.parquet(path).inputFiles()) == 3
+
+
 def test_json_envelope_writes_nulls_and_keeps_other_alphabets(spark):
     df = spark.createDataFrame([("é", None, 12.0)], "a string, b string, c double")
     row = plans.json_envelope(df).first()
@@ -211,6 +218,19 @@ def test_jdbc_append_skips_ids_the_table_holds(spark):
             sinks.append_new_jdbc(target_rows(spark, "1", None), target)
 
 
+def test_jdbc_table_statements():
+    create, index = sinks.table_statements("t")
+    assert create.startswith("CREATE TABLE IF NOT EXISTS t (transaction_id TEXT PRIMARY KEY, ")
+    assert create.count(",") == 27 and "amount FLOAT, " in create and "hour INT, " in create
+    assert index.endswith("ON t (transaction_id, year, month, day)")
+    spark = mock.Mock()
+    sinks.create_table_jdbc(spark, JdbcTarget("jdbc:x", table="t"))
+    assert [call.args for call in spark.read.option.call_args_list] == [
+        ("sessionInitStatement", create),
+        ("sessionInitStatement", index),
+    ]
+
+
 def test_whole_table_twice_is_stored_once(spark, sf_dir):
     path = scratch_path(spark, "t")
     rows = _event_target(spark, sf_dir)

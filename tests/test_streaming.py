@@ -153,7 +153,7 @@ def test_a_batch_that_fails_after_writing_is_not_repeated(spark, rates, payload)
 def test_only_the_first_batch_of_a_run_looks_at_the_table(spark, rates, payload, monkeypatch):
     looked = []
 
-    def record(batch, path, unique, check_existing):
+    def record(batch, path, unique, check_existing, ranges):
         looked.append(check_existing)
         batch.count()
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a calendar date, optionally followed by a time of day and an offset.
-ISO_DATE_START = r"^\s*\d{4}-\d{2}-\d{2}"
+# Event times start with a four-digit year.
+YEAR_FIRST = r"^\s*\d{4}"
 
 
 def to_instant(text: Column) -> Column:
     """ISO-8601 text as a timestamp; text without an offset is session-local.
 
-    Text that does not start with a date is null: Spark would otherwise read a
+    Text that does not start with a year is null: Spark would otherwise read a
     bare ``12:30`` as today's 12:30.
     """
-    return F.when(text.rlike(ISO_DATE_START), text.try_cast("timestamp"))
+    return F.when(text.rlike(YEAR_FIRST), text.try_cast("timestamp"))
 
 
 def utc_millis_text(instant: Column) -> Column:

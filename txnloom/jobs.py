@@ -25,6 +25,10 @@ from txnloom.operators import rejected_json
 from txnloom.session import build_session, size_shuffle
 from txnloom.sources import JdbcTarget
 
+# The topics messages are published to and read from.
+RAW_TOPIC = "raw-transactions"
+NORMALIZED_TOPIC = "process-transactions"
+
 
 def _message_arguments(job: argparse.ArgumentParser, topic: str) -> None:
     job.add_argument("--servers", help="Kafka bootstrap servers")
@@ -46,7 +50,7 @@ def _stream_arguments(job: argparse.ArgumentParser) -> None:
 def _publish_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--csv", required=True, help="CSV files with a header line")
     job.add_argument("--servers", help="Kafka bootstrap servers")
-    job.add_argument("--to-topic", default="raw-transactions")
+    job.add_argument("--to-topic", default=RAW_TOPIC)
     job.add_argument("--output", help="Parquet folder to write instead of a topic")
     job.add_argument("--limit", type=int, help="publish at most this many rows, in one batch")
     job.add_argument("--max-files", type=int, help="files per micro-batch")
@@ -60,6 +64,7 @@ def _enrich_arguments(job: argparse.ArgumentParser, topic: str, fx: str) -> None
     job.add_argument("--fx", default=fx, choices=("divide", "multiply"))
     job.add_argument("--spread", type=int, help="slots that split a hot transaction id")
     job.add_argument("--output", help="Parquet table; the default is JDBC from DB_* variables")
+    job.add_argument("--ranges", type=int, help="id ranges, hence files, per Parquet append")
     job.add_argument("--always-check", action="store_true", help="others write to the table too")
     job.add_argument("--batch", action="store_true", help="read --input as one batch")
 
@@ -76,22 +81,23 @@ def parser() -> argparse.ArgumentParser:
     _publish_arguments(jobs.add_parser("publish-lines", help="CSV lines to messages as they are"))
 
     job = jobs.add_parser("normalize", help="timestamps in JSON messages to UTC")
-    _message_arguments(job, "raw-transactions")
+    _message_arguments(job, RAW_TOPIC)
     _stream_arguments(job)
-    job.add_argument("--to-topic", default="process-transactions")
+    job.add_argument("--to-topic", default=NORMALIZED_TOPIC)
     job.add_argument("--output", help="Parquet folder to write instead of a topic")
     job.add_argument("--key-column", help="field to key messages by")
 
     job = jobs.add_parser("enrich-json", help="JSON messages to the target table")
-    _enrich_arguments(job, "process-transactions", "multiply")
+    _enrich_arguments(job, NORMALIZED_TOPIC, "multiply")
     job.add_argument("--strict", action="store_true", help="null where a token's type differs")
     job.add_argument("--rejects", help="Parquet folder for payloads without an id")
 
     job = jobs.add_parser("enrich-csv", help="CSV lines to the target table")
-    _enrich_arguments(job, "raw-transactions", "divide")
+    _enrich_arguments(job, RAW_TOPIC, "divide")
     job.add_argument("--string-rule", action="store_true", help="date as written, time in zone")
     job.add_argument("--unquote", action="store_true", help="remove quotes from fields")
 
+    jobs.add_parser("create-table", help="create the target table in the database")
     jobs.add_parser("check-jdbc", help="connect to the database and show its version")
     return top
 
@@ -186,7 +192,7 @@ def _load(
     rejects = getattr(args, "rejects", None)
     if args.batch:
         if args.output is not None:
-            sinks.append_new(rows, args.output, unique=True, bulk=True)
+            sinks.append_new(rows, args.output, unique=True, bulk=True, ranges=args.ranges)
         else:
             sinks.append_new_jdbc(rows, JdbcTarget.from_env())
         if rejects is not None:
@@ -195,7 +201,7 @@ def _load(
     sink = (
         streaming.jdbc_sink(JdbcTarget.from_env(), args.always_check)
         if args.output is None
-        else streaming.parquet_sink(args.output, args.always_check)
+        else streaming.parquet_sink(args.output, args.always_check, args.ranges)
     )
     queries = [
         streaming.start_batches(rows, sink, checkpoint(args, "table"), args.every, args.drain)
@@ -233,6 +239,10 @@ def enrich_csv(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQ
     return _load(spark, args, partial(plans.enrich_csv, **options))
 
 
+def create_table(spark: SparkSession, args: argparse.Namespace) -> None:
+    sinks.create_table_jdbc(spark, JdbcTarget.from_env())
+
+
 def check_jdbc(spark: SparkSession, args: argparse.Namespace) -> None:
     sources.check_connection(spark, JdbcTarget.from_env())
 
@@ -243,6 +253,7 @@ JOBS = {
     "normalize": normalize,
     "enrich-json": enrich_json,
     "enrich-csv": enrich_csv,
+    "create-table": create_table,
     "check-jdbc": check_jdbc,
 }
 

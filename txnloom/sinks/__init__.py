@@ -1,5 +1,5 @@
 from .ids import fits_broadcast, keep_unseen, require_ids
-from .jdbc import append_jdbc, append_new_jdbc, stored_ids
+from .jdbc import append_jdbc, append_new_jdbc, create_table_jdbc, stored_ids, table_statements
 from .kafka import kafka_write_options, publish
 from .parquet import append_new, create_table, lookup, read_table, write_partitioned
 
@@ -8,6 +8,7 @@ __all__ = [
     "append_new",
     "append_new_jdbc",
     "create_table",
+    "create_table_jdbc",
     "fits_broadcast",
     "kafka_write_options",
     "keep_unseen",
@@ -16,5 +17,6 @@ __all__ = [
     "read_table",
     "require_ids",
     "stored_ids",
+    "table_statements",
     "write_partitioned",
 ]

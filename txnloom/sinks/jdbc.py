@@ -3,13 +3,44 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ..schema import KEY, conform
+from ..schema import KEY, PARTITION_COLUMNS, TARGET, conform
 from ..sources.jdbc import JdbcTarget, jdbc_query
 from .ids import keep_unseen, require_ids
 
 
+# Column types and index name of the target table in PostgreSQL.
+SQL_TYPES = {"string": "TEXT", "double": "FLOAT", "boolean": "BOOLEAN", "int": "INT"}
+DATE_INDEX = "idx_transaction_date"
+
+
+def table_statements(table: str) -> tuple[str, str]:
+    """SQL that creates the keyed table and its lookup index unless they exist."""
+    columns = ", ".join(
+        f"{name} {SQL_TYPES[kind]}{' PRIMARY KEY' if name == KEY else ''}" for name, kind in TARGET
+    )
+    indexed = ", ".join((KEY, *PARTITION_COLUMNS))
+    return (
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns})",
+        f"CREATE INDEX IF NOT EXISTS {DATE_INDEX} ON {table} ({indexed})",
+    )
+
+
+def create_table_jdbc(spark: SparkSession, target: JdbcTarget) -> None:
+    """Create the target table in the database unless it is there already.
+
+    Spark's own table creation knows no keys, so each statement runs when the
+    session of a one-row read opens.
+    """
+    for statement in table_statements(target.table):
+        (
+            spark.read.option("sessionInitStatement", statement)
+            .jdbc(target.url, "(SELECT 1 AS ready) AS q", properties=target.properties)
+            .collect()
+        )
+
+
 def append_jdbc(
     batch: DataFrame, target: JdbcTarget, max_connections: int = 16, batch_size: int = 5000
 ) -> None:

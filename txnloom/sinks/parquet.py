@@ -11,17 +11,21 @@ from ..session import path_exists
 from .ids import keep_unseen, require_ids
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, mode: str = "append", ranges: int | None = None
+) -> None:
     """Write folders by year, month and day, each file holding its own range of ids.
 
     Ranges over (date, id) give a heavy day many tasks and a light one few, where
     hashing the date would give any day one task. Rows sorted by id let a lookup
     skip files and row groups by their id bounds, as the table's index would.
+    ``ranges`` fixes their number, and so the number of files of a small batch;
+    by default it is the shuffle partition count, merged by size.
     """
     order = [*PARTITION_COLUMNS, KEY]
+    ranged = df.repartitionByRange(*([ranges] if ranges else []), *order)
     (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
@@ -39,6 +43,7 @@ def append_new(
     unique: bool = False,
     check_existing: bool = True,
     bulk: bool = False,
+    ranges: int | None = None,
 ) -> None:
     """Append the rows whose id the table lacks, so a repeated append adds nothing.
 
@@ -51,18 +56,19 @@ def append_new(
     spark = batch.sparkSession
     rows = require_ids(conform(batch if unique else drop_repeated_ids(batch)))
     if not check_existing or not path_exists(spark, path):
-        write_partitioned(rows, path)
+        write_partitioned(rows, path, ranges=ranges)
         return
     table = read_table(spark, path)
     if bulk:
-        write_partitioned(rows.join(table.select(KEY), KEY, "left_anti"), path)
+        unseen = rows.join(table.select(KEY), KEY, "left_anti")
+        write_partitioned(unseen, path, ranges=ranges)
         return
     # The lookup reads the rows several times; a cached batch needs no second copy.
     own_copy = not (unique and batch.is_cached)
     if own_copy:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_partitioned(keep_unseen(rows, table), path)
+        write_partitioned(keep_unseen(rows, table), path, ranges=ranges)
     finally:
         if own_copy:
             rows.unpersist()

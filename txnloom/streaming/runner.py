@@ -49,14 +49,16 @@ def _first_call_checks(
     return sink
 
 
-def parquet_sink(path: str, always_check: bool = False) -> BatchSink:
+def parquet_sink(
+    path: str, always_check: bool = False, ranges: int | None = None
+) -> BatchSink:
     """Append micro-batches of distinct ids to a date-partitioned table."""
 
     def append(batch: DataFrame, check: bool) -> None:
         # Ranging samples its input first; uncached, that would run the state store twice.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            append_new(batch, path, unique=True, check_existing=check)
+            append_new(batch, path, unique=True, check_existing=check, ranges=ranges)
         finally:
             batch.unpersist()
 
