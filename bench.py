@@ -80,8 +80,13 @@ def main() -> None:
     from txnloom import plans
     from workload.tables import rates
 
-    conf = {"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"}
-    spark = build_session("bench", f"local[{CPUS}]", CPUS, conf)
+    conf = {
+        "spark.driver.memory": "16g",
+        "spark.sql.shuffle.partitions": str(CPUS),
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    spark = build_session("bench", f"local[{CPUS}]", conf)
     spark.sparkContext.setLogLevel("ERROR")
     paths = staged_payloads(spark)
     rows = spark.read.parquet(paths["json"]).count()

@@ -18,8 +18,9 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        4,
         {
+            "spark.ui.enabled": "false",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(scratch),

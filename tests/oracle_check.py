@@ -62,8 +62,13 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    conf = {"spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
-    spark = build_session("oracle-check", "local[8]", 8, conf)
+    conf = {
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    spark = build_session("oracle-check", "local[8]", conf)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from tests.conftest import values
 from txnloom import sources
 from txnloom.schema import FIELD_NAMES, HEADER_LINE
-from txnloom.session import scratch_path, size_shuffle
+from txnloom.session import build_session, scratch_path, size_shuffle
 
 
 def write(path, text):
@@ -154,6 +154,20 @@ def test_shuffle_size_follows_the_input(spark, conf, sf_dir):
     assert size_shuffle(spark, path) == 4
     count = size_shuffle(spark, path, path, partition_bytes=10_000, growth=1.0)
     assert count == int(spark.conf.get("spark.sql.shuffle.partitions")) > 20
+    conf("spark.sql.shuffle.partitions", "4")
+    assert size_shuffle(spark, path, partition_bytes=1, most=30) == 30
+
+
+def test_session_defaults_give_way(spark):
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    key = "spark.sql.adaptive.skewJoin.enabled"
+    try:
+        same = build_session(conf={key: "false"})
+        assert same.conf.get(key) == "false"
+    finally:
+        spark.conf.set(key, "true")
 
 
 def test_scratch_folder_must_be_shared_on_a_cluster(spark, conf):

@@ -10,40 +10,35 @@ from pyspark.sql import SparkSession
 
 SCRATCH_KEY = "spark.checkpoint.dir"
 
-# Dedup state grows with the number of ids, so it must not live on the JVM heap;
-# changelog checkpoints upload only what a micro-batch changed.
-STREAM_STATE_CONF = {
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # De-duplication state grows with the number of ids, so it must not live on the
+    # JVM heap; changelog checkpoints upload only what a micro-batch changed.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-BATCH_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.ui.enabled": "false",
-}
-
 
 def build_session(
-    app_name: str = "txnloom",
-    master: str | None = None,
-    shuffle_partitions: int | None = None,
-    conf: dict[str, str] | None = None,
+    app_name: str = "txnloom", master: str | None = None, conf: dict[str, str] | None = None
 ) -> SparkSession:
-    """A session with this package's defaults; ``conf`` entries win over them."""
-    settings = {**BATCH_CONF, **STREAM_STATE_CONF}
-    if shuffle_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    settings.update(conf or {})
+    """A session with this package's defaults, where neither ``conf`` nor submission set them."""
+    conf = conf or {}
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for key, value in settings.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if key not in conf and not submitted.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -81,19 +76,22 @@ def size_shuffle(
     *paths: str,
     partition_bytes: int = 256 * 1024 * 1024,
     growth: float = 3.0,
+    most: int = 50_000,
 ) -> int:
     """Set the shuffle partition count from the size of a batch job's input.
 
     De-duplication sends every row through one shuffle, whose tasks adaptive
     execution can merge but not split, so the count has to come from the data:
     input bytes, times ``growth`` for decoding compressed files into rows, over
-    the bytes one task should sort. It never goes below the session's setting.
+    the bytes one task should sort. It never goes below the session's setting,
+    nor above ``most``: past that the number of shuffle blocks costs more than
+    larger tasks, which sort on disk.
     """
     total = 0
     for path in paths:
         file_system, jvm_path = _located(spark, path)
         total += file_system.getContentSummary(jvm_path).getLength()
-    wanted = math.ceil(total * growth / partition_bytes)
+    wanted = min(math.ceil(total * growth / partition_bytes), most)
     count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
     return count
