@@ -104,10 +104,10 @@ def table_stream(spark, folder, rates, **options):
     return plans.enrich_json(stream_of(spark, folder), rates, **options)
 
 
-def load(spark, folder, rates, path, checkpoint, **options):
+def load(spark, folder, rates, path, checkpoint, sole_writer=False, **options):
     streaming.start_batches(
         table_stream(spark, folder, rates, **options),
-        streaming.parquet_sink(path),
+        streaming.parquet_sink(path, sole_writer),
         checkpoint,
         drain=True,
     ).awaitTermination()
@@ -125,17 +125,25 @@ def test_micro_batches_append_to_the_table(spark, rates, payload):
 
 
 def test_a_lost_checkpoint_does_not_repeat_rows(spark, rates, payload):
-    folder, _ = message_folder(spark, [payload(transaction_id=i) for i in "123"])
+    folder, add = message_folder(spark, [payload(transaction_id="1")])
+    add(payload(transaction_id="2"))
+    add(payload(transaction_id="3"))
     path = scratch_path(spark, "table")
     for _ in range(2):
-        load(spark, folder, rates, path, scratch_path(spark, "check"))
+        streaming.start_batches(
+            plans.enrich_json(stream_of(spark, folder, max_files_per_trigger=1), rates),
+            streaming.parquet_sink(path),
+            scratch_path(spark, "check"),
+            drain=True,
+        ).awaitTermination()
     assert values(sinks.read_table(spark, path), "transaction_id") == [("1",), ("2",), ("3",)]
 
 
-def test_a_batch_that_fails_after_writing_is_not_repeated(spark, rates, payload):
+@pytest.mark.parametrize("sole_writer", [False, True])
+def test_a_batch_that_fails_after_writing_is_not_repeated(spark, rates, payload, sole_writer):
     folder, _ = message_folder(spark, [payload(transaction_id=i) for i in "123"])
     path, checkpoint = scratch_path(spark, "table"), scratch_path(spark, "check")
-    whole = streaming.parquet_sink(path)
+    whole = streaming.parquet_sink(path, sole_writer)
 
     def written_but_not_committed(batch, batch_id):
         whole(batch, batch_id)
@@ -146,11 +154,11 @@ def test_a_batch_that_fails_after_writing_is_not_repeated(spark, rates, payload)
     )
     with pytest.raises(Exception, match="lost after the write"):
         query.awaitTermination()
-    load(spark, folder, rates, path, checkpoint)
+    load(spark, folder, rates, path, checkpoint, sole_writer)
     assert values(sinks.read_table(spark, path), "transaction_id") == [("1",), ("2",), ("3",)]
 
 
-def test_only_the_first_batch_of_a_run_looks_at_the_table(spark, rates, payload, monkeypatch):
+def test_a_sole_writer_looks_at_the_table_once_per_run(spark, rates, payload, monkeypatch):
     looked = []
 
     def record(batch, path, unique, check_existing, ranges):
@@ -162,9 +170,9 @@ def test_only_the_first_batch_of_a_run_looks_at_the_table(spark, rates, payload,
     add(payload(transaction_id="2"))
     add(payload(transaction_id="3"))
     rows = plans.enrich_json(stream_of(spark, folder, max_files_per_trigger=1), rates)
-    for always in (False, True):
+    for sole in (True, False):
         streaming.start_batches(
-            rows, streaming.parquet_sink("t", always), scratch_path(spark, "check"), drain=True
+            rows, streaming.parquet_sink("t", sole), scratch_path(spark, "check"), drain=True
         ).awaitTermination()
     assert looked == [True, False, False, True, True, True]
 

@@ -65,7 +65,11 @@ def _enrich_arguments(job: argparse.ArgumentParser, topic: str, fx: str) -> None
     job.add_argument("--spread", type=int, help="slots that split a hot transaction id")
     job.add_argument("--output", help="Parquet table; the default is JDBC from DB_* variables")
     job.add_argument("--ranges", type=int, help="id ranges, hence files, per Parquet append")
-    job.add_argument("--always-check", action="store_true", help="others write to the table too")
+    job.add_argument(
+        "--sole-writer",
+        action="store_true",
+        help="the table holds only what this checkpoint wrote, so check one batch per run",
+    )
     job.add_argument("--batch", action="store_true", help="read --input as one batch")
 
 
@@ -199,9 +203,9 @@ def _load(
             rejected_json(payloads).write.mode("append").parquet(rejects)
         return []
     sink = (
-        streaming.jdbc_sink(JdbcTarget.from_env(), args.always_check)
+        streaming.jdbc_sink(JdbcTarget.from_env(), args.sole_writer)
         if args.output is None
-        else streaming.parquet_sink(args.output, args.always_check, args.ranges)
+        else streaming.parquet_sink(args.output, args.sole_writer, args.ranges)
     )
     queries = [
         streaming.start_batches(rows, sink, checkpoint(args, "table"), args.every, args.drain)

@@ -29,30 +29,30 @@ def start_batches(
     return _writer(df, checkpoint, every, drain).foreachBatch(sink).start()
 
 
-def _first_call_checks(
-    append: Callable[[DataFrame, bool], None], always_check: bool
-) -> BatchSink:
-    """A batch sink that looks for stored ids in the first batch of each run.
-
-    Ids are distinct over all batches of a checkpoint, and only the batch that was
-    in flight when the last run ended can be delivered again; it is then the first
-    one of the next run. ``always_check`` looks every time; it is needed if
-    something else writes to the table too.
+def _checking(append: Callable[[DataFrame, bool], None], sole_writer: bool) -> BatchSink:
+    """A batch sink that tells ``append`` whether to look for stored ids.
+
+    It looks in every batch, unless the checkpoint is the table's ``sole_writer``,
+    that is, the table holds nothing but what this checkpoint wrote. Ids are then
+    distinct over all batches, and only the batch that was in flight when the last
+    run ended can be delivered again. It is the first one of the next run, so a
+    run's first batch is checked and the others are not.
     """
     first = True
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         nonlocal first
-        append(batch, first or always_check)
+        append(batch, first or not sole_writer)
         first = False
 
     return sink
 
 
-def parquet_sink(
-    path: str, always_check: bool = False, ranges: int | None = None
-) -> BatchSink:
-    """Append micro-batches of distinct ids to a date-partitioned table."""
+def parquet_sink(path: str, sole_writer: bool = False, ranges: int | None = None) -> BatchSink:
+    """Append micro-batches of distinct ids to a date-partitioned table.
+
+    A check scans the table's id column, so set ``sole_writer`` where it holds.
+    """
 
     def append(batch: DataFrame, check: bool) -> None:
         # Ranging samples its input first; uncached, that would run the state store twice.
@@ -62,14 +62,12 @@ def parquet_sink(
         finally:
             batch.unpersist()
 
-    return _first_call_checks(append, always_check)
+    return _checking(append, sole_writer)
 
 
-def jdbc_sink(target: JdbcTarget, always_check: bool = False) -> BatchSink:
+def jdbc_sink(target: JdbcTarget, sole_writer: bool = False) -> BatchSink:
     """Append micro-batches of distinct ids to a keyed JDBC table."""
-    return _first_call_checks(
-        lambda batch, check: append_new_jdbc(batch, target, check), always_check
-    )
+    return _checking(lambda batch, check: append_new_jdbc(batch, target, check), sole_writer)
 
 
 def start_files(

@@ -17,7 +17,10 @@ RATE_ROWS = ", ".join(f"('{code}', CAST({rate} AS DOUBLE))" for code, rate in RA
 RATES_CTE = f"rates(currency, rate) AS (VALUES {RATE_ROWS})"
 
 OFFSET_TEXT = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '-05:00'"
-UTC_MILLIS = "strftime({0}, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(millisecond({0}) % 1000 AS VARCHAR), 3, '0') || 'Z'"
+UTC_MILLIS = (
+    "strftime({0}, '%Y-%m-%dT%H:%M:%S.') || "
+    "lpad(CAST(millisecond({0}) % 1000 AS VARCHAR), 3, '0') || 'Z'"
+)
 
 
 def rows_cte(table: str) -> str:
@@ -74,6 +77,7 @@ def select_rows(table: str, names, render=lambda name: name) -> str:
 
 
 EVENT_TEXT = "substr(timestamp, 1, 26)"
+EVENT_MILLIS = UTC_MILLIS.format(f"CAST({EVENT_TEXT} AS TIMESTAMP)")
 NO_VELOCITY = tuple(name for name in FIELD_NAMES if name != VELOCITY)
 
 
@@ -99,7 +103,8 @@ def json_text(timestamp: str) -> str:
 
 def calendar(date_part: str, time_part: str) -> str:
     return (
-        f"CAST(year({date_part}) AS INTEGER) AS year, CAST(month({date_part}) AS INTEGER) AS month, "
+        f"CAST(year({date_part}) AS INTEGER) AS year, "
+        f"CAST(month({date_part}) AS INTEGER) AS month, "
         f"CAST(day({date_part}) AS INTEGER) AS day, CAST(hour({time_part}) AS INTEGER) AS hour, "
         f"CAST(minute({time_part}) AS INTEGER) AS minute"
     )
@@ -226,7 +231,7 @@ ORACLE: dict[str, str] = {
     ),
     "normalize_messages": (
         f"WITH {rows_cte('events')} SELECT 'Transaction' AS key, "
-        f"{json_text(UTC_MILLIS.format('CAST(substr(timestamp, 1, 26) AS TIMESTAMP)'))} AS value FROM tx"
+        f"{json_text(EVENT_MILLIS)} AS value FROM tx"
     ),
     "join_currency_left": amounts_sql("rate"),
     "fx_divide": amounts_sql("amount / rate AS rate_usd"),

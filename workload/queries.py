@@ -117,7 +117,8 @@ def parse_json_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_csv_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.parse_csv_line(op.payload_to_string(line_payloads(read_rows(spark, sf_dir, "events"))))
+    payloads = line_payloads(read_rows(spark, sf_dir, "events"))
+    return op.parse_csv_line(op.payload_to_string(payloads))
 
 
 def parse_csv_unquoted(spark: SparkSession, sf_dir: str) -> DataFrame:
