@@ -68,6 +68,10 @@ def as_typed(name: str, flag=loose_bool, quoted: bool = False) -> str:
     return csv_field(name) if quoted else name
 
 
+def as_shown(name: str) -> str:
+    return f"CAST({loose_bool(name)} AS VARCHAR)" if name == "card_present" else as_typed(name)
+
+
 def listing(names, render) -> str:
     return ", ".join(f"{render(name)} AS {name}" for name in names)
 
@@ -86,7 +90,7 @@ def from_json(name: str) -> str:
 
 
 def from_json_strict(name: str) -> str:
-    return "CAST(NULL AS INTEGER)" if name in INTEGERS else from_json(name)
+    return "CAST(NULL AS VARCHAR)" if name in INTEGERS else from_json(name)
 
 
 def json_text(timestamp: str) -> str:
@@ -210,7 +214,7 @@ ORACLE: dict[str, str] = {
     "parse_json_strict": strict_json_sql(),
     "parse_csv_line": select_rows("events", FIELD_NAMES, csv_field),
     "parse_csv_unquoted": select_rows("events", FIELD_NAMES, _unquoted),
-    "cast_fields": select_rows("events", FIELD_NAMES, as_typed),
+    "cast_fields": select_rows("events", FIELD_NAMES, as_shown),
     "coerce_strict": select_rows(
         "events",
         FIELD_NAMES,
@@ -248,7 +252,10 @@ ORACLE: dict[str, str] = {
     "sink_foreach_batch": EVENT_TARGET,
     "sink_idempotent_append": idempotent_append_sql(),
     "partitioned_sink_lookup": f"SELECT * FROM ({EVENT_TARGET}) WHERE year = 2024 AND month = 1",
-    "stream_enrich": target_sql("events", "/", loose_bool, True),
+    "stream_enrich": (
+        "SELECT * REPLACE (CAST(card_present AS VARCHAR) AS card_present) "
+        f"FROM ({target_sql('events', '/', loose_bool, True)})"
+    ),
     "stream_dedup": UNIQUE_EVENTS,
     "stream_dedup_spread": UNIQUE_EVENTS,
     "enrich_csv": target_sql("lineitem", "/", loose_bool, True),

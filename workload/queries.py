@@ -43,6 +43,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns(shown) if shown else df
 
 
+def as_text(df: DataFrame, *names: str) -> DataFrame:
+    """Integer or boolean columns holding nulls, which data frames of each engine type apart."""
+    return df.withColumns({name: F.col(name).cast("string") for name in names})
+
+
 def offset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event ids with their time written as if five hours west of Greenwich."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -109,11 +114,8 @@ def parse_json_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     payloads = plans.json_envelope(typed)
     parsed = op.parse_json(payloads, strict=True, velocity=True)
-    return (
-        plain(parsed)
-        .withColumn("velocity_k", F.col(VELOCITY)["k"])
-        .select(*TYPED_NAMES, "velocity_k")
-    )
+    shown = as_text(plain(parsed), "distance_from_home", "transaction_hour")
+    return shown.withColumn("velocity_k", F.col(VELOCITY)["k"]).select(*TYPED_NAMES, "velocity_k")
 
 
 def parse_csv_line(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +129,7 @@ def parse_csv_unquoted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(op.cast_fields(read_rows(spark, sf_dir, "events")))
+    return as_text(plain(op.cast_fields(read_rows(spark, sf_dir, "events"))), "card_present")
 
 
 def coerce_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +273,7 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-enrich")
     query = streaming.start_files(enriched, out, scratch_path(spark, "checkpoint"), drain=True)
     query.awaitTermination()
-    return spark.read.schema(enriched.schema).parquet(out)
+    return as_text(spark.read.schema(enriched.schema).parquet(out), "card_present")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
