@@ -169,6 +169,15 @@ def test_normalized_message_changes_only_the_timestamp(spark, payload):
     assert plans.normalize_messages(df.drop("key")).first()["key"] == "Transaction"
 
 
+@pytest.mark.parametrize(
+    "junk", ["not json", '{"transaction_id": "1", "amount":', "5", "[]", "{}", "", "é\n", None]
+)
+def test_normalizing_passes_on_what_is_not_json(spark, payload, junk):
+    df = spark.createDataFrame([("k", junk), ("k", payload())], "key string, value string")
+    got = [row["value"] for row in plans.normalize_messages(df).collect()]
+    assert got[0] == junk and json.loads(got[1])["transaction_id"] == "t1"
+
+
 def test_kafka_publish_needs_its_connector(spark):
     assert sinks.kafka_write_options("k:9093", "out") == {
         "kafka.bootstrap.servers": "k:9093",

@@ -17,10 +17,12 @@ FX_MODES = ("divide", "multiply")
 def _salted_left_join(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Left join that spreads each currency's rows over ``_SALTS`` shuffle keys.
 
-    The salt is a hash of the row, so a retried task places its rows alike.
+    The salt hashes the row and its input task: a retried task places its rows
+    alike, and equal rows of different tasks go to different places.
     """
-    hashable = [name for name, kind in df.dtypes if "map<" not in kind]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(_SALTS)).cast("int"))
+    hashable = [F.col(name) for name, kind in df.dtypes if "map<" not in kind]
+    spot = F.xxhash64(*hashable, F.spark_partition_id())
+    salted = df.withColumn("_salt", F.pmod(spot, F.lit(_SALTS)).cast("int"))
     copies = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     return salted.join(copies, ["currency", "_salt"], "left").drop("_salt")
 

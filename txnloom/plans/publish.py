@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from ..operators import (
     parse_wire_json,
     payload_to_string,
 )
+from ..schema import FIELD_NAMES
 
 # Fixed value: the key every published message carries.
 MESSAGE_KEY = "Transaction"
@@ -50,10 +54,16 @@ def publish_json(rows: DataFrame, key_column: str | None = None) -> DataFrame:
 def normalize_messages(payloads: DataFrame, key_column: str | None = None) -> DataFrame:
     """JSON messages to the same messages with a UTC millisecond timestamp.
 
-    The incoming ``key`` is passed on, unless ``key_column`` names a field to key by.
+    The incoming ``key`` is passed on, unless ``key_column`` names a field to key
+    by. A payload with none of the fields, such as one that is not JSON, is passed
+    on as it is; otherwise fields outside the schema are left out.
     """
     forward = ("key",) if key_column is None and "key" in payloads.columns else ()
-    fields = parse_wire_json(payload_to_string(payloads), keep=forward)
+    fields = parse_wire_json(payload_to_string(payloads), keep=(*forward, "value"))
     fixed = normalize_timestamp(fields)
+    decoded = reduce(or_, (F.col(name).isNotNull() for name in FIELD_NAMES))
+    rewritten = json_value(fixed.select(*FIELD_NAMES))
     key = F.col("key").cast("string") if forward else _key(key_column)
-    return fixed.select(key.alias("key"), json_value(fixed.drop("key")).alias("value"))
+    return fixed.select(
+        key.alias("key"), F.when(decoded, rewritten).otherwise(F.col("value")).alias("value")
+    )

@@ -54,7 +54,8 @@ def stored_ids(batch: DataFrame, target: JdbcTarget, max_connections: int = 16)
     """The batch's ids that the table already holds.
 
     The ids are put in a side table and joined inside the database, so the work
-    follows the batch and the table's key index, not the size of the table.
+    follows the batch and the table's key index, not the size of the table. The
+    side table is replaced each time, so append from one job at a time.
     """
     side = f"{target.table}_incoming"
     (
