@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, host_quality, line_dedup, nbsvm, packing, pii, toxicity, warc
+from . import decontaminate, host_quality, jaccard, line_dedup, nbsvm, packing, pii, toxicity, warc
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return line_dedup.drop_repeated_lines(docs.select("doc_id", "text"), "n_lines", "n_removed")
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op5_personal_data": op5_personal_data,
     "op6_warc_revisits": op6_warc_revisits,
+    "op7_similar_documents": op7_similar_documents,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
@@ -60,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_host_quality": host_quality.SQL,
     "op6_warc_revisits": warc.SQL,
+    "op7_similar_documents": jaccard.SQL,
     "op8_line_dedup": line_dedup.SQL,
 }
