@@ -79,6 +79,27 @@ def myers(pattern: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def ascents(edges: list[int]) -> list[list[tuple[int, int, int]]]:
+    """For each piece the longer stretches that hold it, (start, end, budget), shortest first.
+
+    A stretch of j pieces has the budget j - 1. If neither half of a stretch kept to its own
+    budget, the stretch would have at least j edits; so an occurrence of the whole item within its
+    budget has a piece all of whose stretches keep to theirs.
+    """
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(edges) - 1)]
+
+    def halve(low: int, high: int) -> None:
+        if high - low > 1:
+            middle = (low + high) // 2
+            halve(low, middle)
+            halve(middle, high)
+            for piece in range(low, high):
+                out[piece].append((edges[low], edges[high], high - low - 1))
+
+    halve(0, len(edges) - 1)
+    return out
+
+
 class Searcher:
     """Searches texts for a block of items."""
 
@@ -86,10 +107,13 @@ class Searcher:
         import ahocorasick
 
         self.items = items
-        found: dict[str, list[tuple[int, int]]] = {}
+        self.masks: dict[tuple[int, int, int], dict[str, int]] = {}
+        found: dict[str, list[tuple[int, int, list]]] = {}
         for n, (_, text) in enumerate(items):
-            for at, piece in pieces(text, budget(len(text)) + 1):
-                found.setdefault(piece, []).append((n, at))
+            parts = pieces(text, budget(len(text)) + 1)
+            above = ascents([at for at, _ in parts] + [len(text)])
+            for (at, piece), stretches in zip(parts, above):
+                found.setdefault(piece, []).append((n, at, stretches))
         self.automaton = ahocorasick.Automaton()
         for piece, where in found.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -103,37 +127,51 @@ class Searcher:
         text = fold(text)
         starts: dict[int, set[int]] = {}
         for last, (size, where) in self.automaton.iter(text):
-            for n, at in where:
-                starts.setdefault(n, set()).add(last + 1 - size - at)
+            for n, at, stretches in where:
+                place = last + 1 - size - at
+                if self._holds(text, n, place, stretches[:-1]):
+                    starts.setdefault(n, set()).add(place)
         out = []
         for n, places in starts.items():
-            item_id, item = self.items[n]
-            best = self._best(text, item, sorted(places))
+            best = self._best(text, n, sorted(places))
             if best:
-                out.append((item_id, *best))
+                out.append((self.items[n][0], *best))
         return sorted(out)
 
-    def _best(self, text: str, item: str, places: list[int]) -> tuple[int, int, int] | None:
+    def _mask(self, n: int, a: int, b: int) -> dict[str, int]:
+        if (n, a, b) not in self.masks:
+            self.masks[n, a, b] = masks(self.items[n][1][a:b])
+        return self.masks[n, a, b]
+
+    def _holds(self, text: str, n: int, place: int, stretches: list[tuple[int, int, int]]) -> bool:
+        """Whether every stretch around a piece is there within its own budget."""
+        for a, b, k in stretches:
+            around = text[max(place + a - k, 0) : max(place + b + k, 0)]
+            if len(around) < b - a - k or myers(self._mask(n, a, b), b - a, around)[0] > k:
+                return False
+        return True
+
+    def _best(self, text: str, n: int, places: list[int]) -> tuple[int, int, int] | None:
+        item = self.items[n][1]
         m, k = len(item), budget(len(item))
         for place in places:
             if place >= 0 and text.startswith(item, place):
                 return place, place + m, 0
         if not k:
             return None
-        found, ahead = [], masks(item)
-        back = masks(item[::-1])
-        covered = -1
-        for place in places:
+        found, back = [], masks(item[::-1])
+        covered = -1 - m - k
+        for i, place in enumerate(places):
             if place <= covered:
                 continue
-            # windows of neighbouring hits share one verification
-            last = place
-            for other in places:
-                if last < other <= last + 2 * k:
-                    last = other
-            covered = last
+            # places of one occurrence differ by its edits; they share one verification
+            covered = place
+            for other in places[i + 1 :]:
+                if other > covered + 2 * k:
+                    break
+                covered = other
             low = max(place - k, 0)
-            distance, end = myers(ahead, m, text[low : last + m + k])
+            distance, end = myers(self._mask(n, 0, m), m, text[low : max(covered + m + k, 0)])
             if distance <= k:
                 high = low + end
                 tail = text[max(high - m - k, 0) : high][::-1]
