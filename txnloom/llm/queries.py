@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, host_quality, jaccard, line_dedup, nbsvm, packing, pii, toxicity, warc
+from . import decontaminate, host_quality, jaccard, line_dedup, nbsvm, packing, pii, repeats, toxicity, warc
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
     "op2_toxicity": op2_toxicity,
     "op3_decontaminate": op3_decontaminate,
+    "op4_repeats": op4_repeats,
     "op5_personal_data": op5_personal_data,
     "op6_warc_revisits": op6_warc_revisits,
     "op7_similar_documents": op7_similar_documents,
