@@ -35,7 +35,7 @@ LENGTH = 400
 ANCHOR = 64
 GRAM, ONE_IN, NEAR = 16, 32, 128
 #: Positions of repeated anchors that are sent to every task, at most; beyond, texts are shuffled.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 4_000_000
 
 U64 = np.uint64
 INVERSE = U64(pow(int(STEP), -1, 1 << 64))
