@@ -75,13 +75,18 @@ def published(row):
     }
 
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
 def utc(text):
-    return datetime.fromisoformat(text).astimezone(timezone.utc)
+    return EPOCH + (datetime.fromisoformat(text) - EPOCH)
 
 
 def normalized(message):
-    moment = utc(message["timestamp"]).isoformat(timespec="milliseconds")
-    return message | {"timestamp": moment.replace("+00:00", "Z")}
+    since = (utc(message["timestamp"]) - EPOCH) // timedelta(milliseconds=1)
+    day, millis = EPOCH.date() + timedelta(days=since // 86_400_000), since % 86_400_000
+    hour, minute, second = millis // 3_600_000, millis // 60_000 % 60, millis // 1000 % 60
+    return message | {"timestamp": f"{day}T{hour:02d}:{minute:02d}:{second:02d}.{millis % 1000:03d}Z"}
 
 
 def stored(row, moment, amount, dollars, hours):

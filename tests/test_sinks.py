@@ -159,12 +159,18 @@ def test_normalized_message_changes_only_the_timestamp(spark, payload):
     sent = payload(timestamp="2024-09-30 00:00:01.034820+02:00", velocity_last_hour="{'n': 1}")
     df = spark.createDataFrame([("k", sent)], "key string, value string")
     row = plans.normalize_messages(df).first()
-    want = json.loads(sent) | {
-        "timestamp": "2024-09-29T22:00:01.034Z",
-        "distance_from_home": 12.0,
-        "transaction_hour": "3",
-    }
-    assert row["key"] == "k" and json.loads(row["value"]) == want
+    want = sent.replace("2024-09-30 00:00:01.034820+02:00", "2024-09-29T22:00:01.034Z")
+    assert row["key"] == "k" and row["value"] == want
+    odd = [
+        '{"extra" : "x",  "timestamp":  "2024-09-30T00:00:01Z","transaction_hour":3, "v":{"n":1.0}}',
+        '{"timestamp":"30/09/2024","amount":12.0}',
+        '{"a":{"timestamp":"2024-09-30T00:00:01Z"}}',
+    ]
+    got = [r["value"] for r in plans.normalize_messages(spark.createDataFrame([(o,) for o in odd], "value string")).collect()]
+    assert got == [odd[0].replace("01Z", "01.000Z"), odd[1], odd[2]]
+    twice = '{"timestamp":"2024-09-30T00:00:01Z","in":{"timestamp":"t"},"other":"x"}'
+    again = plans.normalize_messages(spark.createDataFrame([(twice,)], "value string")).first()["value"]
+    assert json.loads(again) == json.loads(twice) | {"timestamp": "2024-09-30T00:00:01.000Z"}
     assert plans.normalize_messages(df, "customer_id").first()["key"] == "x"
     assert plans.normalize_messages(df.drop("key")).first()["key"] == "Transaction"
 

@@ -43,17 +43,20 @@ def test_text_lines_without_header_and_blanks(spark, tmp_path):
     write(tmp_path / "in" / "a.csv", f"{HEADER_LINE}\n 1,x \n\n2,y\r\n")
     folder = write(tmp_path / "in" / "b.csv", f"{HEADER_LINE}\n3,z")
     assert values(sources.text_lines(spark, folder)) == [("1,x",), ("2,y",), ("3,z",)]
-    assert sources.text_lines(spark, folder, keep_blank=True).count() == 4
-    assert sources.text_lines(spark, folder, header=None).count() == 5
+    assert sources.text_lines(spark, folder, header=False, keep_blank=True).count() == 6
+    assert sources.text_lines(spark, folder, header=False).count() == 5
+    with pytest.raises(ValueError, match="blank"):
+        sources.text_lines(spark, folder, keep_blank=True)
 
 
-def test_first_line_finds_any_header(spark, conf, tmp_path):
+def test_each_file_loses_its_own_first_line(spark, conf, tmp_path):
     conf("spark.sql.files.maxPartitionBytes", "64")
-    lines = "".join(f"{i},value\n" for i in range(500))
-    folder = write(tmp_path / "in" / "a.csv", f'"id", other \n{lines}')
-    header = sources.first_line(spark, folder)
-    assert header == '"id", other '
-    assert sources.text_lines(spark, folder, header=header).count() == 500
+    lines = "".join(f'{i},"val"ue\\,\t\n' for i in range(500))
+    write(tmp_path / "in" / "a.csv", f'"id", other \n{lines}"id", other \nH1;H2\n')
+    folder = write(tmp_path / "in" / "b.csv", "H1;H2\n7,seven\n\n")
+    got = values(sources.text_lines(spark, folder))
+    want = [f'{i},"val"ue\\,' for i in range(500)] + ['"id", other', "H1;H2", "7,seven"]
+    assert got == sorted((line,) for line in want)
 
 
 def test_header_is_dropped_from_every_split(spark, conf, tmp_path):
@@ -83,10 +86,10 @@ def test_parquet_stream_from_one_file_and_from_a_folder(spark, sf_dir):
 
 
 def test_rates_from_a_mapping_csv_and_parquet(spark, tmp_path):
-    want = [("EUR", 0.9466), ("USD", 1.0)]
-    mapped = sources.rates_from_mapping(spark, {"EUR": 0.9466, "USD": 1})
+    want = [("EUR", 0.875), ("USD", 1.0)]
+    mapped = sources.rates_from_mapping(spark, {"EUR": 0.875, "USD": 1})
     assert values(mapped) == want and mapped.dtypes == [("currency", "string"), ("rate", "double")]
-    folder = write(tmp_path / "in" / "r.csv", "currency,rate\nEUR,0.9466\nUSD,1\n")
+    folder = write(tmp_path / "in" / "r.csv", "currency,rate\nEUR,0.875\nUSD,1\n")
     assert values(sources.rates_from_csv(spark, folder)) == want
     place = scratch_path(spark, "rates")
     mapped.write.parquet(place)

@@ -81,4 +81,5 @@ def strict_double(text: Column, name: str) -> Column:
     """Parse a number or fail the job, null and empty text included."""
     shown = F.coalesce(text, F.lit("NULL"))
     failure = F.raise_error(F.concat(F.lit(f"{name} is not a number: "), shown))
-    return F.coalesce(text.try_cast("double"), failure.cast("double"))
+    suffixed = text.rlike(r"[0-9.]\s*[dDfF]\s*$")  # a literal's type, not part of a number
+    return F.coalesce(F.when(~suffixed, text.try_cast("double")), failure.cast("double"))

@@ -171,7 +171,6 @@ def publish_lines(spark: SparkSession, args: argparse.Namespace) -> list[Streami
     lines = sources.text_lines(
         spark,
         args.csv,
-        header=sources.first_line(spark, args.csv),
         streaming=args.checkpoint is not None,
         max_files_per_trigger=args.max_files,
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.time import to_instant
 from ..schema import EVENT_TIME, KEY
 
 
@@ -25,12 +26,17 @@ def keep_first(
 ) -> DataFrame:
     """The least row per id by ``order_by``, ties broken by the remaining columns.
 
+    Event times are compared as instants, whatever their text; one that is missing
+    or can't be read comes after all others.
+
     A rank filter of one lets Spark prune each id to one row per input task before
     the shuffle, so an id with a third of all rows sends one row per task.
     """
     orderable = [name for name, kind in df.dtypes if "map<" not in kind and name != key]
     lead = [name for name in order_by if name in orderable]
-    ordering = lead + [name for name in orderable if name not in lead]
+    kinds = dict(df.dtypes)
+    instant = [to_instant(F.col(n)) if kinds[n] == "string" else F.col(n) for n in lead]
+    ordering = [time.asc_nulls_last() for time in instant] + orderable
     first = Window.partitionBy(key).orderBy(*(ordering or [key]))
     return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 

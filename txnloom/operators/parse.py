@@ -13,7 +13,9 @@ from ..functions.text import (
     to_float,
     to_int,
 )
+from ..functions.time import to_instant
 from ..schema import (
+    EVENT_TIME,
     FIELD_NAMES,
     KEY,
     TRANSACTION,
@@ -56,12 +58,15 @@ def parse_json(
     left out, its text is skipped rather than decoded.
     """
     wanted = [(name, kind) for name, kind in TRANSACTION if velocity or name != VELOCITY]
-    if strict:
-        return _expand(df, F.from_json(F.col(column), ddl(wanted)))
+    as_text = {EVENT_TIME} if strict else {*_CASTS, VELOCITY, EVENT_TIME}
     tokens = [
-        (name, "string" if kind in _CASTS or name == VELOCITY else kind) for name, kind in wanted
+        (name, "string" if name in as_text or kind in as_text else kind) for name, kind in wanted
     ]
     fields = _expand(df, F.from_json(F.col(column), ddl(tokens)))
+    # a bare time of day would be read as today's
+    fields = fields.withColumn(EVENT_TIME, to_instant(F.col(EVENT_TIME)))
+    if strict:
+        return fields
     if velocity:
         fields = fields.withColumn(VELOCITY, F.from_json(VELOCITY, "map<string,string>"))
     return cast_fields(fields)

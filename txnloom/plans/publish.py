@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
-from ..operators import (
-    coerce_strict,
-    normalize_timestamp,
-    parse_wire_json,
-    payload_to_string,
-)
-from ..schema import FIELD_NAMES
+from ..functions.time import to_instant, utc_millis_text
+from ..operators import coerce_strict
+from ..schema import EVENT_TIME
 
 # Fixed value: the key every published message carries.
 MESSAGE_KEY = "Transaction"
@@ -51,19 +44,35 @@ def publish_json(rows: DataFrame, key_column: str | None = None) -> DataFrame:
     return json_envelope(coerce_strict(rows), key_column)
 
 
+# The time of a message, where it is text, with all before it as the first group.
+TIME_TEXT = r'("timestamp"\s*:\s*)"(?:[^"\\]|\\.)*"'
+
+
 def normalize_messages(payloads: DataFrame, key_column: str | None = None) -> DataFrame:
-    """JSON messages to the same messages with a UTC millisecond timestamp.
+    """JSON messages with a UTC millisecond timestamp, every other byte as it was.
 
     The incoming ``key`` is passed on, unless ``key_column`` names a field to key
-    by. A payload with none of the fields, such as one that is not JSON, is passed
-    on as it is; otherwise fields outside the schema are left out.
+    by. What is not a JSON object, and a time that can't be read, are passed on as
+    they are. Only where the name occurs more than once is the message written
+    anew, with all its keys and values.
     """
-    forward = ("key",) if key_column is None and "key" in payloads.columns else ()
-    fields = parse_wire_json(payload_to_string(payloads), keep=(*forward, "value"))
-    fixed = normalize_timestamp(fields)
-    decoded = reduce(or_, (F.col(name).isNotNull() for name in FIELD_NAMES))
-    rewritten = json_value(fixed.select(*FIELD_NAMES))
-    key = F.col("key").cast("string") if forward else _key(key_column)
-    return fixed.select(
-        key.alias("key"), F.when(decoded, rewritten).otherwise(F.col("value")).alias("value")
+    forward = key_column is None and "key" in payloads.columns
+    value = F.col("value").cast("string")
+    time = utc_millis_text(to_instant(F.from_json(value, f"{EVENT_TIME} string")[EVENT_TIME]))
+    quoted = F.concat(F.lit('"'), time, F.lit('"'))
+    in_place = F.regexp_replace(value, F.lit(TIME_TEXT), F.concat(F.lit("$1"), quoted))
+    whole = F.from_json(value, "map<string,variant>")
+    anew = F.to_json(
+        F.transform_values(
+            whole, lambda k, v: F.when(k == EVENT_TIME, F.try_parse_json(quoted)).otherwise(v)
+        )
     )
+    once = F.regexp_count(value, F.lit(f'"{EVENT_TIME}"')) == 1
+    fixed = F.when(time.isNull(), value).when(once, in_place).otherwise(anew)
+    if forward:
+        key = F.col("key").cast("string")
+    elif key_column is not None:
+        key = F.from_json(value, f"{key_column} string")[key_column]
+    else:
+        key = _key(None)
+    return payloads.select(key.alias("key"), fixed.alias("value"))

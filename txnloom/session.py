@@ -90,7 +90,8 @@ def size_shuffle(
     total = 0
     for path in paths:
         file_system, jvm_path = _located(spark, path)
-        total += file_system.getContentSummary(jvm_path).getLength()
+        for found in file_system.globStatus(jvm_path) or ():
+            total += file_system.getContentSummary(found.getPath()).getLength()
     wanted = min(math.ceil(total * growth / partition_bytes), most)
     count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(count))

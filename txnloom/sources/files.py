@@ -45,34 +45,36 @@ def csv_rows(
     return rows.select(*(F.coalesce(F.col(n), F.lit("")).alias(n) for n in names))
 
 
+# Nothing is cut or unquoted: no line holds this.
+NO_SEPARATOR = "\x01\x02\x03"
+
+
 def text_lines(
     spark: SparkSession,
     path: str,
-    header: str | None = HEADER_LINE,
+    header: bool = True,
     keep_blank: bool = False,
     streaming: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Raw lines in ``value``, stripped, without header and blank lines.
+    """Raw lines in ``value``, stripped, without blank lines and each file's first line.
 
-    Files are split between tasks, so a header is known by its text rather than
-    by being first; ``first_line`` finds it. ``header=None`` keeps every line.
+    The first line is known by its place, so files may differ in it and a later
+    line may equal it. ``header=False`` keeps every line; blank ones can be kept
+    only there.
     """
-    lines = _reader(spark, streaming, max_files_per_trigger).text(path)
-    value = strip(F.col("value"))
-    lines = lines.select(value.alias("value"))
-    if header is not None:
-        lines = lines.where(F.col("value") != strip(F.lit(header)))
+    if header and keep_blank:
+        raise ValueError("blank lines can be kept only with header=False")
+    reader = _reader(spark, streaming, max_files_per_trigger)
+    if header:
+        reader = reader.schema("value string").option("header", True).option("sep", NO_SEPARATOR)
+        lines = reader.option("quote", "").option("escape", "").csv(path)
+    else:
+        lines = reader.text(path)
+    lines = lines.select(strip(F.col("value")).alias("value"))
     return lines if keep_blank else lines.where(F.col("value") != "")
 
 
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """The line a file of ``path`` starts with, to pass as ``header``."""
-    starts = spark.read.text(path).where("_metadata.file_block_start = 0")
-    row = starts.select("value").first()
-    return None if row is None else row["value"]
-
-
 def parquet_rows(
     spark: SparkSession,
     path: str,

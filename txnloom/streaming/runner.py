@@ -35,15 +35,16 @@ def _checking(append: Callable[[DataFrame, bool], None], sole_writer: bool) -> B
     It looks in every batch, unless the checkpoint is the table's ``sole_writer``,
     that is, the table holds nothing but what this checkpoint wrote. Ids are then
     distinct over all batches, and only the batch that was in flight when the last
-    run ended can be delivered again. It is the first one of the next run, so a
-    run's first batch is checked and the others are not.
+    run ended can be delivered again. It does not follow the batch that was last
+    attempted, so a batch is checked unless its number is the next one.
     """
-    first = True
+    last: int | None = None
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        nonlocal first
-        append(batch, first or not sole_writer)
-        first = False
+        nonlocal last
+        follows = last is not None and batch_id == last + 1
+        last = batch_id  # before the attempt: one that fails may have written
+        append(batch, not (sole_writer and follows))
 
     return sink
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from txnloom.schema import FIELD_NAMES
 from txnloom.sources import parquet_rows, rates_from_mapping
 
-# Sample rates, units per US dollar. Other codes count as unknown.
-RATES = {"USD": 1.0, "EUR": 0.9466, "JPY": 150.0051, "GBP": 0.7844, "MXN": 20.1874}
+# Invented rates, units per US dollar. Other codes count as unknown.
+RATES = {"USD": 1.0, "EUR": 0.875, "JPY": 144.25, "GBP": 0.7525, "MXN": 18.375}
 
 EVENTS = {
     "transaction_id": "CAST(event_id AS STRING)",
