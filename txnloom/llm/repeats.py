@@ -11,8 +11,9 @@ taken modulo three).
    with the same next cut are one interval. Intervals of equal context (all bytes their windows
    cover) get equal names; where a name occurs twice, every window of the interval is repeated.
 3. Remaining suffixes: an interval that is alone with its context, but shares the bytes that all
-   its windows have in common, lies at an edge of a repeat. Its windows are named one by one and
-   compared with those of one interval of each context that has the same common bytes. So are
+   its windows have in common, lies at an edge of a repeat. It is cut into blocks of eight starts,
+   which are told apart in the same way from the blocks of one interval of each context that has the
+   same common bytes. Windows of blocks that are at an edge again are named one by one, and so are
    windows that have no cut near.
 
 A null text is empty; texts under 400 bytes are left alone. Repeated rows are documents of their
@@ -34,7 +35,8 @@ from .tokens import CODES, STEP, Texts, mix, powers
 LENGTH = 400
 ANCHOR = 64
 GRAM, ONE_IN, NEAR = 16, 32, 128
-#: Positions of repeated anchors that are sent to every task, at most; beyond, texts are shuffled.
+BLOCK = 8
+#: Places in texts that are sent to every task, at most; beyond, texts are shuffled.
 BROADCAST_ROWS = 4_000_000
 
 U64 = np.uint64
@@ -102,8 +104,9 @@ def regions(places: np.ndarray, n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if b - a >= LENGTH]
 
 
-def intervals(data: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int, int, bool]]:
-    """(first start, last start, context, common, loose) of the starts of the windows in question."""
+def intervals(data: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int, int, int, bool]]:
+    """(first start, last start, bytes from there to the cut's name, context, common, loose) of the
+    starts of the windows in question."""
     names = Names(data)
     grams = names.every(GRAM)
     cuts = np.flatnonzero((grams >> U64(20)) % U64(ONE_IN) == 0) + GRAM  # the bytes before the cut
@@ -120,10 +123,29 @@ def intervals(data: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int,
         context = names.of(a, b + LENGTH)
         common = np.where(free, 0, cut[first] - GRAM)
         core = names.of(common, common + np.where(free, 0, LENGTH - NEAR))
-        out += zip(a.tolist(), b.tolist(), context.view(np.int64).tolist(), core.view(np.int64).tolist(), free.tolist())
+        past = np.where(free, 0, common - b)
+        columns = (a, b, past, context.view(np.int64), core.view(np.int64), free)
+        out += zip(*(column.tolist() for column in columns))
     return out
 
 
+def blocks(data: np.ndarray, low: np.ndarray, high: np.ndarray, past: np.ndarray) -> list[np.ndarray]:
+    """The blocks of each interval: its number here, first start, last start, context, common.
+
+    A block holds the starts whose distances to the cut's name differ only in their last bits, so
+    equal windows are in blocks of the same place, and of the same common bytes.
+    """
+    names = Names(data)
+    head, tail = past // BLOCK, (high + past - low) // BLOCK
+    count = tail - head + 1
+    which = np.repeat(np.arange(len(low)), count)
+    nth = head[which] + np.arange(len(which)) - (np.cumsum(count) - count)[which]
+    top = (high + past)[which] - BLOCK * nth
+    a, b = np.maximum(low[which], top - BLOCK + 1), np.minimum(high[which], top)
+    core = names.of(top, top + LENGTH - BLOCK + 1)
+    return [which, a, b, names.of(a, b + LENGTH).view(np.int64), core.view(np.int64)]
+
+
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8"), np.uint8)
 
@@ -155,61 +177,119 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     return rows.join(twice, "name").groupBy("doc_key").agg(F.collect_set("place").alias("places"))
 
 
+def _told_apart(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """From rows (row_id, low, high, past, context, core, weight): stretches (row_id, start, end) of
+    contexts that occur twice, and one of each context that lies at an edge or is needed there.
+
+    A row of weight 2 stands for several, whose stretches are known.
+    """
+    one = F.min(F.struct("row_id", "low", "high", "past")).alias("one")
+    classes = rows.groupBy("context").agg(F.sum("weight").alias("n"), one, F.min("core").alias("core"))
+    classes = saved(classes, label)
+    edges = classes.groupBy("core").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1")
+    edge = classes.join(edges.select("core"), "core").select("one.*", F.least("n", F.lit(2)).alias("weight"))
+    twice = classes.where("n > 1").select("context")
+    whole = rows.where("weight = 1").select("context", "row_id", "low", "high").join(twice, "context")
+    return whole.select("row_id", F.col("low").alias("start"), (F.col("high") + LENGTH).alias("end")), edge
+
+
+def _beside(live: DataFrame, lists: DataFrame, column: str, how: str = "inner") -> DataFrame:
+    """Texts and the lists of their places, which are sent to the texts if they are few."""
+    total = lists.agg(F.sum(F.size(column))).first()[0] or 0
+    return live.join(F.broadcast(lists) if total <= BROADCAST_ROWS else lists, "row_id", how)
+
+
+def _listed(df: DataFrame, names: list[str], label: str) -> DataFrame:
+    """row_id and ``names`` as lists of equal order."""
+    lists = df.groupBy("row_id").agg(F.collect_list(F.struct(*names)).alias("all"))
+    return saved(lists.select("row_id", *(F.col(f"all.{name}").alias(name) for name in names)), label)
+
+
+def _arrays(batch: pa.RecordBatch, names: list[str]):
+    """row_id, the bytes of the text, and the lists of ``names`` as arrays, row by row."""
+    for row, text, *lists in zip(*(batch.column(c).to_pylist() for c in ("row_id", "text", *names))):
+        yield row, _bytes(text), *(np.array(values, np.int64) for values in lists)
+
+
+def _columns(parts: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
+    columns = [np.concatenate(column) for column in zip(*parts)] or [np.empty(0, np.int64)] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+
 def _cover(live: DataFrame) -> DataFrame:
     """row_id and stretches (start, end) of repeated bytes of the live documents."""
+    texts = live.select("row_id", "text")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [
-            (row, *interval)
+            (row, *interval, 1)
             for row, text, places in zip(*(batch.column(c).to_pylist() for c in ("row_id", "text", "places")))
             for interval in intervals(_bytes(text), np.array(places, np.int64))
         ]
-        kinds = [pa.int64()] * 5 + [pa.bool_()]
-        return _records(rows, ["row_id", "low", "high", "context", "core", "loose"], kinds)
+        kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64()]
+        return _records(rows, ["row_id", "low", "high", "past", "context", "core", "loose", "weight"], kinds)
 
-    schema = "row_id long, low long, high long, context long, core long, loose boolean"
+    schema = "row_id long, low long, high long, past long, context long, core long, loose boolean, weight long"
     rows = saved(map_slices(live.select("row_id", "text", "places"), cut, schema), "intervals")
-    near = rows.where("not loose")
-    classes = near.groupBy("context").agg(
-        F.count("*").alias("n"), F.min(F.struct("row_id", "low", "high")).alias("one"), F.min("core").alias("core")
-    )
-    classes = saved(classes, "contexts")
-    edges = classes.groupBy("core").agg(F.count("*").alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1")
-    edge = classes.join(edges.select("core"), "core").select("one.*", F.least("n", F.lit(2)).alias("weight"))
-    single = edge.union(rows.where("loose").select("row_id", "low", "high", F.lit(1).cast("long")))
-    single = single.groupBy("row_id").agg(F.collect_list(F.struct("low", "high", "weight")).alias("starts"))
+    whole, edge = _told_apart(rows.where("not loose").drop("loose"), "contexts")
+
+    names = ["low", "high", "past", "weight"]
+    out = ["row_id", "low", "high", "past", "context", "core", "weight"]
+
+    def split(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = []
+        for row, data, low, high, past, weight in _arrays(batch, names):
+            which, a, b, context, core = blocks(data, low, high, past)
+            parts.append([np.full(len(a), row), a, b, np.zeros(len(a), np.int64), context, core, weight[which]])
+        return _columns(parts, out)
+
+    some = _beside(texts, _listed(edge, names, "edges"), "low")
+    parts = saved(map_slices(some, split, ", ".join(f"{name} long" for name in out)), "blocks")
+    more, edge = _told_apart(parts, "block-contexts")
+
+    single = edge.drop("past").union(rows.where("loose").select("row_id", "low", "high", "weight"))
 
     def name(batch: pa.RecordBatch) -> pa.RecordBatch:
-        parts: list[list[np.ndarray]] = [[], [], [], []]
-        for row, text, starts in zip(*(batch.column(c).to_pylist() for c in ("row_id", "text", "starts"))):
-            names = Names(_bytes(text))
-            for s in starts:
-                at = np.arange(s["low"], s["high"] + 1)
-                found = (names.of(at, at + LENGTH).view(np.int64), np.full(len(at), row), at, np.full(len(at), s["weight"]))
-                for part, new in zip(parts, found):
-                    part.append(new)
-        columns = [pa.array(np.concatenate(p) if p else [], pa.int64()) for p in parts]
-        return pa.RecordBatch.from_arrays(columns, names=["name", "row_id", "start", "weight"])
-
-    named = map_slices(live.select("row_id", "text").join(single, "row_id"), name, "name long, row_id long, start long, weight long")
-    named = saved(named, "windows")
+        parts = []
+        for row, data, low, high, weight in _arrays(batch, ["low", "high", "weight"]):
+            count = high - low + 1
+            which = np.repeat(np.arange(len(low)), count)
+            at = low[which] + np.arange(len(which)) - (np.cumsum(count) - count)[which]
+            parts.append([Names(data).of(at, at + LENGTH).view(np.int64), np.full(len(at), row), at, weight[which]])
+        return _columns(parts, ["name", "row_id", "start", "weight"])
+
+    some = _beside(texts, _listed(single, ["low", "high", "weight"], "singles"), "low")
+    named = saved(map_slices(some, name, "name long, row_id long, start long, weight long"), "windows")
     twice = named.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
     found = named.where("weight = 1").join(twice, "name")
-    whole = near.join(classes.where("n > 1").select("context"), "context")
-    cover = whole.select("row_id", F.col("low").alias("start"), (F.col("high") + LENGTH).alias("end"))
-    return cover.union(found.select("row_id", "start", (F.col("start") + LENGTH).alias("end")))
+    return whole.union(more).union(found.select("row_id", "start", (F.col("start") + LENGTH).alias("end")))
+
+
+def _spans(cover: DataFrame) -> DataFrame:
+    """row_id and its stretches, merged where they meet, in order."""
+
+    def merge(batches):
+        for batch in batches:
+            out = []
+            for row, stretches in zip(batch.column("row_id").to_pylist(), batch.column("all").to_pylist()):
+                spans: list[list[int]] = []
+                for c in sorted(stretches, key=lambda c: c["start"]):
+                    if spans and c["start"] <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], c["end"])
+                    else:
+                        spans.append([c["start"], c["end"]])
+                out.append((row, [a for a, _ in spans], [b for _, b in spans]))
+            yield _records(out, ["row_id", "starts", "ends"], [pa.int64()] + [pa.list_(pa.int64())] * 2)
+
+    lists = cover.groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("all"))
+    return lists.mapInArrow(merge, "row_id long, starts array<long>, ends array<long>")
 
 
 def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
     """What is left of each text without its stretches."""
     rows = []
-    for doc_id, text, cover in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "cover"))):
-        data, spans = (text or "").encode("utf-8"), []
-        for c in sorted(cover or [], key=lambda c: c["start"]):
-            if spans and c["start"] <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], c["end"])
-            else:
-                spans.append([c["start"], c["end"]])
+    for doc_id, text, starts, ends in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "starts", "ends"))):
+        data, spans = (text or "").encode("utf-8"), list(zip(starts or [], ends or []))
         kept, at = hashlib.sha256(), 0
         for a, b in spans:
             kept.update(data[at:a])
@@ -230,10 +310,9 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     marked = docs.join(places, F.col("doc_key") == F.col("key"), "left").drop("doc_key", "key")
     live = marked.where("places is not null").withColumn("row_id", F.monotonically_increasing_id())
     live = saved(live, "live")
-    stretch = F.struct("start", "end")
-    cover = _cover(live).groupBy("row_id").agg(F.collect_list(stretch).alias("cover"))
+    spans = saved(_spans(_cover(live)), "spans")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string"
-    left = live.select("row_id", "doc_id", "text").join(cover, "row_id", "left")
-    none = F.lit(None).cast("array<struct<start: long, end: long>>").alias("cover")
-    rest = marked.where("places is null").select("doc_id", "text", none)
+    left = _beside(live.select("row_id", "doc_id", "text"), spans, "starts", "left").drop("row_id")
+    none = F.lit(None).cast("array<long>")
+    rest = marked.where("places is null").select("doc_id", "text", none.alias("starts"), none.alias("ends"))
     return map_slices(left, _remove, out).union(map_slices(rest, _remove, out))
