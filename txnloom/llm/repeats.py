@@ -14,7 +14,7 @@ taken modulo three).
    its windows have in common, lies at an edge of a repeat. It is cut into blocks of eight starts,
    which are told apart in the same way from the blocks of one interval of each context that has the
    same common bytes. Windows of blocks that are at an edge again are named one by one, and so are
-   windows that have no cut near.
+   windows that have no cut near; a text sends each name once.
 
 A null text is empty; texts under 400 bytes are left alone. Repeated rows are documents of their
 own, so all of a repeated row goes if it has 400 bytes. Empty tables give no rows.
@@ -34,7 +34,7 @@ from .tokens import CODES, STEP, Texts, mix, powers
 
 LENGTH = 400
 ANCHOR = 64
-GRAM, ONE_IN, NEAR = 16, 32, 128
+GRAM, ONE_IN, NEAR = 16, 32, 192
 BLOCK = 8
 #: Places in texts that are sent to every task, at most; beyond, texts are shuffled.
 BROADCAST_ROWS = 4_000_000
@@ -146,6 +146,27 @@ def blocks(data: np.ndarray, low: np.ndarray, high: np.ndarray, past: np.ndarray
     return [which, a, b, names.of(a, b + LENGTH).view(np.int64), core.view(np.int64)]
 
 
+def windows(data: np.ndarray, low: np.ndarray, high: np.ndarray, weight: np.ndarray) -> list[list[np.ndarray]]:
+    """Name, start, end and weight of the windows of each interval, one of each name.
+
+    Windows that this text has twice are known as repeated: their one row has weight 2, and rows of
+    weight 0 say what they cover.
+    """
+    count = high - low + 1
+    which = np.repeat(np.arange(len(low)), count)
+    at = low[which] + np.arange(len(which)) - (np.cumsum(count) - count)[which]
+    names, first, same, times = np.unique(
+        Names(data).of(at, at + LENGTH), return_index=True, return_inverse=True, return_counts=True
+    )
+    again = np.unique(at[times[same] > 1])
+    gap = np.flatnonzero(np.diff(again) > LENGTH) + 1
+    start = again[np.concatenate([[0], gap])] if len(again) else again
+    end = again[np.concatenate([gap, [len(again)]]) - 1] + LENGTH if len(again) else again
+    none = np.zeros(len(start), np.int64)
+    one = np.where(times > 1, 2, weight[which][first])
+    return [[names.view(np.int64), at[first], at[first] + LENGTH, one], [none, start, end, none]]
+
+
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8"), np.uint8)
 
@@ -252,17 +273,14 @@ def _cover(live: DataFrame) -> DataFrame:
     def name(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = []
         for row, data, low, high, weight in _arrays(batch, ["low", "high", "weight"]):
-            count = high - low + 1
-            which = np.repeat(np.arange(len(low)), count)
-            at = low[which] + np.arange(len(which)) - (np.cumsum(count) - count)[which]
-            parts.append([Names(data).of(at, at + LENGTH).view(np.int64), np.full(len(at), row), at, weight[which]])
-        return _columns(parts, ["name", "row_id", "start", "weight"])
+            parts += [[c[0], np.full(len(c[1]), row), *c[1:]] for c in windows(data, low, high, weight)]
+        return _columns(parts, ["name", "row_id", "start", "end", "weight"])
 
     some = _beside(texts, _listed(single, ["low", "high", "weight"], "singles"), "low")
-    named = saved(map_slices(some, name, "name long, row_id long, start long, weight long"), "windows")
-    twice = named.groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
-    found = named.where("weight = 1").join(twice, "name")
-    return whole.union(more).union(found.select("row_id", "start", (F.col("start") + LENGTH).alias("end")))
+    named = saved(map_slices(some, name, "name long, row_id long, start long, end long, weight long"), "windows")
+    twice = named.where("weight > 0").groupBy("name").agg(F.sum("weight").alias("n")).where("n > 1").select("name")
+    found = named.where("weight = 1").join(twice, "name").union(named.where("weight = 0"))
+    return whole.union(more).union(found.select("row_id", "start", "end"))
 
 
 def _spans(cover: DataFrame) -> DataFrame:
