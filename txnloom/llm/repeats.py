@@ -318,19 +318,36 @@ def _remove(batch: pa.RecordBatch) -> pa.RecordBatch:
     return _records(rows, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"], kinds)
 
 
+def _untouched(docs: DataFrame) -> DataFrame:
+    """doc_id, doc_key, length and digest of every document as it is."""
+
+    def compute(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, keys = Texts(batch.column(1)), batch.column(2)
+        whole = [texts.data[a:b] for a, b in zip(texts.offsets, texts.offsets[1:])]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), keys, pa.array([len(w) for w in whole], pa.int64()), pa.array([hashlib.sha256(w).hexdigest() for w in whole], pa.string())],
+            names=["doc_id", "doc_key", "n_bytes", "kept_sha256"],
+        )
+
+    return map_slices(docs, compute, "doc_id long, doc_key long, n_bytes long, kept_sha256 string")
+
+
 def repeated_bytes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans of every document.
+
+    Texts without a repeated anchor are never shuffled while the others are at most BROADCAST_ROWS.
+    """
     docs = doc_columns(docs).withColumn("doc_key", F.xxhash64("doc_id", "text"))
-    places = saved(repeated_anchors(docs), "places").withColumnRenamed("doc_key", "key")
-    total = places.agg(F.sum(F.size("places"))).first()[0] or 0
-    if total <= BROADCAST_ROWS:
-        places = F.broadcast(places)
-    marked = docs.join(places, F.col("doc_key") == F.col("key"), "left").drop("doc_key", "key")
-    live = marked.where("places is not null").withColumn("row_id", F.monotonically_increasing_id())
+    places = saved(repeated_anchors(docs), "places")
+    keys = places.select("doc_key")
+    few = keys.count() <= BROADCAST_ROWS
+    live = docs.join(F.broadcast(keys) if few else keys, "doc_key", "left_semi").join(places, "doc_key")
+    live = live.select("doc_id", "text", "places").withColumn("row_id", F.monotonically_increasing_id())
     live = saved(live, "live")
     spans = saved(_spans(_cover(live)), "spans")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string"
     left = _beside(live.select("row_id", "doc_id", "text"), spans, "starts", "left").drop("row_id")
-    none = F.lit(None).cast("array<long>")
-    rest = marked.where("places is null").select("doc_id", "text", none.alias("starts"), none.alias("ends"))
-    return map_slices(left, _remove, out).union(map_slices(rest, _remove, out))
+    rest = _untouched(docs).join(keys, "doc_key", "left_anti")
+    none = F.lit(0).cast("long")
+    rest = rest.select("doc_id", "n_bytes", none.alias("n_removed"), none.alias("n_spans"), "kept_sha256", F.lit("").alias("spans"))
+    return map_slices(left, _remove, out).union(rest)
