@@ -91,6 +91,22 @@ def test_rejects_are_kept(spark, files, payload):
         assert values(spark.read.parquet(f"{place}/rejects")) == [("junk",)]
 
 
+def test_rejected_lines_are_kept(spark, files, payload):
+    raw = scratch_path(spark, "raw")
+    spark.createDataFrame([(payload("csv"),), ("  ",), (None,)], "value string").write.parquet(raw)
+    modes = (["--batch"], ["--drain", "--checkpoint", str(files / "check")])
+    for mode in (*modes, [*modes[1], "--forget-after", "1 hour"]):
+        place = str(files / f"out{len(mode)}")
+        mode = [part.replace("check", f"check{len(mode)}") if "/" in part else part for part in mode]
+        jobs.run(
+            spark,
+            ["enrich-csv", "--input", raw, "--output", f"{place}/table", *mode]
+            + ["--rejects", f"{place}/rejects", "--rates", str(files / "rates")],
+        )
+        assert sinks.read_table(spark, f"{place}/table").count() == 1
+        assert values(spark.read.parquet(f"{place}/rejects")) == [("  ",), (None,)]
+
+
 def test_limit_caps_a_replay(spark, files):
     raw = str(files / "raw")
     jobs.run(spark, ["publish-lines", "--csv", str(files / "csv"), "--output", raw, "--limit", "3"])

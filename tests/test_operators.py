@@ -136,3 +136,23 @@ def test_survivor_does_not_depend_on_partitioning(spark):
 def test_key_alone(spark):
     df = spark.createDataFrame([("1",), ("1",), (None,)], "transaction_id string")
     assert values(op.drop_repeated_ids(df)) == [("1",), (None,)]
+
+
+@pytest.mark.parametrize("bound", [10_000, 1])
+def test_rates_stay_as_they_were_when_planned(spark, tmp_path, bound):
+    path = str(tmp_path / "rates")
+    columns = "currency string, rate double"
+    spark.createDataFrame([("EUR", 2.0), ("USD", 1.0)], columns).write.parquet(path)
+    df = money(spark, ("a", 6.0, "EUR"), ("b", 6.0, "ZZZ"))
+    planned = op.usd_amount(df, spark.read.parquet(path), max_broadcast_rates=bound)
+    new = spark.createDataFrame([("EUR", 3.0), ("EUR", 4.0)], columns)
+    new.write.mode("overwrite").parquet(path)
+    assert values(planned, "id", "rate_usd") == [("a", 3.0), ("b", None)]
+
+
+def test_lines_without_an_id_are_rejected(spark, payload):
+    lines = [payload("csv"), payload("csv", transaction_id=" "), "", "   ", None, ",x", '"",x']
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    bad = {None, "", "   ", ",x", lines[1]}
+    assert {row[0] for row in op.rejected_csv(df).collect()} == bad
+    assert {row[0] for row in op.rejected_csv(df, unquote=True).collect()} == bad | {'"",x'}

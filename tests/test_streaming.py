@@ -222,3 +222,14 @@ def test_a_failed_query_stops_its_companion(spark, payload):
     with pytest.raises(Exception, match="sink is down"):
         streaming.run_until_stopped(steady, failing)
     assert not steady.isActive
+
+
+def test_bounded_state_loses_no_row_for_its_time(spark, payload):
+    folder, add = message_folder(spark, [payload(transaction_id="1", timestamp="2999-01-01T00:00:00Z")])
+    add(payload(transaction_id="2", timestamp="zzz"), payload(transaction_id="2", timestamp="zzz"))
+    add(payload(transaction_id="1"), payload(transaction_id="3"))
+    stream = stream_of(spark, folder, max_files_per_trigger=1)
+    rows = op.parse_json(stream).select("transaction_id", "timestamp")
+    out = scratch_path(spark, "out")
+    drain(op.drop_repeated_ids_within(rows, "1 hour"), out, scratch_path(spark, "check"))
+    assert values(spark.read.parquet(out), "transaction_id") == [("1",), ("2",), ("3",)]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from txnloom import plans, sinks, sources, streaming
-from txnloom.operators import rejected_json
+from txnloom.operators import rejected_csv, rejected_json
 from txnloom.session import build_session, size_shuffle
 from txnloom.sources import JdbcTarget
 
@@ -63,6 +63,8 @@ def _enrich_arguments(job: argparse.ArgumentParser, topic: str, fx: str) -> None
     job.add_argument("--rates", required=True, help="CSV of currency,rate with a header")
     job.add_argument("--fx", default=fx, choices=("divide", "multiply"))
     job.add_argument("--spread", type=int, help="slots that split a hot transaction id")
+    job.add_argument("--forget-after", help="forget a stream's ids so long after they arrived")
+    job.add_argument("--rejects", help="Parquet folder for payloads without an id")
     job.add_argument("--output", help="Parquet table; the default is JDBC from DB_* variables")
     job.add_argument("--ranges", type=int, help="id ranges, hence files, per Parquet append")
     job.add_argument(
@@ -94,7 +96,6 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("enrich-json", help="JSON messages to the target table")
     _enrich_arguments(job, NORMALIZED_TOPIC, "multiply")
     job.add_argument("--strict", action="store_true", help="null where a token's type differs")
-    job.add_argument("--rejects", help="Parquet folder for payloads without an id")
 
     job = jobs.add_parser("enrich-csv", help="CSV lines to the target table")
     _enrich_arguments(job, RAW_TOPIC, "divide")
@@ -185,21 +186,34 @@ def normalize(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQu
 def _load(
     spark: SparkSession,
     args: argparse.Namespace,
-    enrich: Callable[[DataFrame, DataFrame], DataFrame],
+    enrich: Callable[..., DataFrame],
+    rejected: Callable[[DataFrame], DataFrame],
 ) -> list[StreamingQuery]:
-    """Enrich the input into the target table, as one batch or as a stream."""
+    """Enrich the input into the target table, as one batch or as a stream.
+
+    With ``--rejects``, payloads without an id go to a folder of their own.
+    """
+    if args.spread and args.forget_after:
+        raise SystemExit("choose --spread or --forget-after")
     if args.batch and args.input is not None:
         size_shuffle(spark, args.input)
     payloads = messages(spark, args, streaming=not args.batch)
-    rows = enrich(payloads, sources.rates_from_csv(spark, args.rates))
-    rejects = getattr(args, "rejects", None)
+    rows = enrich(
+        payloads,
+        sources.rates_from_csv(spark, args.rates),
+        fx=args.fx,
+        with_id_only=args.rejects is not None,
+        spread=args.spread,
+        forget_after=args.forget_after,
+    )
+    rejects = args.rejects
     if args.batch:
         if args.output is not None:
             sinks.append_new(rows, args.output, unique=True, bulk=True, ranges=args.ranges)
         else:
             sinks.append_new_jdbc(rows, JdbcTarget.from_env())
         if rejects is not None:
-            rejected_json(payloads).write.mode("append").parquet(rejects)
+            rejected(payloads).write.mode("append").parquet(rejects)
         return []
     sink = (
         streaming.jdbc_sink(JdbcTarget.from_env(), args.sole_writer)
@@ -212,7 +226,7 @@ def _load(
     if rejects is not None:
         queries.append(
             streaming.start_files(
-                rejected_json(payloads),
+                rejected(payloads),
                 rejects,
                 checkpoint(args, "rejects"),
                 every=args.every,
@@ -223,23 +237,12 @@ def _load(
 
 
 def enrich_json(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
-    options = {
-        "fx": args.fx,
-        "strict": args.strict,
-        "with_id_only": args.rejects is not None,
-        "spread": args.spread,
-    }
-    return _load(spark, args, partial(plans.enrich_json, **options))
+    return _load(spark, args, partial(plans.enrich_json, strict=args.strict), rejected_json)
 
 
 def enrich_csv(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
-    options = {
-        "fx": args.fx,
-        "unquote": args.unquote,
-        "string_rule": args.string_rule,
-        "spread": args.spread,
-    }
-    return _load(spark, args, partial(plans.enrich_csv, **options))
+    enrich = partial(plans.enrich_csv, unquote=args.unquote, string_rule=args.string_rule)
+    return _load(spark, args, enrich, partial(rejected_csv, unquote=args.unquote))
 
 
 def create_table(spark: SparkSession, args: argparse.Namespace) -> None:

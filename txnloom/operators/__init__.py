@@ -9,10 +9,12 @@ from .fx import join_currency, usd_amount
 from .parse import (
     cast_fields,
     coerce_strict,
+    has_id,
     parse_csv_line,
     parse_json,
     parse_wire_json,
     payload_to_string,
+    rejected_csv,
     rejected_json,
 )
 
@@ -23,6 +25,7 @@ __all__ = [
     "drop_repeated_ids",
     "drop_repeated_ids_spread",
     "drop_repeated_ids_within",
+    "has_id",
     "join_currency",
     "keep_first",
     "normalize_timestamp",
@@ -30,6 +33,7 @@ __all__ = [
     "parse_json",
     "parse_wire_json",
     "payload_to_string",
+    "rejected_csv",
     "rejected_json",
     "usd_amount",
 ]

@@ -41,35 +41,26 @@ def keep_first(
     return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 
 
-def drop_repeated_ids_within(
-    df: DataFrame, delay: str, key: str = KEY, event_time: str = EVENT_TIME
-) -> DataFrame:
-    """Stream form with bounded state: ids older than ``delay`` are forgotten.
+def drop_repeated_ids_within(df: DataFrame, delay: str, key: str = KEY) -> DataFrame:
+    """Stream form with bounded state: an id is forgotten ``delay`` after it arrived.
 
-    A repeat that arrives later than that is kept, so this is not the full
-    de-duplication; it trades that for state that stops growing.
+    A repeat that comes later than that is kept. Arrival is the micro-batch's clock,
+    not the event time, so a row of whatever time, or none, is never late. ``delay``
+    must exceed any step back of the driver's clock.
     """
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    marked = df.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", delay)
+    return marked.dropDuplicatesWithinWatermark([key]).drop("_seen")
 
 
-def drop_repeated_ids_spread(
-    df: DataFrame, key: str = KEY, spread: int = 16, memory: str = "1 hour"
-) -> DataFrame:
+def drop_repeated_ids_spread(df: DataFrame, key: str = KEY, spread: int = 16) -> DataFrame:
     """Stream form for hot ids: two stages, the first over ``(id, slot)``.
 
     A stream has no pre-shuffle combine, so every copy of an id goes to one task.
     Here copies first meet in ``spread`` slots taken from the input task number,
-    and only what is new to a slot goes on. The first stage forgets after
-    ``memory`` of processing time, the second never does, so the result is the
-    full de-duplication. ``memory`` must exceed any step back of the driver's
-    clock. It costs one more shuffle and short-lived state: about twice the time
-    where ids are not hot.
+    and only what is new to a slot goes on. Neither stage forgets, so no row can be
+    lost. It costs one more shuffle and as much state again, or up to ``spread``
+    times for an id that comes that often.
     """
     slot = F.pmod(F.spark_partition_id(), F.lit(spread))
-    return (
-        df.withColumns({"_slot": slot, "_seen": F.current_timestamp()})
-        .withWatermark("_seen", memory)
-        .dropDuplicatesWithinWatermark([key, "_slot"])
-        .drop("_slot", "_seen")
-        .dropDuplicates([key])
-    )
+    placed = df.withColumn("_slot", slot).dropDuplicates([key, "_slot"])
+    return placed.drop("_slot").dropDuplicates([key])

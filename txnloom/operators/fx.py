@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 # There are under 200 currency codes; a table past this many rows is not
 # broadcast and takes the salted join instead.
 MAX_BROADCAST_RATES = 10_000
@@ -27,32 +28,32 @@ def _salted_left_join(df: DataFrame, rates: DataFrame) -> DataFrame:
     return salted.join(copies, ["currency", "_salt"], "left").drop("_salt")
 
 
+def frozen_rates(rates: DataFrame) -> DataFrame:
+    """The rates as they are now, kept in the shared scratch folder; a currency may come once."""
+    spark = rates.sparkSession
+    path = scratch_path(spark, "rates")
+    kept = rates.select(F.col("currency"), F.col("rate").cast("double").alias("rate"))
+    kept.write.parquet(path)
+    kept = spark.read.schema(kept.schema).parquet(path)
+    if not kept.groupBy("currency").count().where("count > 1").isEmpty():
+        raise ValueError("the rate table lists a currency twice")
+    return kept
+
+
 def join_currency(
     df: DataFrame, rates: DataFrame, max_broadcast_rates: int = MAX_BROADCAST_RATES
 ) -> DataFrame:
     """Left join ``rates(currency, rate)``; an unknown or null currency gets a null rate.
 
-    Rows are never multiplied: a currency with two rates raises ``ValueError``.
-    A rate table within the bound is read once, here, and broadcast as a literal
-    relation, so neither the transactions nor any micro-batch shuffles for it.
+    Rows are never multiplied: a currency with two rates raises ``ValueError``. The
+    rates are read once, here, and every batch joins that copy. Their number decides
+    only how: within the bound they are broadcast, so neither the transactions nor
+    any micro-batch shuffles for them.
     """
-    rates = rates.select(F.col("currency"), F.col("rate").cast("double").alias("rate"))
-    rows = rates.limit(max_broadcast_rates + 1).collect()
-    if len(rows) > max_broadcast_rates:
-        if not rates.groupBy("currency").count().where("count > 1").isEmpty():
-            raise ValueError("the rate table lists a currency twice")
-        return _salted_left_join(df, rates)
-    codes = [row["currency"] for row in rows]
-    if len(set(codes)) < len(codes):
-        raise ValueError("the rate table lists a currency twice")
-    fixed = pa.table(
-        {
-            "currency": pa.array(codes, pa.string()),
-            "rate": pa.array([row["rate"] for row in rows], pa.float64()),
-        }
-    )
-    local = df.sparkSession.createDataFrame(fixed)
-    return df.join(F.broadcast(local), "currency", "left")
+    kept = frozen_rates(rates)
+    if kept.count() > max_broadcast_rates:
+        return _salted_left_join(df, kept)
+    return df.join(F.broadcast(kept), "currency", "left")
 
 
 def usd_amount(

@@ -113,6 +113,11 @@ def coerce_strict(df: DataFrame) -> DataFrame:
     return df.withColumns({**numbers, **flags})
 
 
+def has_id(key: Column) -> Column:
+    """Whether an id is there and not blank; never null."""
+    return F.coalesce(key.rlike(r"\S"), F.lit(False))
+
+
 def rejected_json(df: DataFrame, column: str = "value") -> DataFrame:
     """JSON payloads that yield no transaction id, with their original text.
 
@@ -120,7 +125,17 @@ def rejected_json(df: DataFrame, column: str = "value") -> DataFrame:
     """
     text = F.col(column).cast("string")
     found = F.from_json(text, ddl(TRANSACTION[:1]))[KEY]
-    return df.where(found.isNull()).select(text.alias(column))
+    return df.where(~has_id(found)).select(text.alias(column))
+
+
+def rejected_csv(df: DataFrame, column: str = "value", unquote: bool = False) -> DataFrame:
+    """CSV lines that yield no transaction id, null and blank lines too, with their text."""
+    text = F.col(column).cast("string")
+    if unquote:
+        found = F.from_csv(text, all_string_ddl(), {"escape": '"'})[KEY]
+    else:
+        found = F.get(split_csv_line(text), F.lit(FIELD_NAMES.index(KEY)))
+    return df.where(~has_id(found)).select(text.alias(column))
 
 
 # What a publisher writes per field: numbers only where it converted them.

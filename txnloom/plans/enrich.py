@@ -15,6 +15,8 @@ from ..operators import (
     cast_fields,
     drop_repeated_ids,
     drop_repeated_ids_spread,
+    drop_repeated_ids_within,
+    has_id,
     parse_csv_line,
     parse_json,
     payload_to_string,
@@ -30,17 +32,24 @@ def enrich(
     string_rule: bool = False,
     with_id_only: bool = False,
     spread: int | None = None,
+    forget_after: str | None = None,
 ) -> DataFrame:
     """De-duplicate, date, convert and conform typed transactions; batch or stream.
 
-    ``with_id_only`` leaves out rows without an id, which a keyed table refuses;
-    ``rejected_json`` gives their payloads. ``spread`` splits hot ids of a stream,
-    as ``drop_repeated_ids_spread`` does; batch needs no such setting.
+    ``with_id_only`` leaves out rows without an id, which a keyed table refuses, and
+    blank ids, before they reach any state; ``rejected_json`` and ``rejected_csv``
+    give their payloads. ``spread`` splits hot ids of a stream, as
+    ``drop_repeated_ids_spread`` does, and ``forget_after`` bounds a stream's state,
+    as ``drop_repeated_ids_within`` does; batch needs neither.
     """
     rows = transactions.drop(VELOCITY)
     if with_id_only:
-        rows = rows.where(F.col(KEY).isNotNull())
-    if spread and rows.isStreaming:
+        rows = rows.where(has_id(F.col(KEY)))
+    if spread and forget_after:
+        raise ValueError("choose spread or forget_after")
+    if forget_after and rows.isStreaming:
+        unique = drop_repeated_ids_within(rows, forget_after)
+    elif spread and rows.isStreaming:
         unique = drop_repeated_ids_spread(rows, spread=spread)
     else:
         unique = drop_repeated_ids(rows)

@@ -251,13 +251,17 @@ ORACLE: dict[str, str] = {
     "target_contract": EVENT_TARGET,
     "sink_foreach_batch": EVENT_TARGET,
     "sink_idempotent_append": idempotent_append_sql(),
-    "partitioned_sink_lookup": f"SELECT * FROM ({EVENT_TARGET}) WHERE year = 2024 AND month = 1",
+    "partitioned_sink_lookup": (
+        f"SELECT * FROM ({EVENT_TARGET}) WHERE year = 2024 AND month = 1 AND day = 1 "
+        "AND transaction_id = '150'"
+    ),
     "stream_enrich": (
         "SELECT * REPLACE (CAST(card_present AS VARCHAR) AS card_present) "
         f"FROM ({target_sql('events', '/', loose_bool, True)})"
     ),
     "stream_dedup": UNIQUE_EVENTS,
     "stream_dedup_spread": UNIQUE_EVENTS,
+    "stream_dedup_within": UNIQUE_EVENTS,
     "enrich_csv": target_sql("lineitem", "/", loose_bool, True),
     "enrich_json": target_sql("lineitem", "*", literal_true),
 }

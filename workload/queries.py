@@ -264,7 +264,7 @@ def sink_idempotent_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partitioned_sink_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lookup")
     sinks.write_partitioned(_event_target(spark, sf_dir), path)
-    return sinks.lookup(spark, path, year=2024, month=1)
+    return sinks.lookup(spark, path, year=2024, month=1, day=1, transaction_id="150")
 
 
 # ---------------------------------------------------------------- streams
@@ -298,6 +298,23 @@ def stream_dedup_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(unique.schema).parquet(out)
 
 
+def stream_dedup_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows in two micro-batches with the same ids; ids are kept for an hour."""
+    columns = ("transaction_id", "timestamp", "merchant")
+    rows = read_rows(spark, sf_dir, "events").select(*columns).coalesce(1)
+    folder = scratch_path(spark, "twice")
+    for _ in range(2):
+        rows.write.mode("append").parquet(folder)
+    stream = sources.parquet_rows(
+        spark, folder, rows.schema, streaming=True, max_files_per_trigger=1
+    )
+    unique = op.drop_repeated_ids_within(stream, "1 hour")
+    out = scratch_path(spark, "stream-within")
+    query = streaming.start_files(unique, out, scratch_path(spark, "checkpoint"), drain=True)
+    query.awaitTermination()
+    return spark.read.schema(unique.schema).parquet(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -330,6 +347,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_enrich,
         stream_dedup,
         stream_dedup_spread,
+        stream_dedup_within,
         enrich_csv,
         enrich_json,
     )
