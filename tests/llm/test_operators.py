@@ -170,7 +170,9 @@ def test_leaks_against_edit_distance():
                 assert found[i][3] == least == distance(item, text[found[i][1] : found[i][2]])
 
 
-def test_repeats_against_brute_force(spark):
+@pytest.mark.parametrize("bound", [0, repeats.BROADCAST_ROWS])
+def test_repeats_against_brute_force(spark, monkeypatch, bound):
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", bound)
     rng = random.Random(5)
     text = lambda n: "".join(rng.choice("abcdefgh é\n") for _ in range(n))
     shared, other = text(500), text(390)
@@ -183,6 +185,8 @@ def test_repeats_against_brute_force(spark):
         (6, text(1200)),
         (6, None),
     ]
+    rows += [(9, text(100) + "xyz" * 200 + text(100)), (10, "xyz" * 140 + text(300))]
+    rows += [(11 + i, text(20 * i) + shared[i : 401 + 3 * i] + text(9)) for i in range(12)]
     rows += [(7, rows[5][1])] * 2 + [(8, rows[5][1][:600] + "!" + rows[5][1][600:])]
     counts = Counter()
     data = [(i, (t or "").encode()) for i, t in rows]
