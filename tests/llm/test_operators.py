@@ -313,6 +313,39 @@ def test_prefix_overlap_in_sql(spark):
         assert got == jaccard.prefix_overlap(n, m)
 
 
+def test_common_overlap_of_first_quarters(spark):
+    rng = random.Random(7)
+    for _ in range(3000):
+        n = rng.randint(1, 200)
+        m = rng.randint(-(-3 * n // 4), 4 * n // 3)
+        both = rng.randint(int(jaccard.enough(n, m)), min(n, m)) if jaccard.enough(n, m) <= min(n, m) else 0
+        order = list(range(n + m - both))
+        rng.shuffle(order)
+        x, y = sorted(order[:n]), sorted(order[n - both :])
+        if both:
+            assert len({*x[: n // 4 + 1]} & {*y[: m // 4 + 1]}) >= jaccard.common_overlap(n, m)
+    rows = spark.range(1, 80).selectExpr("cast(id as int) n").crossJoin(spark.range(1, 110).selectExpr("cast(id as int) m"))
+    rows = rows.withColumn("k", jaccard._common_overlap("n", "m")).withColumn("low", F.least("n", "m")).withColumn("high", F.greatest("n", "m"))
+    for n, m, k, low, high, least in rows.withColumn("least", jaccard._least_common("n", "low", "high")).collect():
+        assert k == jaccard.common_overlap(n, m)
+        near = [i for i in range(low, high + 1) if 4 * i >= 3 * n and 4 * n >= 3 * i]
+        assert least <= min(jaccard.common_overlap(n, np.array(near)))
+
+
+def test_cut_and_extended_copies_link(spark):
+    rng = random.Random(5)
+    rows = []
+    for size in (6, 9, 20, 41, 75, 150, 300, 600, 1000):
+        for share in (0.75, 0.78, 0.8, 0.85, 0.9):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(size + 4)]
+            n = -(-int(100 * share) * size // 100)
+            cut = words[: n + 4] if rng.random() < 0.5 else words[-n - 4 :]
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(cut))]
+    got = Counter(map(tuple, jaccard.similar_documents(frame(spark, rows)).collect()))
+    assert got == links(rows)
+    assert all(component == i - i % 2 for i, _, component in got)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (102, 101), (7, 7)]
     out = dict(components.components(spark.createDataFrame(edges, "u long, v long")).collect())
