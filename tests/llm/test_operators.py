@@ -143,6 +143,28 @@ def test_held_out_labels(spark, name, label):
     assert sum(p == y for p, y in held) / len(held) > 0.95
 
 
+@pytest.mark.parametrize("size, others, recall", [("sf0.01", 1, 0.6), ("sf0.1", 1, 0.9), ("sf0.1", 8, 0.6)])
+def test_recall_of_toxic_documents(spark, size, others, recall):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{size}/{name}.parquet") for name in ("documents", "labels"))
+    # every so many of the other labels, so that the share of toxic ones differs
+    some = labels.where((F.col("toxic") == 1) | (F.pmod(F.xxhash64("doc_id"), F.lit(others)) == 0))
+    rows = toxicity.score(docs, toxicity.train(docs, some)).where("held_out").join(labels.where("toxic = 1"), "doc_id")
+    found = [r["predicted"] for r in rows.collect()]
+    assert len(found) > 10
+    assert sum(found) / len(found) >= recall
+
+
+def test_least_surprise():
+    rng = np.random.default_rng(3)
+    surprise = np.concatenate([rng.exponential(1, 5000), rng.uniform(5, 60, 40)])
+    steps, counts = np.unique(np.floor(surprise * toxicity.FINE), return_counts=True)
+    least = toxicity.least_surprise(steps, counts, 0 * counts)
+    ranked = -np.sort(-surprise)
+    passed = np.flatnonzero(np.exp(-ranked) <= toxicity.FALSE * np.arange(1, len(ranked) + 1) / len(ranked))
+    assert ranked[passed[-1]] - 0.5 <= least <= ranked[passed[-1]] + 0.5
+    assert toxicity.least_surprise(steps[:5], counts[:5], 0 * counts[:5]) == float("inf")
+
+
 def test_leaks_against_edit_distance():
     def distance(pattern, text):
         before = [0] * (len(text) + 1)

@@ -2,8 +2,9 @@
 
 Tokens are counted in toxic and other labelled documents. Each token's score is the logarithm of
 its smoothed frequency in toxic over that in other documents, where a Dirichlet prior, shaped like
-the pooled counts, does the smoothing. Tokens without clear evidence share one slightly negative
-score. One pass over a document finds all maximal segments of positive total.
+the pooled counts, does the smoothing. Tokens count by a bound on false discoveries: however many are
+tested and whatever the share of toxic labels, about ``FALSE`` of those with a score of their own have
+it by chance. The others share one slightly negative score. One pass over a document finds all maximal segments of positive total.
 
 Scores that are log-odds have the scale 1 of extreme-value theory: a segment of total S in n
 tokens has the expectation n * exp(-S), and the probability 1 - exp(-n * exp(-S)). A document's
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_columns, filter_slices, labelled, logistic_fit, map_slices, remainder, saved
@@ -33,8 +34,11 @@ THRESHOLD = 0.3
 MAX_TRAINING = 40_000
 #: Tokens in the model, at most, by weight of evidence.
 MAX_TOKENS = 65_536
-#: Weight of the Dirichlet prior, in tokens; least documents and least z for a token to count.
-PRIOR, MIN_DOCS, MIN_Z = 500.0, 5, 8.0
+#: Weight of the Dirichlet prior, in tokens; least documents of a token to be tested; share of the
+#: tokens with a score that may have it by chance.
+PRIOR, MIN_DOCS, FALSE = 500.0, 5, 0.05
+#: Steps of surprise for each unit, and the most, that the bound on false discoveries tells apart.
+FINE, MOST = 10, 2000
 #: A segment is significant up to this probability.
 SIGNIFICANT = 0.5
 MAX_EVIDENCE = 200.0
@@ -113,6 +117,34 @@ def _evidence(texts: Texts, model: Model) -> np.ndarray:
     return np.minimum(total, MAX_EVIDENCE)
 
 
+def _surprise(k: Column, n: Column, share: float) -> Column:
+    """-ln of the probability, at most (Chernoff, both sides), that k of n documents are toxic when
+    this share of all is."""
+
+    def term(a: Column, b: float) -> Column:
+        return F.when(a > 0, a * F.log(a / b)).otherwise(0.0)
+
+    return n * (term(k / n, share) + term(1 - k / n, 1 - share)) - float(np.log(2))
+
+
+def least_surprise(steps: np.ndarray, counts: np.ndarray, common: np.ndarray) -> float:
+    """The surprise from which tokens count (Benjamini and Hochberg), from how many tokens there are
+    at each step of surprise, FINE to the unit; infinite if none do.
+
+    Documents differ in topic, so tokens vary by more than chance. ``common`` counts the tokens that
+    are frequent enough to show by how much: their median sets the unit of variance, at least 1.
+    """
+    if not counts.sum():
+        return float("inf")
+    order = np.argsort(-steps)
+    steps, above, common = steps[order], np.cumsum(counts[order]), np.cumsum(common[order])
+    square = 2 * (steps / FINE + np.log(2))
+    spread = max(square[np.searchsorted(common, common[-1] / 2)] / 0.455, 1.0) if common[-1] else 1.0
+    surprise = square / 2 / spread - np.log(2)
+    good = np.flatnonzero(np.log(above[-1]) - surprise <= np.log(FALSE * above))
+    return float(steps[good[-1]]) / FINE if len(good) else float("inf")
+
+
 def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING) -> Model:
     known = F.broadcast(labelled(labels, "toxic", PARTS, HELD, max_training))  # bounded
     training = saved(doc_columns(docs).join(known, "doc_id"), "toxic-training")
@@ -142,12 +174,14 @@ def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING)
         prior = PRIOR * (F.col("toxic") + F.col("other")) / (n_toxic + n_other)
         p, q = (F.col("toxic") + prior) / (n_toxic + PRIOR), (F.col("other") + prior) / (n_other + PRIOR)
         score = F.log(p / q)
-        # documents with the token that are toxic, against as many of all labelled documents
-        expected = (F.col("toxic_docs") + F.col("other_docs")) * share
-        z = (F.col("toxic_docs") - expected) / F.sqrt(expected * (1 - share))
-        chosen = counted.where(F.col("toxic_docs") + F.col("other_docs") >= MIN_DOCS)
-        chosen = chosen.select("token", score.alias("score"), z.alias("z"), p.alias("p"), q.alias("q"))
-        chosen = chosen.where(F.abs("z") >= MIN_Z).orderBy(F.abs("z").desc(), "token").limit(MAX_TOKENS)
+        n_docs = F.col("toxic_docs") + F.col("other_docs")
+        tested = counted.where(n_docs >= MIN_DOCS)
+        common = (n_docs * min(share, 1 - share) >= MIN_DOCS).alias("common")
+        tested = tested.select("token", common, score.alias("score"), _surprise(F.col("toxic_docs"), n_docs, share).alias("surprise"), p.alias("p"), q.alias("q"))
+        step = F.least(F.floor(F.col("surprise") * FINE), F.lit(MOST * FINE)).alias("step")
+        steps = tested.groupBy(step).agg(F.count("*").alias("all"), F.count_if("common").alias("common")).toPandas()
+        least = least_surprise(*(steps[c].to_numpy(float) for c in ("step", "all", "common")))
+        chosen = tested.where(F.col("surprise") >= least).orderBy(F.desc("surprise"), "token").limit(MAX_TOKENS)
         rows = chosen.toPandas()
         hashes = rows["token"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(hashes)
