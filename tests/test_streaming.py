@@ -233,3 +233,16 @@ def test_bounded_state_loses_no_row_for_its_time(spark, payload):
     out = scratch_path(spark, "out")
     drain(op.drop_repeated_ids_within(rows, "1 hour"), out, scratch_path(spark, "check"))
     assert values(spark.read.parquet(out), "transaction_id") == [("1",), ("2",), ("3",)]
+
+
+def test_a_delivery_is_many_files_and_one_batch(spark, tmp_path, monkeypatch):
+    from workload import queries
+
+    monkeypatch.setattr(queries, "scratch_path", lambda _, label: str(tmp_path / label))
+    queries.stream_dedup_within(spark, "/root/testdata/sf0.001").count()
+    files = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "twice").glob("*.parquet")}
+    log = [(tmp_path / "checkpoint" / "sources" / "0" / n).read_text() for n in ("0", "1")]
+    assert len(files) > 2
+    first, second = ({name for name in files if name in batch} for batch in log)
+    assert len(first) == len(second) == len(files) // 2 and first | second == set(files)
+    assert max(files[n] for n in first) <= min(files[n] for n in second)

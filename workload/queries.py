@@ -301,12 +301,15 @@ def stream_dedup_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows in two micro-batches with the same ids; ids are kept for an hour."""
     columns = ("transaction_id", "timestamp", "merchant")
-    rows = read_rows(spark, sf_dir, "events").select(*columns).coalesce(1)
+    rows = read_rows(spark, sf_dir, "events").select(*columns)
+    rows = rows.repartition(spark.sparkContext.defaultParallelism)
     folder = scratch_path(spark, "twice")
     for _ in range(2):
         rows.write.mode("append").parquet(folder)
+    # half of the files are one delivery
+    files = len(spark.read.schema(rows.schema).parquet(folder).inputFiles()) // 2
     stream = sources.parquet_rows(
-        spark, folder, rows.schema, streaming=True, max_files_per_trigger=1
+        spark, folder, rows.schema, streaming=True, max_files_per_trigger=files
     )
     unique = op.drop_repeated_ids_within(stream, "1 hour")
     out = scratch_path(spark, "stream-within")
