@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, host_quality, jaccard, line_dedup, nbsvm, packing, pii, repeats, toxicity, warc
+from . import decontaminate, host_quality, jaccard, line_dedup, merkle, multiset_hash, nbsvm, packing, pii
+from . import repeats, toxicity, variants, warc
 from .common import table
 
 
@@ -54,6 +55,18 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variant_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality": op1_host_quality,
     "op2_toxicity": op2_toxicity,
@@ -65,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_pack": op10_pack,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_multiset_fingerprints": op12_multiset_fingerprints,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -72,4 +88,5 @@ ORACLE: dict[str, str] = {
     "op6_warc_revisits": warc.SQL,
     "op7_similar_documents": jaccard.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }
