@@ -9,42 +9,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a comma followed by an even number of double quotes.
-COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
 # The characters Unicode counts as white space or separators.
 WHITE_SPACE = (
     "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-_MARK = "\n"
+# Stand for a cut, and for the first of their own characters where a line holds it.
+_CUT, _ESCAPE, _ESCAPED = "\x1e1", "\x1e", "\x1e0"
 
 
 def split_csv_line(line: Column) -> Column:
-    """Split a line at commas outside double quotes, keeping the quotes.
+    """Split a line at commas that an even number of double quotes follows, keeping the quotes.
 
-    Gives what splitting on ``COMMA_OUTSIDE_QUOTES`` gives. That look-ahead
-    rescans the rest of the line at each comma, so it is left to odd lines: those
-    with an unpaired quote or a line break. A line without quotes splits on the
-    comma. One with paired quotes gets a line break in place of each comma in
-    its even-numbered quote-delimited pieces, and splits on that.
+    Looking ahead from each comma rescans the line and recurses on its quotes. Here quotes
+    are counted from the end instead: all of them less those before. The line is cut at its
+    quotes once, and commas count in every second piece, the last one among them. So the time
+    is linear for any line, with unpaired quotes, line breaks or any other character.
     """
-    pieces = F.split(line, '"')
-    marked = F.array_join(
-        F.transform(
+    safe = F.when(F.contains(line, F.lit(_ESCAPE)), F.replace(line, F.lit(_ESCAPE), F.lit(_ESCAPED)))
+    pieces = F.split(F.coalesce(safe, line), '"')
+
+    def cut(parity: int) -> Column:
+        # a literal: what does not depend on the piece would be computed anew for each
+        marked = F.transform(
             pieces,
             lambda piece, i: F.when(
-                i.bitwiseAND(F.lit(1)) == 0, F.replace(piece, F.lit(","), F.lit(_MARK))
+                i.bitwiseAND(F.lit(1)) == parity, F.replace(piece, F.lit(","), F.lit(_CUT))
             ).otherwise(piece),
-        ),
-        '"',
-    )
+        )
+        return F.array_join(marked, '"')
+
     paired = F.size(pieces).bitwiseAND(F.lit(1)) == 1
+    marked = F.when(paired, cut(0)).otherwise(cut(1))
+    fields = F.split(marked, _CUT)
+    restored = F.transform(fields, lambda field: F.replace(field, F.lit(_ESCAPED), F.lit(_ESCAPE)))
     return (
         F.when(~F.contains(line, F.lit('"')), F.split(line, ","))
-        .when(paired & ~F.contains(line, F.lit(_MARK)), F.split(marked, _MARK))
-        .otherwise(F.split(line, COMMA_OUTSIDE_QUOTES))
+        .when(~F.contains(line, F.lit(_ESCAPE)), fields)
+        .otherwise(restored)
     )
 
 
