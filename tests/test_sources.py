@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import random
 from unittest import mock
 
 import pytest
@@ -11,6 +13,7 @@ from tests.conftest import values
 from txnloom import sources
 from txnloom.schema import FIELD_NAMES, HEADER_LINE
 from txnloom.session import build_session, scratch_path, size_shuffle
+from txnloom.sources import lines
 
 
 def write(path, text):
@@ -45,8 +48,7 @@ def test_text_lines_without_header_and_blanks(spark, tmp_path):
     assert values(sources.text_lines(spark, folder)) == [("1,x",), ("2,y",), ("3,z",)]
     assert sources.text_lines(spark, folder, header=False, keep_blank=True).count() == 6
     assert sources.text_lines(spark, folder, header=False).count() == 5
-    with pytest.raises(ValueError, match="blank"):
-        sources.text_lines(spark, folder, keep_blank=True)
+    assert sources.text_lines(spark, folder, keep_blank=True).count() == 4
 
 
 def test_each_file_loses_its_own_first_line(spark, conf, tmp_path):
@@ -102,9 +104,106 @@ def test_bad_rate_fails_the_read(spark, tmp_path):
         sources.rates_from_csv(spark, folder).collect()
 
 
-def test_first_rows_caps_a_replay(spark):
-    assert sources.first_rows(spark.range(100), 7).count() == 7
-    assert sources.first_rows(spark.range(3), 7).count() == 3
+def test_blank_first_lines_are_first_lines(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "8")
+    conf("spark.sql.files.openCostInBytes", "1")
+    write(tmp_path / "in" / "a.csv", "\n\nh1,h2\na,b")
+    folder = write(tmp_path / "in" / "b.csv", "h1,h2\nc\n\nh1,h2\n")
+    want = ["a,b", "c", "h1,h2", "h1,h2"]
+    assert values(sources.text_lines(spark, folder)) == [(line,) for line in want]
+    stream = sources.text_lines(spark, folder, streaming=True)
+    out = scratch_path(spark, "lines")
+    query = stream.writeStream.option("checkpointLocation", scratch_path(spark, "check"))
+    query.trigger(availableNow=True).start(out).awaitTermination()
+    assert values(spark.read.parquet(out)) == [(line,) for line in want]
+
+
+@pytest.mark.parametrize("rows", [0, 101, 299, 900])
+def test_first_lines_in_order_of_place(spark, conf, tmp_path, rows):
+    conf("spark.sql.files.maxPartitionBytes", "200")
+    conf("spark.sql.files.openCostInBytes", "1")
+    for part in range(3):
+        lines = "".join(f"{part * 100 + i}\n\n" for i in range(100))
+        folder = write(tmp_path / "in" / f"{part}.csv", f"id\n{lines}")
+    got = [int(row["value"]) for row in sources.text_lines(spark, folder, first=rows).collect()]
+    assert sorted(got) == list(range(min(rows, 300)))
+    blank = sources.text_lines(spark, folder, first=rows, keep_blank=True, header=False)
+    assert blank.count() == min(rows, 603)
+    got = [int(row["id"]) for row in sources.csv_rows(spark, folder, ("id",), first=rows).collect()]
+    assert sorted(got) == list(range(min(rows, 300)))
+
+
+def test_a_first_row_reads_few_files(spark, tmp_path):
+    for part in range(9):
+        folder = write(tmp_path / "in" / f"{part}.csv", "id\n1\n2\n")
+    asked = []
+
+    def read(paths):
+        asked.append(len(paths))
+        return sources.numbered_lines(spark, paths)
+
+    assert lines.first_rows(spark, folder, 5, read).count() == 5
+    assert max(asked) == 4
+    with pytest.raises(ValueError, match="batch"):
+        sources.text_lines(spark, folder, streaming=True, first=1)
+
+
+def python_rows(path, names):
+    """What the csv module reads from a file, line breaks read as line feeds."""
+    with open(path, encoding="utf-8") as file:
+        return [tuple(row[n] or "" for n in names) for row in csv.DictReader(file)]
+
+
+@pytest.mark.parametrize("size, most", [(1 << 20, 99), (301, 99), (97, 99), (97, 0)])
+def test_quoted_records_equal_the_csv_module(spark, conf, monkeypatch, tmp_path, size, most):
+    conf("spark.sql.files.maxPartitionBytes", str(size))
+    conf("spark.sql.files.openCostInBytes", "1")
+    monkeypatch.setattr(lines.quoted_records, "__defaults__", (most,))
+    rng = random.Random(size)
+    want = []
+    for part in range(3):
+        path = tmp_path / "in" / f"{part}.csv"
+        path.parent.mkdir(exist_ok=True)
+        with open(path, "w", encoding="utf-8", newline="") as file:
+            out = csv.writer(file, lineterminator=rng.choice(["\n", "\r\n"]))
+            out.writerow(NAMES)
+            for i in range(40):
+                text = "".join(rng.choice('ab,"\n é') for _ in range(rng.choice([0, 3, 40, 200])))
+                out.writerow([f"{part}-{i}", text, rng.choice(["", "x", "y\n\nz", '"'])])
+                if rng.random() < 0.1:
+                    file.write("\n")
+        want += python_rows(path, NAMES)
+    records = sources.csv_rows(spark, str(tmp_path / "in"), NAMES, multiline=True)
+    assert values(records) == sorted(want, key=lambda row: tuple((v is None, v) for v in row))
+    first = sources.csv_rows(spark, str(tmp_path / "in"), NAMES, first=70).collect()
+    assert [tuple(row) for row in first] == want[:70]
+
+
+def test_an_open_quote_ends_with_its_file(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "16")
+    conf("spark.sql.files.openCostInBytes", "1")
+    write(tmp_path / "in" / "a.csv", 'a,b,c\n1,2,3\n4,"five\n' + "six\n" * 20)
+    folder = write(tmp_path / "in" / "b.csv", "a,b,c\n7,8,9\n")
+    got = values(sources.quoted_records(spark, folder).where("in_file > 0").select("value"))
+    assert got == [("1,2,3",), ('4,"five' + "\nsix" * 20,), ("7,8,9",)]
+
+
+def test_one_file_of_records_is_read_by_many_tasks(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "512")
+    conf("spark.sql.files.openCostInBytes", "1")
+    folder = write(tmp_path / "in" / "a.csv", "a,b,c\n" + '1,"x\ny",z\n' * 1000)
+    rows = sources.csv_rows(spark, folder, NAMES, multiline=True)
+    assert rows.rdd.getNumPartitions() > 8
+    assert rows.distinct().count() == 1 and rows.count() == 1000
+
+
+def test_splits_that_were_not_counted_fail(spark, conf, tmp_path):
+    folder = write(tmp_path / "in" / "a.csv", "a,b,c\n" + "1,2,3\n" * 100)
+    rows = sources.numbered_lines(spark, folder)
+    conf("spark.sql.files.maxPartitionBytes", "64")
+    conf("spark.sql.files.openCostInBytes", "1")
+    with pytest.raises(Exception, match="changed after they were counted"):
+        rows.collect()
 
 
 def test_kafka_options():

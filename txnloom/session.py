@@ -66,6 +66,73 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return bool(file_system.getFileStatus(jvm_path).isDirectory())
 
 
+def input_files(spark: SparkSession, path: str) -> list[str]:
+    """All visible files of a file, folder or glob, in order of path."""
+    file_system, jvm_path = _located(spark, path)
+    found = []
+    for start in file_system.globStatus(jvm_path) or ():
+        files = file_system.listFiles(start.getPath(), True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.append(file.toString())
+    return sorted(found)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, in order."""
+    file_system, jvm_path = _located(spark, path)
+    return sorted(entry.getPath().getName() for entry in file_system.listStatus(jvm_path))
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place at once: readers see the old one or the new one."""
+    jvm = spark._jvm
+    hadoop = spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    # a hidden name, which readers of the folder pass over
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    file_system = target.getFileSystem(hadoop)
+    out = file_system.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), hadoop)
+    renames = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    renames[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(
+        file_system.makeQualified(draft), file_system.makeQualified(target), renames
+    )
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None if it is not there."""
+    file_system, jvm_path = _located(spark, path)
+    if not file_system.exists(jvm_path):
+        return None
+    stream = file_system.open(jvm_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    file_system, jvm_path = _located(spark, path)
+    file_system.delete(jvm_path, False)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    file_system, jvm_path = _located(spark, path)
+    file_system.delete(jvm_path, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    file_system, jvm_path = _located(spark, path)
+    file_system.mkdirs(jvm_path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     file_system, jvm_path = _located(spark, path)
     return bool(file_system.exists(jvm_path))
