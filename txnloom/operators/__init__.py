@@ -5,11 +5,12 @@ from .dedup import (
     drop_repeated_ids_within,
     keep_first,
 )
-from .fx import join_currency, usd_amount
+from .fx import FX_MODES, join_currency, usd_amount
 from .parse import (
     cast_fields,
     coerce_strict,
     has_id,
+    json_type_faults,
     parse_csv_line,
     parse_json,
     parse_wire_json,
@@ -19,6 +20,7 @@ from .parse import (
 )
 
 __all__ = [
+    "FX_MODES",
     "add_calendar",
     "cast_fields",
     "coerce_strict",
@@ -27,6 +29,7 @@ __all__ = [
     "drop_repeated_ids_within",
     "has_id",
     "join_currency",
+    "json_type_faults",
     "keep_first",
     "normalize_timestamp",
     "parse_csv_line",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +29,26 @@ def _salted_left_join(df: DataFrame, rates: DataFrame) -> DataFrame:
     return salted.join(copies, ["currency", "_salt"], "left").drop("_salt")
 
 
-def frozen_rates(rates: DataFrame) -> DataFrame:
-    """The rates as they are now, kept in the shared scratch folder; a currency may come once."""
+def frozen_rates(rates: DataFrame, most: int) -> tuple[DataFrame, bool]:
+    """The rates as they are now, and whether they are at most ``most``; a currency may come once.
+
+    So few are held in the plan itself: rates from a mapping take no job and no file, others
+    one read. More are kept in the shared scratch folder.
+    """
     spark = rates.sparkSession
-    path = scratch_path(spark, "rates")
     kept = rates.select(F.col("currency"), F.col("rate").cast("double").alias("rate"))
-    kept.write.parquet(path)
-    kept = spark.read.schema(kept.schema).parquet(path)
-    if not kept.groupBy("currency").count().where("count > 1").isEmpty():
+    few = kept.limit(most + 1).toArrow()
+    if few.num_rows <= most:
+        doubled = few.num_rows > pc.count_distinct(few["currency"], mode="all").as_py()
+        kept = spark.createDataFrame(few, kept.schema)
+    else:
+        path = scratch_path(spark, "rates")
+        kept.write.parquet(path)
+        kept = spark.read.schema(kept.schema).parquet(path)
+        doubled = not kept.groupBy("currency").count().where("count > 1").isEmpty()
+    if doubled:
         raise ValueError("the rate table lists a currency twice")
-    return kept
+    return kept, few.num_rows <= most
 
 
 def join_currency(
@@ -46,14 +57,14 @@ def join_currency(
     """Left join ``rates(currency, rate)``; an unknown or null currency gets a null rate.
 
     Rows are never multiplied: a currency with two rates raises ``ValueError``. The
-    rates are read once, here, and every batch joins that copy. Their number decides
+    rates are read once, here, and every batch joins those. Their number decides
     only how: within the bound they are broadcast, so neither the transactions nor
     any micro-batch shuffles for them.
     """
-    kept = frozen_rates(rates)
-    if kept.count() > max_broadcast_rates:
-        return _salted_left_join(df, kept)
-    return df.join(F.broadcast(kept), "currency", "left")
+    kept, few = frozen_rates(rates, max_broadcast_rates)
+    if few:
+        return df.join(F.broadcast(kept), "currency", "left")
+    return _salted_left_join(df, kept)
 
 
 def usd_amount(

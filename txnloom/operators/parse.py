@@ -113,6 +113,37 @@ def coerce_strict(df: DataFrame) -> DataFrame:
     return df.withColumns({**numbers, **flags})
 
 
+def json_type_faults(df: DataFrame, column: str = "value") -> DataFrame:
+    """field, found, n: how often a field's token would be null if read as its declared type.
+
+    ``found`` is the type of the token itself. A missing field or a JSON null is no fault.
+    Payloads that are not objects are counted as field ``-``. One pass, and at most a few
+    rows for each field are shuffled.
+    """
+    text = F.col(column).cast("string")
+    rows = df.select(
+        F.try_parse_json(text).alias("token"), F.from_json(text, ddl(TRANSACTION)).alias("typed")
+    )
+    whole = F.try_variant_get("token", "$", "map<string,variant>").isNull()
+
+    def fault(name: str) -> Column:
+        token = F.try_variant_get("token", f"$.{name}", "variant")
+        found = F.when(token.isNotNull() & ~F.is_variant_null(token), F.schema_of_variant(token))
+        return F.when(
+            found.isNotNull() & F.col("typed")[name].isNull(),
+            F.struct(F.lit(name).alias("field"), found.alias("found")),
+        )
+
+    junk = F.struct(F.lit("-").alias("field"), F.lit("no object").alias("found"))
+    faults = F.when(whole, F.array(junk)).otherwise(
+        F.array_compact(F.array(*(fault(name) for name in FIELD_NAMES)))
+    )
+    each = rows.select(F.explode(faults).alias("fault")).select("fault.*")
+    # widths of numbers and members of objects are not the point
+    kind = F.regexp_extract("found", "^[A-Z]+|no object", 0)
+    return each.groupBy("field", kind.alias("found")).agg(F.count("*").alias("n"))
+
+
 def has_id(key: Column) -> Column:
     """Whether an id is there and not blank; never null."""
     return F.coalesce(key.rlike(r"\S"), F.lit(False))

@@ -2,6 +2,7 @@ from .enrich import enrich, enrich_csv, enrich_json
 from .publish import (
     MESSAGE_KEY,
     json_envelope,
+    json_value,
     line_envelope,
     normalize_messages,
     publish_json,
@@ -13,6 +14,7 @@ __all__ = [
     "enrich_csv",
     "enrich_json",
     "json_envelope",
+    "json_value",
     "line_envelope",
     "normalize_messages",
     "publish_json",

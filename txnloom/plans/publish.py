@@ -45,7 +45,55 @@ def publish_json(rows: DataFrame, key_column: str | None = None) -> DataFrame:
 
 
 # The time of a message, where it is text, with all before it as the first group.
-TIME_TEXT = r'("timestamp"\s*:\s*)"(?:[^"\\]|\\.)*"'
+TIME_TEXT = r'("timestamp"\s*:\s*)"[^"]*"'
+
+
+# Stand for escaped quotes and backslashes while strings are told from what is between them.
+_ESCAPES = (("\x1e", "\x1e0"), ("\\\\", "\x1e1"), ('\\"', "\x1e2"))
+
+
+def _top_level_time(value: Column, time: Column) -> Column:
+    """A JSON object with the text of its own time replaced, not that of objects inside it."""
+    for found, mark in _ESCAPES:
+        value = F.replace(value, F.lit(found), F.lit(mark))
+    # every second piece is a string
+    pieces = F.split(value, '"')
+
+    def bare(piece: Column, brackets: str) -> Column:
+        return F.length(piece) - F.length(F.translate(piece, brackets, ""))
+
+    def step(seen: Column, piece: Column) -> Column:
+        i = seen["i"]
+        text = i.bitwiseAND(F.lit(1)) == 1
+        opened = F.when(text, 0).otherwise(bare(piece, "{[") - bare(piece, "}]"))
+        follows = ~text & seen["named"] & piece.rlike(r"^\s*:\s*$")
+        spots = seen["spots"]
+        return F.struct(
+            (i + 1).alias("i"),
+            (seen["depth"] + opened).alias("depth"),
+            (text & (seen["depth"] == 1) & (piece == EVENT_TIME)).alias("named"),
+            F.when(follows, F.array_append(spots, i + 1)).otherwise(spots).alias("spots"),
+        )
+
+    start = F.struct(
+        F.lit(0).alias("i"),
+        F.lit(0).alias("depth"),
+        F.lit(False).alias("named"),
+        F.array().cast("array<int>").alias("spots"),
+    )
+    replaced = F.aggregate(
+        pieces,
+        start,
+        step,
+        lambda seen: F.transform(
+            pieces,
+            lambda piece, i: F.when(F.array_contains(seen["spots"], i), time).otherwise(piece),
+        ),
+    )
+    value = F.array_join(replaced, '"')
+    for found, mark in reversed(_ESCAPES):
+        value = F.replace(value, F.lit(mark), F.lit(found))
+    return value
 
 
 def normalize_messages(payloads: DataFrame, key_column: str | None = None) -> DataFrame:
@@ -53,20 +101,14 @@ def normalize_messages(payloads: DataFrame, key_column: str | None = None) -> Da
 
     The incoming ``key`` is passed on, unless ``key_column`` names a field to key
     by. What is not a JSON object, and a time that can't be read, are passed on as
-    they are. Only where the name occurs more than once is the message written
-    anew, with all its keys and values.
+    they are, and so are equal names inside nested objects.
     """
     forward = key_column is None and "key" in payloads.columns
     value = F.col("value").cast("string")
     time = utc_millis_text(to_instant(F.from_json(value, f"{EVENT_TIME} string")[EVENT_TIME]))
     quoted = F.concat(F.lit('"'), time, F.lit('"'))
     in_place = F.regexp_replace(value, F.lit(TIME_TEXT), F.concat(F.lit("$1"), quoted))
-    whole = F.from_json(value, "map<string,variant>")
-    anew = F.to_json(
-        F.transform_values(
-            whole, lambda k, v: F.when(k == EVENT_TIME, F.try_parse_json(quoted)).otherwise(v)
-        )
-    )
+    anew = _top_level_time(value, time)
     once = F.regexp_count(value, F.lit(f'"{EVENT_TIME}"')) == 1
     fixed = F.when(time.isNull(), value).when(once, in_place).otherwise(anew)
     if forward:
