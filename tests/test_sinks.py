@@ -107,7 +107,7 @@ def test_a_heavy_day_is_written_by_many_tasks_over_disjoint_ids(spark, conf):
         )
     )
     path = scratch_path(spark, "t")
-    sinks.write_partitioned(rows, path)
+    sinks.write_partitioned(rows, path, disjoint=True)
     files = (
         spark.read.parquet(path)
         .where("day = 1")

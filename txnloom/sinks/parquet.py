@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,21 +14,29 @@ from .ids import keep_unseen, require_ids
 
 
 def write_partitioned(
-    df: DataFrame, path: str, mode: str = "append", ranges: int | None = None
+    df: DataFrame, path: str, mode: str = "append", ranges: int | None = None, disjoint: bool = False
 ) -> None:
-    """Write folders by year, month and day, each file holding its own range of ids.
+    """Write folders by year, month and day, rows sorted by id, with a Bloom filter on the id.
+
+    Rows are placed by date, and adaptive execution splits a heavy day over many tasks and
+    merges light ones by the sizes that the shuffle wrote, so nothing is sampled or read
+    twice. A lookup by id skips the row groups whose filter lacks it, wherever they are;
+    filters are sized by the distinct ids that each row group turns out to hold.
 
-    Ranges over (date, id) give a heavy day many tasks and a light one few, where
-    hashing the date would give any day one task. Rows sorted by id let a lookup
-    skip files and row groups by their id bounds, as the table's index would.
-    ``ranges`` fixes their number, and so the number of files of a small batch;
-    by default it is the shuffle partition count, merged by size.
+    ``disjoint`` instead gives each file its own range of ids within a date, for lookups by
+    bounds; that samples the rows first. ``ranges`` fixes the number of those ranges.
     """
     order = [*PARTITION_COLUMNS, KEY]
-    ranged = df.repartitionByRange(*([ranges] if ranges else []), *order)
+    if disjoint or ranges:
+        placed = df.repartitionByRange(*([ranges] if ranges else []), *order)
+    else:
+        dates = ", ".join(PARTITION_COLUMNS)
+        placed = df.sparkSession.sql(f"SELECT /*+ REBALANCE({dates}) */ * FROM {{rows}}", rows=df)
     (
-        ranged.sortWithinPartitions(*order)
+        placed.sortWithinPartitions(*order)
         .write.mode(mode)
+        .option(f"parquet.bloom.filter.enabled#{KEY}", True)
+        .option("parquet.bloom.filter.adaptive.enabled", True)
         .partitionBy(*PARTITION_COLUMNS)
         .parquet(path)
     )
@@ -76,10 +86,13 @@ def append_new(
 
 def lookup(
     spark: SparkSession, path: str, year: int | None = None, month: int | None = None,
-    day: int | None = None, transaction_id: str | None = None,
+    day: int | None = None, transaction_id: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows by date and id; dates prune folders, the id prunes row groups."""
+    """Rows by date and id, or by either; dates prune folders, ids prune row groups."""
     found = read_table(spark, path)
+    if transaction_id is not None and not isinstance(transaction_id, str):
+        found = found.where(found[KEY].isin(*transaction_id))
+        transaction_id = None
     wanted = {"year": year, "month": month, "day": day, KEY: transaction_id}
     for name, value in wanted.items():
         if value is not None:
