@@ -38,7 +38,12 @@ def _message_arguments(job: argparse.ArgumentParser, topic: str) -> None:
     job.add_argument("--max-offsets", type=int, help="records per micro-batch")
     job.add_argument("--input", help="folder to read instead of a topic")
     job.add_argument("--input-format", default="parquet", choices=("parquet", "text"))
+    _pace_arguments(job)
+
+
+def _pace_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--max-files", type=int, help="files per micro-batch")
+    job.add_argument("--max-bytes", type=int, help="bytes of files per micro-batch, instead")
 
 
 def _stream_arguments(job: argparse.ArgumentParser) -> None:
@@ -52,8 +57,8 @@ def _publish_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--servers", help="Kafka bootstrap servers")
     job.add_argument("--to-topic", default=RAW_TOPIC)
     job.add_argument("--output", help="Parquet folder to write instead of a topic")
-    job.add_argument("--limit", type=int, help="publish at most this many rows, in one batch")
-    job.add_argument("--max-files", type=int, help="files per micro-batch")
+    job.add_argument("--limit", type=int, help="publish only the first so many rows, in one batch")
+    _pace_arguments(job)
     _stream_arguments(job)
 
 
@@ -72,6 +77,15 @@ def _enrich_arguments(job: argparse.ArgumentParser, topic: str, fx: str) -> None
         action="store_true",
         help="the table holds only what this checkpoint wrote, so check one batch per run",
     )
+    job.add_argument(
+        "--writer",
+        help="name of this checkpoint: each micro-batch counts once by its number, in a table "
+        "of committed folders",
+    )
+    job.add_argument(
+        "--buckets", type=int, help="with --writer, a table bucketed by id that jobs may share"
+    )
+    job.add_argument("--stop-marker", help="file that ends the stream between micro-batches")
     job.add_argument("--batch", action="store_true", help="read --input as one batch")
 
 
@@ -121,7 +135,13 @@ def messages(spark: SparkSession, args: argparse.Namespace, streaming: bool = Tr
             max_offsets_per_trigger=args.max_offsets,
         )
     read = sources.text_lines if args.input_format == "text" else sources.parquet_rows
-    return read(spark, args.input, streaming=streaming, max_files_per_trigger=args.max_files)
+    return read(
+        spark,
+        args.input,
+        streaming=streaming,
+        max_files_per_trigger=args.max_files,
+        max_bytes_per_trigger=args.max_bytes,
+    )
 
 
 def checkpoint(args: argparse.Namespace, name: str) -> str:
@@ -147,12 +167,10 @@ def _forward(
     return [start(checkpoint=progress, every=args.every, drain=args.drain)]
 
 
-def _capped(rows: DataFrame, args: argparse.Namespace) -> DataFrame:
-    if args.limit is None:
-        return rows
-    if rows.isStreaming:
+def _first(args: argparse.Namespace) -> int | None:
+    if args.limit is not None and args.checkpoint is not None:
         raise SystemExit("--limit needs one batch: leave out --checkpoint")
-    return sources.first_rows(rows, args.limit)
+    return args.limit
 
 
 def publish_json(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
@@ -162,10 +180,10 @@ def publish_json(spark: SparkSession, args: argparse.Namespace) -> list[Streamin
         streaming=args.checkpoint is not None,
         multiline=args.multiline,
         max_files_per_trigger=args.max_files,
+        max_bytes_per_trigger=args.max_bytes,
+        first=_first(args),
     )
-    return _forward(
-        plans.publish_json(_capped(rows, args), args.key_column), args, args.checkpoint
-    )
+    return _forward(plans.publish_json(rows, args.key_column), args, args.checkpoint)
 
 
 def publish_lines(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
@@ -174,8 +192,10 @@ def publish_lines(spark: SparkSession, args: argparse.Namespace) -> list[Streami
         args.csv,
         streaming=args.checkpoint is not None,
         max_files_per_trigger=args.max_files,
+        max_bytes_per_trigger=args.max_bytes,
+        first=_first(args),
     )
-    return _forward(plans.line_envelope(_capped(lines, args)), args, args.checkpoint)
+    return _forward(plans.line_envelope(lines), args, args.checkpoint)
 
 
 def normalize(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
@@ -195,6 +215,11 @@ def _load(
     """
     if args.spread and args.forget_after:
         raise SystemExit("choose --spread or --forget-after")
+    if args.forget_after and (args.sole_writer or args.writer and not args.buckets):
+        # a forgotten id can come again, and neither of these looks for it in the table
+        raise SystemExit("--forget-after repeats ids: leave out --sole-writer, or add --buckets")
+    if args.writer and args.output is None or args.buckets and not args.writer:
+        raise SystemExit("--writer needs --output, and --buckets needs --writer")
     if args.batch and args.input is not None:
         size_shuffle(spark, args.input)
     payloads = messages(spark, args, streaming=not args.batch)
@@ -215,14 +240,9 @@ def _load(
         if rejects is not None:
             rejected(payloads).write.mode("append").parquet(rejects)
         return []
-    sink = (
-        streaming.jdbc_sink(JdbcTarget.from_env(), args.sole_writer)
-        if args.output is None
-        else streaming.parquet_sink(args.output, args.sole_writer, args.ranges)
-    )
-    queries = [
-        streaming.start_batches(rows, sink, checkpoint(args, "table"), args.every, args.drain)
-    ]
+    progress = checkpoint(args, "table")
+    start = partial(streaming.start_batches, marker=args.stop_marker)
+    queries = [start(rows, _sink(args), progress, args.every, args.drain)]
     if rejects is not None:
         queries.append(
             streaming.start_files(
@@ -236,6 +256,18 @@ def _load(
     return queries
 
 
+def _sink(args: argparse.Namespace) -> streaming.BatchSink:
+    if args.output is None:
+        return streaming.jdbc_sink(JdbcTarget.from_env(), args.sole_writer)
+    if args.buckets is not None:
+        name = "table_" + "".join(c if c.isalnum() else "_" for c in args.output)
+        table = sinks.BucketedTable(name, args.output, args.buckets)
+        return streaming.bucketed_sink(table, args.writer)
+    if args.writer is not None:
+        return streaming.committed_sink(args.output, args.writer)
+    return streaming.parquet_sink(args.output, args.sole_writer, args.ranges)
+
+
 def enrich_json(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     return _load(spark, args, partial(plans.enrich_json, strict=args.strict), rejected_json)
 
@@ -266,7 +298,8 @@ JOBS = {
 
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    streaming.run_until_stopped(*(JOBS[args.job](spark, args) or ()))
+    queries = JOBS[args.job](spark, args) or ()
+    streaming.run_until_stopped(*queries, marker=getattr(args, "stop_marker", None))
 
 
 def main() -> None:

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..sinks import append_new, append_new_jdbc, kafka_write_options
-from ..sources.jdbc import JdbcTarget
+from ..operators import FX_MODES, usd_amount
+from ..schema import EVENT_TIME, KEY, PARTITION_COLUMNS, conform
+from ..session import make_folder, path_exists, remove_file, replace_file
+from ..sinks import (
+    BucketedTable,
+    append_new,
+    append_new_jdbc,
+    commit_batch,
+    kafka_write_options,
+    merge_first,
+)
+from ..sources import JdbcTarget, RateBook, parquet_rows
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -23,10 +35,43 @@ def _writer(df: DataFrame, checkpoint: str, every: str | None, drain: bool) -> D
 
 
 def start_batches(
-    df: DataFrame, sink: BatchSink, checkpoint: str, every: str | None = None, drain: bool = False
+    df: DataFrame,
+    sink: BatchSink,
+    checkpoint: str,
+    every: str | None = None,
+    drain: bool = False,
+    marker: str | None = None,
 ) -> StreamingQuery:
-    """Call ``sink(batch, batch_id)`` for each micro-batch."""
-    return _writer(df, checkpoint, every, drain).foreachBatch(sink).start()
+    """Call ``sink(batch, batch_id)`` for each micro-batch.
+
+    Once the file ``marker`` is there, the next micro-batch ends the query before the sink
+    sees it. It was not committed, so the next run starts with it.
+    """
+    return _writer(df, checkpoint, every, drain).foreachBatch(_until(sink, marker)).start()
+
+
+_STOPPED = "stopped on request by the marker"
+
+
+def _until(sink: BatchSink, marker: str | None) -> BatchSink:
+    if marker is None:
+        return sink
+
+    def guarded(batch: DataFrame, batch_id: int) -> None:
+        if path_exists(batch.sparkSession, marker):
+            raise InterruptedError(f"{_STOPPED} {marker}")
+        sink(batch, batch_id)
+
+    return guarded
+
+
+def request_stop(spark: SparkSession, marker: str) -> None:
+    """Ask the queries that were started with ``marker``, of any process, to stop."""
+    replace_file(spark, marker, "stop\n")
+
+
+def withdraw_stop(spark: SparkSession, marker: str) -> None:
+    remove_file(spark, marker)
 
 
 def _checking(append: Callable[[DataFrame, bool], None], sole_writer: bool) -> BatchSink:
@@ -71,6 +116,39 @@ def jdbc_sink(target: JdbcTarget, sole_writer: bool = False) -> BatchSink:
     return _checking(lambda batch, check: append_new_jdbc(batch, target, check), sole_writer)
 
 
+def committed_sink(path: str, writer: str) -> BatchSink:
+    """Make each micro-batch count once by its number, as ``commit_batch`` does.
+
+    ``writer`` names the checkpoint. The ids of a stream's batches must be distinct.
+    """
+    return lambda batch, batch_id: commit_batch(batch, path, writer, batch_id)
+
+
+def bucketed_sink(table: BucketedTable, writer: str) -> BatchSink:
+    """Append micro-batches to a table bucketed by id, which several writers may share."""
+    return lambda batch, batch_id: table.append_new(batch, writer, batch_id)
+
+
+def earliest_sink(
+    path: str,
+    key: str = KEY,
+    order_by: tuple[str, ...] = (EVENT_TIME,),
+    parts: tuple[str, ...] = PARTITION_COLUMNS,
+) -> BatchSink:
+    """Hold the earliest row of each id, over all micro-batches."""
+    return lambda batch, _: merge_first(batch, path, key, order_by, parts)
+
+
+def converting(sink: BatchSink, book: RateBook, fx: str = "divide") -> BatchSink:
+    """Convert each micro-batch by the rates that are current when it runs.
+
+    The stream gives dated rows with amount and currency; ``sink`` gets target rows.
+    """
+    if fx not in FX_MODES:
+        raise ValueError(f"fx must be one of {FX_MODES}, not {fx!r}")
+    return lambda batch, batch_id: sink(conform(usd_amount(batch, book.rates(), fx)), batch_id)
+
+
 def start_files(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", every: str | None = None,
     drain: bool = False,
@@ -104,16 +182,75 @@ def finish(query: StreamingQuery) -> None:
         query.stop()
 
 
-def run_until_stopped(*queries: StreamingQuery) -> None:
-    """Wait for all queries; a failure or an interrupt stops the others too."""
+def _requested(error: StreamingQueryException | None) -> bool:
+    return error is not None and _STOPPED in str(error)
+
+
+def stop_idle(query: StreamingQuery, patience: float = 60.0) -> None:
+    """Stop a query when no micro-batch runs; after ``patience`` seconds, in any case."""
+    end = time.monotonic() + patience
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < end:
+        time.sleep(0.02)
+    query.stop()
+
+
+def run_until_stopped(*queries: StreamingQuery, marker: str | None = None) -> None:
+    """Wait for all queries; a failure or an interrupt stops the others too.
+
+    So does the file ``marker``, between their micro-batches: where the queries were
+    started with it, none is cut short.
+    """
+    spark = SparkSession.getActiveSession()
     try:
         while any(query.isActive for query in queries):
             for query in queries:
                 query.awaitTermination(1)
+            if marker is not None and path_exists(spark, marker):
+                for query in queries:
+                    stop_idle(query)
         for query in queries:
             query.awaitTermination()
     except KeyboardInterrupt:
         pass
+    except StreamingQueryException as error:
+        if not _requested(error):
+            raise
+        for query in queries:
+            stop_idle(query)
     finally:
         for query in queries:
             query.stop()
+    failures = [query.exception() for query in queries]
+    if marker is not None:
+        for failure in failures:
+            if failure is not None and not _requested(failure):
+                raise failure
+
+
+def run_chain(
+    first: DataFrame,
+    links: Mapping[str, Callable[[DataFrame], DataFrame]],
+    base: str,
+    every: str | None = None,
+    drain: bool = False,
+    max_files_per_trigger: int | None = None,
+) -> list[StreamingQuery]:
+    """Streams one after another, each reading what the one before has committed.
+
+    A link writes Parquet to ``base``/name with a checkpoint of its own. The file sink's log
+    lists the files of whole micro-batches, and the next link reads that log, so any link
+    may be killed and started again without losing or repeating a row. Draining, a link
+    starts when the one before is done; otherwise all run at once.
+    """
+    queries, rows, spark = [], first, first.sparkSession
+    for name, link in links.items():
+        out = link(rows)
+        path = f"{base}/{name}"
+        make_folder(spark, path)
+        queries.append(start_files(out, path, f"{base}/_check/{name}", every=every, drain=drain))
+        if drain:
+            queries[-1].awaitTermination()
+        rows = parquet_rows(
+            spark, path, out.schema, streaming=True, max_files_per_trigger=max_files_per_trigger
+        )
+    return queries
