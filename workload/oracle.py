@@ -6,15 +6,21 @@ none of them reads what Spark rendered.
 
 from __future__ import annotations
 
-from txnloom.schema import FIELD_NAMES, TARGET_NAMES, VELOCITY
+from txnloom.schema import FIELD_NAMES, HEADER_LINE, TARGET_NAMES, VELOCITY
 
-from .tables import RATES, field_sql
+from .tables import FIRST_LINES, LATER_RATES, LOOKED_UP, ODD_LINE, PACE, RATES, field_sql
 
 FLAGS = ("card_present", "high_risk_merchant", "weekend_transaction", "is_fraud")
 INTEGERS = ("distance_from_home", "transaction_hour")
 
-RATE_ROWS = ", ".join(f"('{code}', CAST({rate} AS DOUBLE))" for code, rate in RATES.items())
-RATES_CTE = f"rates(currency, rate) AS (VALUES {RATE_ROWS})"
+
+
+def rates_cte(rates: dict[str, float]) -> str:
+    rows = ", ".join(f"('{code}', CAST({rate} AS DOUBLE))" for code, rate in rates.items())
+    return f"rates(currency, rate) AS (VALUES {rows})"
+
+
+RATES_CTE = rates_cte(RATES)
 
 OFFSET_TEXT = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '-05:00'"
 UTC_MILLIS = (
@@ -158,6 +164,38 @@ def amounts_sql(column: str) -> str:
 EVENT_TARGET = target_sql("events", "*", literal_true)
 
 
+def rate_update_sql() -> str:
+    """Even ids by the first rates, odd ones by the later."""
+    names = ", ".join(TARGET_NAMES)
+    ctes = target_ctes("events", "*", literal_true, False)
+    halves = [
+        f"SELECT * FROM (WITH {rates_cte(rates)}, {ctes} SELECT {names} FROM target "
+        f"WHERE CAST(transaction_id AS BIGINT) % 2 = {part})"
+        for part, rates in enumerate((RATES, LATER_RATES))
+    ]
+    return " UNION ALL ".join(halves)
+
+
+def faults_sql() -> str:
+    """Tokens that their declared types can't hold, counted by the rules of the messages.
+
+    Both integers come as other tokens, and the velocity map as text; every fifth message
+    has a flag as text, and every seventh is cut short.
+    """
+    whole = "CAST(transaction_id AS BIGINT) % 7 <> 0"
+    rows = [
+        ("distance_from_home", "DECIMAL", whole),
+        ("transaction_hour", "STRING", whole),
+        ("velocity_last_hour", "STRING", whole),
+        ("card_present", "STRING", f"{whole} AND CAST(transaction_id AS BIGINT) % 5 = 0"),
+        ("-", "no object", f"NOT ({whole})"),
+    ]
+    return f"WITH {rows_cte('events')} " + " UNION ALL ".join(
+        f"SELECT '{field}' AS field, '{found}' AS found, count(*) AS n FROM tx WHERE {rule}"
+        for field, found, rule in rows
+    )
+
+
 def idempotent_append_sql() -> str:
     names = ", ".join(TARGET_NAMES)
     others = names.replace("transaction_id", "'E' || transaction_id AS transaction_id")
@@ -195,6 +233,23 @@ def strict_json_sql() -> str:
     )
 
 
+def odd_sql() -> str:
+    """Fields between the commas that an even number of quotes follows, counted for each comma."""
+    names = ", ".join(f"fields[{i}] AS {name}" for i, name in enumerate(FIELD_NAMES, 1))
+    return (
+        f"WITH {rows_cte('events')}, lines AS (SELECT {ODD_LINE[1]} AS v FROM tx), "
+        "places AS (SELECT v, string_split(v, ',') AS bits FROM lines), "
+        "cuts AS (SELECT v, bits, list_filter(range(1, len(bits)), lambda i: "
+        "(length(v) - length(replace(v, '\"', '')) - "
+        "length(array_to_string(bits[:i], '')) + length(replace(array_to_string(bits[:i], ''), '\"', ''))) "
+        "% 2 = 0) AS ends FROM places), "
+        "cut AS (SELECT list_transform(range(0, len(ends) + 1), lambda k: array_to_string("
+        "bits[CASE WHEN k = 0 THEN 1 ELSE ends[k] + 1 END : "
+        "CASE WHEN k = len(ends) THEN len(bits) ELSE ends[k + 1] END], ',')) AS fields FROM cuts) "
+        f"SELECT {names} FROM cut"
+    )
+
+
 def _unquoted(name: str) -> str:
     return f"nullif({name}, '')"
 
@@ -203,7 +258,19 @@ UNIQUE_EVENTS = select_rows("events", ("transaction_id", "timestamp", "merchant"
 
 ORACLE: dict[str, str] = {
     "src_csv_header": select_rows("events", FIELD_NAMES),
-    "src_text_lines": f"WITH {rows_cte('events')} SELECT {CSV_LINE} AS value FROM tx",
+    "src_csv_multiline": select_rows(
+        "events",
+        FIELD_NAMES,
+        lambda name: "merchant || chr(10) || city" if name == "merchant" else name,
+    ),
+    "src_text_lines": (
+        f"WITH {rows_cte('events')} SELECT {CSV_LINE} AS value FROM tx UNION ALL "
+        f"SELECT '{HEADER_LINE}' FROM tx WHERE CAST(transaction_id AS BIGINT) % 3 = 2"
+    ),
+    "src_first_lines": (
+        f"WITH {rows_cte('events')} SELECT {CSV_LINE} AS value FROM tx "
+        f"ORDER BY CAST(transaction_id AS BIGINT) LIMIT {FIRST_LINES}"
+    ),
     "src_json_stream": wire_sql(),
     "dim_currency": (
         f"WITH {RATES_CTE}, {rows_cte('events')} SELECT DISTINCT currency, rate "
@@ -214,6 +281,8 @@ ORACLE: dict[str, str] = {
     "parse_json_strict": strict_json_sql(),
     "parse_csv_line": select_rows("events", FIELD_NAMES, csv_field),
     "parse_csv_unquoted": select_rows("events", FIELD_NAMES, _unquoted),
+    "parse_csv_odd": odd_sql(),
+    "json_type_faults": faults_sql(),
     "cast_fields": select_rows("events", FIELD_NAMES, as_shown),
     "coerce_strict": select_rows(
         "events",
@@ -262,6 +331,17 @@ ORACLE: dict[str, str] = {
     "stream_dedup": UNIQUE_EVENTS,
     "stream_dedup_spread": UNIQUE_EVENTS,
     "stream_dedup_within": UNIQUE_EVENTS,
+    "sink_redelivery": EVENT_TARGET,
+    "bucketed_append": idempotent_append_sql(),
+    "lookup_by_id": (
+        f"SELECT * FROM ({EVENT_TARGET}) WHERE transaction_id IN "
+        f"({', '.join(repr(i) for i in LOOKED_UP)})"
+    ),
+    "stream_earliest": unique_sql(),
+    "paced_ingest": f"SELECT count(*) AS n_rows FROM events GROUP BY event_id // {PACE}",
+    "graceful_stop": EVENT_TARGET,
+    "stream_rate_update": rate_update_sql(),
+    "stream_chain": EVENT_TARGET,
     "enrich_csv": target_sql("lineitem", "/", loose_bool, True),
     "enrich_json": target_sql("lineitem", "*", literal_true),
 }

@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnloom import operators as op
 from txnloom import plans, sinks, sources, streaming
-from txnloom.schema import FIELD_NAMES, TARGET_NAMES, VELOCITY
+from txnloom.schema import FIELD_NAMES, HEADER_LINE, TARGET_NAMES, VELOCITY
 from txnloom.session import scratch_path
 
-from .tables import csv_line, csv_lines, rates, read_rows
+from .tables import (
+    FIRST_LINES,
+    LATER_RATES,
+    LOOKED_UP,
+    ODD_LINE,
+    PACE,
+    RATES,
+    csv_line,
+    csv_lines,
+    rates,
+    read_rows,
+)
 
 TYPED_NAMES = tuple(name for name in FIELD_NAMES if name != VELOCITY)
 
@@ -59,6 +71,29 @@ def offset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("merchant", F.concat("merchant", F.lit("\n"), "city"))
+
+
+def odd_lines(rows: DataFrame) -> DataFrame:
+    """Lines with an unpaired quote, runs of quotes, line breaks and the splitter's own marks."""
+    return rows.select(F.expr(ODD_LINE[0]).alias("value"))
+
+
+MESSAGE = "value binary"
+
+
+def message_files(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """A folder of published events, each twice and the copies in different files."""
+    folder = scratch_path(spark, "messages")
+    sent = json_payloads(read_rows(spark, sf_dir, "events"))
+    copies = sent.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(1))))
+    place = F.pmod(F.xxhash64("value") + F.col("copy"), F.lit(files))
+    placed = copies.repartition(files, place).sortWithinPartitions("copy")
+    placed.select("value").write.parquet(folder)
+    return folder
+
+
 def twice(df: DataFrame) -> DataFrame:
     """Every row delivered a second time, as an at-least-once topic may."""
     return df.unionByName(df)
@@ -74,17 +109,40 @@ def src_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.csv_rows(spark, path)
 
 
+def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose merchant holds a line break, quotes and a comma."""
+    path = scratch_path(spark, "csv-multiline")
+    rows = broken_rows(read_rows(spark, sf_dir, "events"))
+    rows.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    return sources.csv_rows(spark, path, multiline=True)
+
+
 def src_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lines")
     rows = read_rows(spark, sf_dir, "events")
-    even = F.col("transaction_id").cast("long") % 2 == 0
+    third = F.col("transaction_id").cast("long") % 3
     # files with two different first lines
-    for part in (rows.where(even), rows.where(~even).toDF(*(n.upper() for n in rows.columns))):
+    headed = (rows.where(third == 0), rows.where(third == 1).toDF(*(n.upper() for n in rows.columns)))
+    for part in headed:
         writer = part.write.mode("append").option("header", True).option("escape", '"')
         writer.option("emptyValue", "").csv(path)
+    # files whose first line is blank, with blank lines and data like a header between
+    part = rows.where(third == 2)
+    blank = F.concat(F.lit("\n"), csv_line(part), F.lit("\n" + HEADER_LINE))
+    part.select(blank.alias("value")).write.mode("append").text(path)
     return sources.text_lines(spark, path)
 
 
+def src_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first thousand lines of files in order of path, each with a header."""
+    path = scratch_path(spark, "ordered")
+    rows = read_rows(spark, sf_dir, "events")
+    place = F.col("transaction_id").cast("long")
+    ordered = rows.repartitionByRange(4, place).sortWithinPartitions(place)
+    ordered.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    return sources.text_lines(spark, path, first=FIRST_LINES)
+
+
 def src_json_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     incoming = json_payloads(read_rows(spark, sf_dir, "events", streaming=True))
     fields = op.parse_wire_json(op.payload_to_string(incoming), keep=("key",))
@@ -132,6 +190,21 @@ def parse_csv_unquoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.parse_csv_line(lines, unquote=True)
 
 
+def json_type_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as published, every seventh cut short, every fifth with a flag as text."""
+    rows = op.coerce_strict(read_rows(spark, sf_dir, "events"))
+    place = F.col("transaction_id").cast("long")
+    value = plans.json_value(rows)
+    flag = F.concat(F.lit('"card_present":"'), F.col("card_present").cast("string"), F.lit('"'))
+    text = F.regexp_replace(value, F.lit('"card_present":(true|false)'), flag)
+    sent = F.when(place % 7 == 0, F.substring(value, 1, 40)).when(place % 5 == 0, text)
+    return op.json_type_faults(rows.select(sent.otherwise(value).alias("value")))
+
+
+def parse_csv_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.parse_csv_line(odd_lines(read_rows(spark, sf_dir, "events")))
+
+
 def cast_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(plain(op.cast_fields(read_rows(spark, sf_dir, "events"))), "card_present")
 
@@ -318,11 +391,192 @@ def stream_dedup_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(unique.schema).parquet(out)
 
 
+# ---------------------------------------------------------------- sinks that count once
+
+
+def sink_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch is written, fails before it is committed, and is delivered again to a new sink."""
+    folder = message_files(spark, sf_dir, 4)
+    path, checkpoint = scratch_path(spark, "committed"), scratch_path(spark, "checkpoint")
+
+    def run(fail_after: int | None) -> None:
+        sink = streaming.committed_sink(path, "json")
+
+        def losing(batch: DataFrame, batch_id: int) -> None:
+            sink(batch, batch_id)
+            if batch_id == fail_after:
+                raise RuntimeError("lost after the write")
+
+        stream = sources.parquet_rows(
+            spark, folder, MESSAGE, streaming=True, max_files_per_trigger=1
+        )
+        rows = plans.enrich_json(stream, rates(spark))
+        query = streaming.start_batches(rows, losing, checkpoint, drain=True)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            if "lost after the write" not in str(error):
+                raise
+
+    for fail_after in (1, 2, None):
+        run(fail_after)
+    sinks.compact(spark, path, "json")
+    return sinks.read_committed(spark, path)
+
+
+def bucketed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers share the table: one checks before the other has written, one delivers twice."""
+    place = scratch_path(spark, "bucketed")
+    table = sinks.BucketedTable("bucketed_" + place.rpartition("-")[2], place, 8)
+    events = _event_target(spark, sf_dir)
+    others = events.withColumn("transaction_id", F.concat(F.lit("E"), "transaction_id"))
+    nothing = table.open(spark).limit(0)
+    # both writers find the table empty and store the events
+    table.append_new(events, "json", 0)
+    table.append_new(events, "csv", 0, stored=nothing)
+    for _ in range(2):
+        table.append_new(events.unionByName(others), "csv", 1)
+    return table.unique_rows(spark)
+
+
+def lookup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some ids, looked up in the table without a date."""
+    path = scratch_path(spark, "by-id")
+    sinks.write_partitioned(_event_target(spark, sf_dir), path)
+    return sinks.lookup(spark, path, transaction_id=LOOKED_UP)
+
+
+# ---------------------------------------------------------------- streams that stop and resume
+
+
+def stream_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of ids out of order over micro-batches; the table holds the earliest of each."""
+    folder = scratch_path(spark, "unordered")
+    rows = op.cast_fields(read_rows(spark, sf_dir, "lineitem"))
+    dated = rows.withColumn("year", F.year(F.col("timestamp").cast("timestamp")))
+    dated.repartition(3, F.xxhash64("transaction_id", "city")).write.parquet(folder)
+    files = len(spark.read.parquet(folder).inputFiles())
+    stream = sources.parquet_rows(
+        spark, folder, dated.schema, streaming=True, max_files_per_trigger=max(1, files // 3)
+    )
+    path = scratch_path(spark, "earliest")
+    query = streaming.start_batches(
+        stream,
+        streaming.earliest_sink(path, parts=("year",)),
+        scratch_path(spark, "checkpoint"),
+        drain=True,
+    )
+    query.awaitTermination()
+    return plain(spark.read.schema(dated.schema).parquet(path).select(*FIELD_NAMES))
+
+
+def paced_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each micro-batch of a stream that may take one file of a thousand ids at a time."""
+    folder = scratch_path(spark, "paced")
+    part = F.floor(F.col("event_id") / PACE).alias("part")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", part)
+    events.repartition("part").write.partitionBy("part").parquet(folder)
+    stream = sources.parquet_rows(
+        spark, folder, "event_id long, part long", streaming=True, max_bytes_per_trigger=1
+    )
+    backlog = streaming.Backlog()
+    spark.streams.addListener(backlog)
+    try:
+        out = scratch_path(spark, "paced-out")
+        query = streaming.start_files(stream, out, scratch_path(spark, "checkpoint"), drain=True)
+        query.awaitTermination()
+        reports = [(r.rows,) for r in backlog.of(query) if r.rows]
+    finally:
+        spark.streams.removeListener(backlog)
+    return spark.createDataFrame(reports, "n_rows long")
+
+
+def graceful_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stop is asked for during the first micro-batch; a second run takes up the rest."""
+    folder = message_files(spark, sf_dir, 3)
+    path, checkpoint = scratch_path(spark, "stopped"), scratch_path(spark, "checkpoint")
+    marker = scratch_path(spark, "stop-marker")
+    sink = streaming.committed_sink(path, "json")
+
+    def asked(batch: DataFrame, batch_id: int) -> None:
+        sink(batch, batch_id)
+        if batch_id == 0:
+            streaming.request_stop(spark, marker)
+
+    for run in range(2):
+        stream = sources.parquet_rows(
+            spark, folder, MESSAGE, streaming=True, max_files_per_trigger=1
+        )
+        rows = plans.enrich_json(stream, rates(spark))
+        query = streaming.start_batches(rows, asked, checkpoint, drain=True, marker=marker)
+        streaming.run_until_stopped(query, marker=marker)
+        if run == 0:
+            if sinks.commits(spark, path).count() != 1:
+                raise AssertionError("the stream did not stop after the batch it was asked in")
+            streaming.withdraw_stop(spark, marker)
+    return sinks.read_committed(spark, path)
+
+
+def stream_rate_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even events under the first rates; odd ones after the rates were published anew."""
+    book = sources.RateBook(spark, scratch_path(spark, "rate-book"))
+    payloads = json_payloads(read_rows(spark, sf_dir, "events"))
+    even = F.get_json_object(F.col("value").cast("string"), "$.transaction_id").cast("long") % 2 == 0
+    folder = scratch_path(spark, "messages")
+    path, checkpoint = scratch_path(spark, "rated"), scratch_path(spark, "checkpoint")
+    sink = streaming.converting(streaming.committed_sink(path, "json"), book, "multiply")
+    versions = []
+    for table, part in ((RATES, even), (LATER_RATES, ~even)):
+        payloads.where(part).select("value").write.mode("append").parquet(folder)
+        for _ in range(2):  # equal rates again are the same version
+            versions.append(book.publish(sources.rates_from_mapping(spark, table)))
+        stream = sources.parquet_rows(spark, folder, MESSAGE, streaming=True)
+        fields = op.parse_json(op.payload_to_string(stream))
+        dated = op.add_calendar(op.drop_repeated_ids(fields))
+        streaming.start_batches(dated, sink, checkpoint, drain=True).awaitTermination()
+    if len(set(versions)) != 2:
+        raise AssertionError("equal rates must be one version")
+    return sinks.read_committed(spark, path)
+
+
+def stream_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publishing, normalising and enriching as three streams; the middle one is killed once."""
+    base = scratch_path(spark, "chain")
+    rows = scratch_path(spark, "rows")
+    typed = read_rows(spark, sf_dir, "events")
+    typed.repartition(3).write.parquet(rows)
+    stream = sources.parquet_rows(spark, rows, typed.schema, streaming=True, max_files_per_trigger=1)
+    publish = {"raw": plans.publish_json}
+    streaming.run_chain(stream, publish, base, drain=True)
+    links = {"normalized": plans.normalize_messages}
+
+    def raw() -> DataFrame:
+        return sources.parquet_rows(
+            spark, f"{base}/raw", "key string, value string", streaming=True, max_files_per_trigger=1
+        )
+
+    (middle,) = streaming.run_chain(raw(), links, base)
+    while middle.isActive and middle.lastProgress is None:
+        middle.awaitTermination(1)
+    middle.stop()
+    streaming.run_chain(raw(), links, base, drain=True)
+    sent = sources.parquet_rows(
+        spark, f"{base}/normalized", "key string, value string", streaming=True
+    )
+    path = f"{base}/table"
+    enriched = plans.enrich_json(sent, rates(spark))
+    sink = streaming.committed_sink(path, "json")
+    streaming.start_batches(enriched, sink, f"{base}/_check/table", drain=True).awaitTermination()
+    return sinks.read_committed(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         src_csv_header,
+        src_csv_multiline,
         src_text_lines,
+        src_first_lines,
         src_json_stream,
         dim_currency,
         payload_to_string,
@@ -330,6 +584,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         parse_json_strict,
         parse_csv_line,
         parse_csv_unquoted,
+        parse_csv_odd,
+        json_type_faults,
         cast_fields,
         coerce_strict,
         calendar_parts,
@@ -351,6 +607,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_dedup,
         stream_dedup_spread,
         stream_dedup_within,
+        sink_redelivery,
+        bucketed_append,
+        lookup_by_id,
+        stream_earliest,
+        paced_ingest,
+        graceful_stop,
+        stream_rate_update,
+        stream_chain,
         enrich_csv,
         enrich_json,
     )

@@ -16,6 +16,15 @@ from txnloom.sources import parquet_rows, rates_from_mapping
 # Invented rates, units per US dollar. Other codes count as unknown.
 RATES = {"USD": 1.0, "EUR": 0.875, "JPY": 144.25, "GBP": 0.7525, "MXN": 18.375}
 
+# The rates after an update: one changed, one gone, one new.
+LATER_RATES = {"USD": 1.0, "EUR": 0.75, "GBP": 0.7525, "MXN": 18.375, "ZZZ": 2.0}
+
+#: Ids that ``lookup_by_id`` asks for, some of which no table has.
+LOOKED_UP = tuple(str(i) for i in (3, 150, 777, 999, 12345)) + ("none", "")
+
+#: Ids in each file that ``paced_ingest`` reads.
+PACE = 1000
+
 EVENTS = {
     "transaction_id": "CAST(event_id AS STRING)",
     "customer_id": "CAST(user_id AS STRING)",
@@ -98,6 +107,23 @@ LINES = {
     "is_fraud": "CASE WHEN l_extendedprice > 90000 THEN 'True' ELSE 'False' END",
 }
 
+# Lines that no CSV writer makes: quotes unpaired in every second row, up to four in a row, a
+# line break, and the control characters by which a splitter might mark its cuts.
+_ODD = (
+    "transaction_id || ',' || merchant || ',' || CASE WHEN {id} % 2 = 0 THEN '\"' ELSE '' END || "
+    "country || ',{feed},' || repeat('\"', CAST({id} % 5 AS INT)) || ',{mark}1,{mark}0' || city || "
+    "',\"' || velocity_last_hour || '\",\"' || channel || ',' || CASE WHEN {id} % 3 = 0 THEN '\"' ELSE '' END"
+)
+ODD_LINE = (
+    _ODD.format(id="CAST(transaction_id AS BIGINT)", feed="\\n", mark="\\u001e"),
+    _ODD.format(
+        id="CAST(transaction_id AS BIGINT)", feed="' || chr(10) || '", mark="' || chr(30) || '"
+    ),
+)
+
+#: How many lines ``src_first_lines`` asks for.
+FIRST_LINES = 1000
+
 FIELDS = {"events": EVENTS, "lineitem": LINES}
 
 
