@@ -1,0 +1,292 @@
+"""Merkle manifests, multiset fingerprints and spelling variants against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.test_operators import LONG, ROWS, SCHEMA, frame
+from txnloom.llm import merkle, multiset_hash, queries, variants
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def collected(df):
+    return Counter(map(tuple, df.collect()))
+
+
+# ---------------------------------------------------------------- Merkle manifest
+
+
+def tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([sha("".join(below[i : i + 2])) for i in range(0, len(below), 2)])
+    return levels
+
+
+def siblings(levels, place):
+    for level in levels[:-1]:
+        other = place ^ 1
+        yield place & 1, level[other] if other < len(level) else ""
+        place >>= 1
+
+
+def manifest(rows):
+    """rows of (doc_id, source, lang, n_chars, text)."""
+    part = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda row: sha("".join(map(part, row)))
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[2]].append(row)
+    langs = sorted(groups, key=lambda lang: (lang is not None, (lang or "").encode()))
+    for lang in langs:
+        groups[lang].sort(key=lambda row: (row[0] is not None, row[0] or 0, leaf(row)))
+    trees = {lang: tree([leaf(row) for row in groups[lang]]) for lang in langs}
+    top = tree([trees[lang][-1][0] for lang in langs])
+    out = Counter()
+    for i, lang in enumerate(langs):
+        for place, row in enumerate(groups[lang]):
+            path = [*siblings(trees[lang], place), *siblings(top, i)]
+            node = leaf(row)
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0 and row[3] is not None:
+                node = leaf((*row[:3], row[3] + 1, row[4]))
+            for before, other in path:
+                node = sha(other + node if before else node + other)
+            root = top[-1][0]
+            proof = sha("".join(other for _, other in path))
+            out[row[0], leaf(row), trees[lang][-1][0], root, proof, node, node == root] += 1
+    return out
+
+
+FIELDS = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+@pytest.mark.parametrize("bits", [1, 3, 10])
+def test_manifest_equals_a_plain_tree(spark, monkeypatch, bits):
+    monkeypatch.setattr(merkle, "BITS", bits)
+    rng = random.Random(bits)
+    langs = ["en"] * 5 + ["", "fr", None, "é", "日本"]
+    rows = [
+        (i, rng.choice(["s", None]), rng.choice(langs), rng.choice([None, 3, -1]), rng.choice(["a:b", "", None, "é\n"]))
+        for i in rng.sample(range(-50, 10_000), 137)
+    ]
+    rows += [rows[0], rows[0], (None, "s", "en", 1, "x"), (None, None, None, None, None), (rows[1][0], "s", "en", 7, LONG)]
+    assert collected(merkle.tampered_manifest(spark.createDataFrame(rows, FIELDS))) == manifest(rows)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 2, 3])
+def test_small_manifests(spark, rows):
+    some = [(i, "s", "en", 1, "text") for i in range(rows)]
+    assert collected(merkle.tampered_manifest(spark.createDataFrame(some, FIELDS))) == manifest(some)
+
+
+def test_every_tampered_row_is_found(spark):
+    out = queries.op11_merkle_manifest(spark, "/root/testdata/sf0.001")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    assert out.where(chosen == F.col("verified")).count() == 0 and out.where(chosen).count() > 10
+
+
+# ---------------------------------------------------------------- fingerprints
+
+
+def fingerprint(text):
+    return multiset_hash.to_text(multiset_hash.vectors(pa.array([text])))[0].as_py()
+
+
+def slow_vector(text):
+    """The lanes, one paragraph and one run at a time, by the hashes of the parts alone."""
+    lanes = np.zeros(multiset_hash.LANES, np.uint32)
+    for paragraph in (text or "").split("\n"):
+        lanes += multiset_hash.vectors(pa.array([paragraph]))[0]
+    return lanes
+
+
+def test_fingerprints_are_sums_over_paragraphs():
+    rng = random.Random(4)
+    word = lambda: rng.choice(["a", "the", "é", "word", "x" * 300])
+    texts = ["\n".join(" ".join(word() for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    texts += [None, "", "\n", "one two", LONG, "word " * 30_000]
+    got = multiset_hash.vectors(pa.array(texts))
+    for text, lanes in zip(texts, got):
+        assert (lanes == slow_vector(text)).all()
+        shuffled = (text or "").split("\n")
+        rng.shuffle(shuffled)
+        assert fingerprint("\n".join(shuffled)) == multiset_hash.to_text(lanes[None])[0].as_py()
+    assert (multiset_hash.from_text(multiset_hash.to_text(got)) == got).all()
+    assert fingerprint(None) == fingerprint("") != fingerprint("\n")
+
+
+def test_likeness_follows_the_share_of_common_runs():
+    rng = random.Random(5)
+    runs = lambda t: {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+    off = []
+    for _ in range(200):
+        a = [str(rng.random()) for _ in range(200)]
+        keep = rng.randint(0, 200)
+        b = a[:keep] + [str(rng.random()) for _ in range(200 - keep)]
+        x, y = (multiset_hash.vectors(pa.array([" ".join(t)])) for t in (a, b))
+        share = 2 * len(runs(a) & runs(b)) / (len(runs(a)) + len(runs(b)))
+        off.append(multiset_hash.likeness(x, y)[0] - share)
+        assert multiset_hash.likeness(x, x)[0] == 1.0
+    assert np.abs(off).mean() < 0.08 and np.abs(off).max() < 0.35
+
+
+def edited(rows):
+    """rows of (doc_id, text) in the order of the operator's documents."""
+    out = Counter()
+    for i, (doc_id, text) in enumerate(rows):
+        text, following = text or "", rows[(i + 1) % len(rows)][1] or ""
+        half = len(text) // 2
+        change = text[: len(text) - half] + following[:half]
+        a, b, c = (multiset_hash.vectors(pa.array([t])) for t in (text, change, following))
+        near = [float(multiset_hash.likeness(a, other)[0]) for other in (b, c)]
+        out[doc_id, len(text), sha(change), fingerprint(text), fingerprint(change), *near] += 1
+    return out
+
+
+@pytest.mark.parametrize("chunk, oversample", [(64, 1), (1 << 30, 4)])
+def test_neighbours_over_chunks(spark, monkeypatch, chunk, oversample):
+    monkeypatch.setattr(multiset_hash, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(multiset_hash, "OVERSAMPLE", oversample)
+    rng = random.Random(chunk)
+    rows = [(i, rng.choice([None, "", "é ü", "a b c d e f\ng h i", "x" * i])) for i in rng.sample(range(-99, 999), 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    in_order = sorted(rows, key=lambda row: -row[0])
+    assert collected(multiset_hash.edited_fingerprints(docs)) == edited(in_order)
+
+
+@pytest.mark.parametrize("rows", [[], [(7, "one text\nof two paragraphs")], [(1, None), (1, None)], [(None, "a"), (3, "b")]])
+def test_few_documents(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collected(multiset_hash.edited_fingerprints(docs)) == edited(sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0))))
+
+
+def test_equal_ids_stay_apart(spark):
+    docs = spark.createDataFrame([(5, f"text {i % 7}") for i in range(300)] + [(None, "x")] * 3, "doc_id long, text string")
+    rows = multiset_hash.edited_fingerprints(docs).collect()
+    assert Counter(r["doc_id"] for r in rows) == {5: 300, None: 3}
+    assert len({r["fingerprint"] for r in rows}) == 8
+
+
+def test_paragraphs_come_and_go(spark):
+    texts = {1: "a b\nc d\ne f", 2: "a", 3: "", 4: LONG}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    changes = [(1, "c d", -1), (1, "new one", 1), (1, "new one", 2), (2, None, 1), (9, "first", 1), (3, "x", 0), (None, "x", 1)]
+    frame_ = spark.createDataFrame(changes, "doc_id long, paragraph string, times int")
+    got = dict(multiset_hash.updated(multiset_hash.fingerprints(docs), frame_).collect())
+    want = {1: "a b\ne f\nnew one\nnew one\nnew one", 2: "a\n", 3: "", 4: LONG, 9: "first"}
+    assert got == {doc_id: fingerprint(text) for doc_id, text in want.items()}
+
+
+# ---------------------------------------------------------------- spelling variants
+
+
+def variant_rows(rows):
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    n = {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+    near, holes = defaultdict(set), defaultdict(set)
+    for w in n:
+        for i in range(len(w)):
+            if (shorter := w[:i] + w[i + 1 :]) in n:
+                near[w].add(shorter)
+                near[shorter].add(w)
+            holes[i, w[:i], w[i + 1 :]].add(w)
+    for group in holes.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        if best and n[best] >= 10 * n[w]:
+            form[w] = best
+
+    def root(w):
+        return root(form[w]) if w in form else w
+
+    return Counter((w, form.get(w), root(w), c, len(near[w]), n.get(form.get(w))) for w, c in n.items())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_variants_equal_brute_force(spark, seed):
+    """Words of few letters, so that bigrams repeat and nearly all words have near ones."""
+    rng = random.Random(seed)
+    letters = "abÀé" if seed == 1 else "ab"
+    stems = ["".join(rng.choice(letters) for _ in range(rng.randint(6, 12))) for _ in range(60)]
+
+    def word():
+        stem = stems[int(len(stems) * rng.random() ** 3)]
+        for _ in range(int(rng.random() ** 4 * 4)):
+            at = rng.randrange(len(stem))
+            stem = stem[:at] + rng.choice(["", rng.choice(letters), rng.choice(letters) * 2]) + stem[at + 1 :]
+        return rng.choice([stem, stem, stem.upper()])
+
+    rows = [(i, " ".join(word() for _ in range(200))) for i in range(60)] + [(None, "aaaaaaaa aaaaaaaa"), (1, None), (2, "")]
+    rows.append((3, "A" * 5000 + " " + "a" * 5000 + "-" + "a" * 4999 + " " + "a" * 4999))
+    want = variant_rows(rows)
+    got = collected(variants.variant_groups(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == want
+    assert sum(1 for w in want if w[1]) > 10
+
+
+def test_chains_of_forms_end_at_the_root(spark):
+    words = [("abcdefg", 2), ("abcdefgh", 20), ("abcdefghi", 200), ("abcdefghij", 2000), ("zzzzzzzz", 5), ("abcdefgx", 300)]
+    rows = variants.with_roots(variants.word_forms(spark.createDataFrame(words, "word string, n long")))
+    got = {r["word"]: (r["form"], r["root"]) for r in rows.collect()}
+    assert got["abcdefg"] == ("abcdefgx", "abcdefgx") and got["abcdefgh"] == ("abcdefgx", "abcdefgx")
+    assert got["abcdefghi"] == ("abcdefghij", "abcdefghij") and got["zzzzzzzz"] == (None, "zzzzzzzz")
+    chain = [(("ab" * 9)[:k], 10**i) for i, k in enumerate(range(8, 14))]
+    rows = variants.with_roots(variants.word_forms(spark.createDataFrame(chain, "word string, n long")))
+    assert {r["root"] for r in rows.collect()} == {("ab" * 9)[:13]}
+
+
+def test_pivots_are_the_rarest_disjoint_pair():
+    rng = random.Random(8)
+    for _ in range(300):
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(7, 14)))
+        order = {a + b: (i, rng.randint(1, 9)) for i, (a, b) in enumerate((a, b) for a in "abc" for b in "abc")}
+        places, indexed, _ = variants.prefix_grams(word, order)
+        assert set(places) <= set(indexed)
+        weight = lambda p: order[word[p : p + 2]][1]
+        best = min(weight(a) + weight(b) for a in places for b in places if b >= a + 2)
+        a, b = variants.pivots(word, places, order)
+        assert a in places and b in places and b >= a + 2 and weight(a) + weight(b) == best
+
+
+# ---------------------------------------------------------------- awkward rows
+
+NEW = {
+    "manifest": merkle.tampered_manifest,
+    "fingerprints": multiset_hash.edited_fingerprints,
+    "variants": variants.variant_groups,
+}
+CLASHING = ("word", "n", "root", "position", "count", "bucket", "chunk", "rank", "mark", "digest", "path", "ghost")
+
+
+@pytest.mark.parametrize("name", NEW)
+def test_awkward_rows_and_names(spark, name):
+    docs = frame(spark, ROWS)
+    plain = collected(NEW[name](docs))
+    more = docs.withColumns({c: F.lit(7) for c in CLASHING if c not in docs.columns})
+    assert collected(NEW[name](more.repartition(3))) == plain
+    if name != "variants":
+        assert Counter(key[0] for key in plain.elements()) == Counter(i for i, _ in ROWS)
+    assert NEW[name](spark.createDataFrame([], SCHEMA)).count() == 0

@@ -143,9 +143,10 @@ def updated(known: DataFrame, changes: DataFrame) -> DataFrame:
     before = known.where("doc_id is not null").select("doc_id", "fingerprint")
     joined = before.join(change, "doc_id", "full")
     lanes = F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), _lane(F.col("fingerprint")))
-    lanes = F.coalesce(lanes, F.array_repeat(F.lit(0).cast("long"), LANES))
+    none = F.array_repeat(F.lit(0).cast("long"), LANES)
     summed = F.zip_with(
-        lanes, F.coalesce("change", F.array_repeat(F.lit(0).cast("long"), LANES)),
+        F.when(F.col("fingerprint").isNotNull(), lanes).otherwise(none),
+        F.coalesce("change", none),
         lambda a, b: _lane_text(F.pmod(a + b, F.lit(1 << 32))),
     )
     return joined.select("doc_id", F.array_join(summed, "").alias("fingerprint"))

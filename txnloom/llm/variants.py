@@ -1,13 +1,15 @@
 """Spelling variants: words one edit apart, found by pivotal grams, and the form each goes back to.
 
-Bigrams are ordered from rare to frequent over all words. A word's prefix is its three rarest bigrams
-(more, if the last of them repeats in the word); a single edit spoils at most two bigrams that overlap,
-so of the two disjoint ones that dynamic programming picks from the prefix at least one, the pivot that
-survives, is also a bigram of any word one edit away. Of two such words the one whose prefix ends
-earlier in the order finds its surviving pivot in the prefix of the other.
+Bigrams are ordered from rare to frequent over all words. A word's prefix is its three rarest bigrams;
+a single edit spoils at most two bigrams that overlap, so of the two disjoint ones that dynamic
+programming picks from the prefix at least one, the pivot that survives, is also a bigram of any word one
+edit away. Of two such words the one whose prefix ends earlier in the order finds its surviving pivot in
+the prefix of the other. An edit makes at most two bigrams, so where the last bigram of the prefix repeats
+in the word, two more of it are indexed.
 
 An edit lies to one side of the surviving pivot. So the other side, the pivot included, is shared, at the
-same place from that end, and on the edited side all but the block of BLOCK code points around the edit.
+same place from that end, and on the edited side all but a block of code points around the edit, BLOCK of them
+or an eighth of a long word.
 Index and search go by all of this at once, which holds back the work on bigrams that many words have:
 a gram and its place alone would meet a share of all words squared. Nothing is lost by it; candidates
 are verified by edit distance.
@@ -20,11 +22,13 @@ to the word that is least by code points, and empty tables give no rows. Other c
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +46,8 @@ SLIP = 31
 BLOCK = 4
 #: Different words a task counts before it passes them on.
 HELD = 1 << 18
+#: Characters of keyed words that a task passes on at once, about.
+HELD_BYTES = 1 << 23
 
 RUNS = re.compile("[A-Za-zÀ-ÿ]{%d,}" % SHORTEST)
 
@@ -96,11 +102,11 @@ def gram_order(words: DataFrame) -> dict[str, tuple[int, int]]:
     return {gram: (rank, count) for rank, (count, gram) in enumerate(ranked)}
 
 
-def prefix_grams(word: str, order: dict[str, tuple[int, int]]) -> tuple[list[int], int]:
-    """Places of the word's three rarest bigrams, with repeats of the last, and that one's rank."""
-    ranked = sorted((order[word[i : i + 2]][0], i) for i in range(len(word) - 1))
+def prefix_grams(word: str, order: dict[str, tuple[int, int]]) -> tuple[list[int], list[int], int]:
+    """Places of the word's three rarest bigrams, those to index it by, and the rank of the last."""
+    ranked = heapq.nsmallest(5, ((order[word[i : i + 2]][0], i) for i in range(len(word) - 1)))
     last = ranked[2][0]
-    return sorted(i for rank, i in ranked if rank <= last), last
+    return sorted(i for _, i in ranked[:3]), sorted(i for rank, i in ranked if rank <= last), last
 
 
 def pivots(word: str, places: list[int], order: dict[str, tuple[int, int]]) -> tuple[int, int]:
@@ -120,18 +126,29 @@ def pivots(word: str, places: list[int], order: dict[str, tuple[int, int]]) -> t
     return chosen
 
 
+def block_size(length: int) -> int:
+    return max(BLOCK, -(-length // 8))
+
+
+def _part(text: str) -> str:
+    """What stands for a part of a word in a key: itself, or a digest if it is long."""
+    return text if len(text) <= 64 else blake2b(text.encode(), digest_size=16).hexdigest()
+
+
 def _right(word: str, pivot: int, low: int, high: int, change: int) -> Iterator[str]:
     """Keys for an edit at ``low`` to ``high``, right of the pivot; the other word is ``change`` longer."""
-    for block in range(low // BLOCK, high // BLOCK + 1):
-        head = max(block * BLOCK, pivot + 2)
-        yield f"R{pivot} {block} {word[:head]} {word[(block + 1) * BLOCK - change :]}"
+    size = block_size(len(word) + change)
+    for block in range(low // size, high // size + 1):
+        head = max(block * size, pivot + 2)
+        yield f"R{pivot} {block} {_part(word[:head])} {_part(word[(block + 1) * size - change :])}"
 
 
 def _left(word: str, pivot: int, low: int, high: int, change: int) -> Iterator[str]:
     """Keys for an edit at ``low`` to ``high``, left of the pivot."""
-    for block in range(low // BLOCK, high // BLOCK + 1):
-        tail = min((block + 1) * BLOCK - change, pivot)
-        yield f"L{len(word) - pivot} {block} {word[: block * BLOCK]} {word[tail:]}"
+    size = block_size(len(word) + change)
+    for block in range(low // size, high // size + 1):
+        tail = min((block + 1) * size - change, pivot)
+        yield f"L{len(word) - pivot} {block} {_part(word[: block * size])} {_part(word[tail:])}"
 
 
 def index_keys(word: str, places: list[int]) -> set[str]:
@@ -161,20 +178,29 @@ def near_pairs(words: DataFrame) -> DataFrame:
     order = gram_order(words)
 
     def keyed(search: bool):
+        def keys_of(word: str) -> tuple[set[str], int]:
+            rarest, indexed, last = prefix_grams(word, order)
+            return search_keys(word, pivots(word, rarest, order)) if search else index_keys(word, indexed), last
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, rows, lasts = [], [], []
+                keys, rows, lasts, size = [], [], [], 0
+
+                def out() -> pa.RecordBatch:
+                    at = pa.array(rows, pa.int32())
+                    columns = [pa.array(keys, pa.string()), *(c.take(at) for c in batch.columns), pa.array(lasts, pa.int32())]
+                    return pa.RecordBatch.from_arrays(columns, names=["key", "word", "n", "last"])
+
                 for row, word in enumerate(batch.column(0).to_pylist()):
-                    places, last = prefix_grams(word, order)
-                    found = search_keys(word, pivots(word, places, order)) if search else index_keys(word, places)
+                    found, last = keys_of(word)
                     keys.extend(found)
                     rows.extend([row] * len(found))
-                    lasts.append(last)
-                at = pa.array(rows, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.string()), *(c.take(at) for c in batch.columns), pa.array(lasts, pa.int32()).take(at)],
-                    names=["key", "word", "n", "last"],
-                )
+                    lasts.extend([last] * len(found))
+                    size += len(found) * len(word)
+                    if size > HELD_BYTES:
+                        yield out()
+                        keys, rows, lasts, size = [], [], [], 0
+                yield out()
 
         out = words.select("word", "n").mapInArrow(run, "key string, word string, n long, last int")
         return out.withColumn("key", F.xxhash64("key"))
