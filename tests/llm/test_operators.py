@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import unicodedata
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -257,6 +259,108 @@ def test_bootstrapping_finds_identifiers(spark):
     assert out[100]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def found_spans(rows, rounds=pii.ROUNDS):
+    """The spans of kind id of each text, patterns as tuples of words, by the rules as written."""
+    lower = lambda w: re.sub("[A-Z]", lambda m: m[0].lower(), w)
+    beside, edges, totals, instances = [], Counter(), Counter(), {}
+
+    def around(words, low, high):
+        word = lambda i: words[i] if 0 <= i < len(words) else None
+        one, two, after = word(low - 1), word(low - 2), word(high + 1)
+        return [("one", one), ("two", two, one), ("after", after), ("both", one, after)]
+
+    for row, (_, text) in enumerate(rows):
+        text = text or ""
+        spots = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        words = [lower(text[a:b]) for a, b in spots]
+        for i in range(len(words)):
+            totals.update(around(words, i, i))
+        base = pii.base_spans(text)
+        each = [(a, b, kind, True, False) for a, b, kind in base]
+        for a, b in spots:
+            word = text[a:b].strip(pii.EDGE)
+            a = a + len(text[a:b]) - len(text[a:b].lstrip(pii.EDGE))
+            clear = all(y <= a or x >= a + len(word) for x, y, _ in base)
+            if len(word) >= pii.MIN_LENGTH and re.search("[0-9]", word) and clear:
+                shaped = re.fullmatch("[0-9A-Fa-f]{32,}", word) and re.search("[A-Fa-f]", word)
+                each.append((a, a + len(word), pii.FOUND, bool(shaped), True))
+        for a, b, kind, seed, free in each:
+            low = max(i for i, (x, _) in enumerate(spots) if x <= a)
+            high = max(i for i, (x, _) in enumerate(spots) if x < b)
+            sides = around(words, low, high)
+            instances[kind, text[a:b]] = seed
+            for side in sides:
+                edges[side, (kind, text[a:b])] += 1
+            if free:
+                beside.append((row, a, b, sides))
+    support = Counter(side for side, _ in edges)
+    edges = {e: n for e, n in edges.items() if support[e[0]] >= pii.SUPPORT}
+    known = Counter()
+    for (side, who), n in edges.items():
+        known[side] += n * instances[who]
+    worth = {side: known[side] / (totals[side] + pii.PRIOR) for side, _ in edges}
+    for _ in range(rounds - 1):
+        best = {}
+        for side, who in edges:
+            if not instances[who]:
+                best[who] = max(best.get(who, 0), worth[side])
+        more = Counter()
+        for (side, who), n in edges.items():
+            more[side] += n * best.get(who, 0)
+        worth = {side: (known[side] + more[side]) / (totals[side] + pii.PRIOR) for side in worth}
+    out = [[] for _ in rows]
+    for row, a, b, sides in beside:
+        if any(worth.get(side, 0) >= pii.ACCEPT for side in sides):
+            out[row].append(f"id:{a}:{b}")
+    return out
+
+
+def test_found_spans_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pii, "BLOCK", 50)
+    rng = random.Random(12)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    thing = {
+        "mail": lambda: f"u{digits(3)}@mail.org",
+        "key": lambda: hashlib.sha1(digits(9).encode()).hexdigest(),
+        "badge": lambda: f"#7X-{digits(4)}-é!",
+        "number": lambda: digits(7),
+        "word": lambda: rng.choice(["the", "é", "a", "Token", "="]),
+    }
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randint(0, 12)):
+            kind = rng.choice(list(thing))
+            lead = {"mail": "write TO", "key": "token =", "badge": "token =", "number": "of the"}.get(kind, "")
+            parts.append(f"{lead if rng.random() < 0.8 else rng.choice(['in', 'é'])} {thing[kind]()} {rng.choice(['now', 'x'])}")
+        rows.append((i, rng.choice([" ", "\n"]).join(parts)))
+    rows += [(7, rows[7][1]), (None, rows[3][1]), (200, None), (201, ""), (202, LONG + " token = é1234567")]
+    out = pii.personal_data(frame(spark, rows)).select("doc_id", "spans").collect()
+    got = Counter((r["doc_id"], ",".join(x for x in r["spans"].split(",") if x.startswith("id:"))) for r in out)
+    want = found_spans(rows)
+    assert got == Counter((i, ",".join(spans)) for (i, _), spans in zip(rows, want))
+    assert sum(map(len, want)) > 100
+
+
+def test_long_words_take_time_in_proportion():
+    start = time.perf_counter()
+    text = "x" * 1_000_000 + " 1 " + "a1" * 500_000 + " " + "." * 1_000_000 + "7"
+    pii.candidates(pa.array([text]))
+    assert time.perf_counter() - start < 3
+
+
+def test_recall_of_planted_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = pii.personal_data(docs).join(docs.select("doc_id", "text"), "doc_id").where("instr(text, 'token =') > 0").collect()
+    true = found = 0
+    for r in rows:
+        spans = {x for x in r["spans"].split(",") if x.startswith("id:")}
+        for m in re.finditer('token = "([0-9a-f]{40})"', r["text"]):
+            true += 1
+            found += f"id:{m.start(1)}:{m.end(1)}" in spans
+    assert true > 100 and found >= 0.9 * true
+
+
 def test_archives_round_trip(spark, tmp_path):
     rows = [(3, "http://x/a", "same"), (1, None, "same"), (2, "http://x/\r\nb", "same"), (4, "u", None), (5, "u", "")]
     rows += [(6, "u", "a\r\n\r\nWARC/1.1\r\n\r\nü"), (None, "u", "same"), (1, "again", "same")]
