@@ -194,6 +194,29 @@ def test_leaks_against_edit_distance():
                 assert found[i][3] == least == distance(item, text[found[i][1] : found[i][2]])
 
 
+def test_leaks_of_many_blocks(spark, benchmark):
+    rng = random.Random(6)
+    items = [(i % 30, "".join(rng.choice("abcd ") for _ in range(rng.choice([8, 25, 60])))) for i in range(40)]
+    rows = []
+    for i in range(80):
+        text = "".join(rng.choice("wxyz ") for _ in range(30))
+        if i % 2:
+            item = list(rng.choice(items)[1])
+            item[rng.randrange(len(item))] = rng.choice("qé")
+            text = text[:9] + "".join(item) + text[9:]
+        rows.append((i % 70, text))
+    rows += [(None, items[0][1]), (3, None), (4, "")]
+    docs, bench = frame(spark, rows), spark.createDataFrame(items + [(None, "abc"), (1, None)], "item_id long, text string")
+    one = Counter(map(tuple, decontaminate.leaks(docs, bench).collect()))
+    searcher = decontaminate.Searcher(sorted({(i, decontaminate.fold(t)) for i, t in items}))
+    assert one == Counter((i, *hit) for i, t in rows if t for hit in searcher.search(t)) and len(one) > 20
+    assert decontaminate.blocked_items(bench, 300)[1] > 3
+    assert Counter(map(tuple, decontaminate.leaks(docs, bench, 300).collect())) == one
+    kept = [Counter(map(tuple, decontaminate.drop_leaks(docs, bench, size).collect())) for size in (300, 10**6)]
+    clean = Counter((i, t) for i, t in rows if not (t and searcher.search(t)))
+    assert kept[0] == kept[1] and Counter((r[0], r[1]) for r in kept[0].elements()) == clean
+
+
 @pytest.mark.parametrize("bound", [0, repeats.BROADCAST_ROWS])
 def test_repeats_against_brute_force(spark, monkeypatch, bound):
     monkeypatch.setattr(repeats, "BROADCAST_ROWS", bound)
@@ -228,6 +251,24 @@ def test_repeats_against_brute_force(spark, monkeypatch, bound):
     assert Counter(map(tuple, got)) == Counter(want)
 
 
+def test_planted_passages_are_caught_from_400_bytes_on(spark):
+    """Passages of over 50 words of running text: shorter ones are no 400-byte string and stay."""
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    rng = random.Random(9)
+    words = [w for t in docs for w in (t or "").split()]
+    rows, sizes = [], {}
+    for k in range(60):
+        passage = " ".join(rng.choice(words) for _ in range(rng.randint(51, 80)))
+        for half in (0, 1):
+            own = [" ".join(rng.choice(words) for _ in range(40)) for _ in range(2)]
+            sizes[2 * k + half] = len(passage.encode()) + 2
+            rows.append((2 * k + half, f"{own[0]} {passage} {own[1]}"))
+    found = {r["doc_id"]: r["n_removed"] for r in repeats.repeated_bytes(frame(spark, rows)).collect()}
+    assert all(found[i] >= size - 2 for i, size in sizes.items() if size >= 402)
+    assert all(found[i] == 0 for i, size in sizes.items() if size < 396)
+    assert min(sizes.values()) < 396 and max(sizes.values()) > 402
+
+
 def test_personal_data_base(spark):
     kinds = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",

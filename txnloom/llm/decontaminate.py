@@ -5,22 +5,23 @@ that; by the pigeonhole principle one piece of any occurrence within the budget
 automaton finds all pieces of a block of items in a single pass over a text, and each hit is
 verified around its place by Myers' bit-parallel edit distance. Letters are compared in lower case.
 
-Items are read in blocks of bounded size, each block one pass over the documents, so a benchmark
-of any size can be used. Nulls and empty items are left out, equal items of one id count once; a
-null text has no hits. Repeated rows are searched each for itself; empty tables give no rows.
+Items are numbered in Spark in blocks of bounded size, each block one pass over the documents, so a
+benchmark of any size can be used. Nulls and empty items are left out, equal items of one id count
+once; a null text has no hits. Of occurrences of one item in a text the one with the least distance is
+given, of those the first. Repeated rows are searched each for itself, long texts whole; empty tables
+give no rows. Other columns are passed on by ``drop_leaks`` and not read by ``leaks``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, filter_slices, map_slices
+from txnloom.session import scratch_path
+
+from .common import doc_columns, filter_slices, free_name, map_slices, saved
 
 #: Share of an item's characters that may be edited.
 ERROR_RATE = 0.1
@@ -183,60 +184,81 @@ class Searcher:
         return start, end, distance
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[Item]]:
-    """The items, folded, a bounded block at a time."""
+def blocked_items(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, int]:
+    """item_id, text and block of the different items, kept in the scratch folder, and the number of blocks.
+
+    Blocks are numbered in Spark, by a hash, so that each holds about ``block_chars`` characters.
+    """
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.where("item_id is not null and length(text) > 0").distinct().orderBy("item_id", "text")
-    block, held = [], 0
-    for row in rows.toLocalIterator():
-        block.append((row["item_id"], fold(row["text"])))
-        held += len(row["text"])
-        if held >= block_chars:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+    rows = saved(rows.where("item_id is not null and length(text) > 0").distinct(), "items")
+    blocks = -(-(rows.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars)
+    return rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1)))), blocks
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, item_id, start, end (characters) and distance of each item found in each document."""
-    names = ["doc_id", "item_id", "start", "end", "distance"]
-    schema = ", ".join(f"`{name}` long" for name in names)
+def _block(items: DataFrame, block: int) -> list[Item]:
+    """The items of one block, folded: all that the driver and a task hold of the benchmark at once."""
+    rows = items.where(F.col("block") == block).select("item_id", "text").toArrow().to_pylist()
+    return sorted((row["item_id"], fold(row["text"])) for row in rows)
 
-    def over(items: list[Item]) -> DataFrame:
-        cache: list[Searcher] = []
 
-        def compute(batch: pa.RecordBatch) -> pa.RecordBatch:
-            if not cache:
-                cache.append(Searcher(items))
-            rows = [
-                (doc_id, *hit)
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                if text
-                for hit in cache[0].search(text)
-            ]
-            columns = list(zip(*rows)) or [()] * len(names)
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+NAMES = ["doc_id", "item_id", "start", "end", "distance"]
+SCHEMA = ", ".join(f"`{name}` long" for name in NAMES)
 
-        return map_slices(doc_columns(docs), compute, schema)
 
-    found = [over(items) for items in item_blocks(benchmark, block_chars)]
-    if not found:
-        return docs.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, found)
+def _searched(docs: DataFrame, items: list[Item]) -> DataFrame:
+    cache: list[Searcher] = []
 
+    def compute(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not cache:
+            cache.append(Searcher(items))
+        rows = [
+            (doc_id, *hit)
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            if text
+            for hit in cache[0].search(text)
+        ]
+        columns = list(zip(*rows)) or [()] * len(NAMES)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=NAMES)
+
+    return map_slices(docs, compute, SCHEMA)
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no item within its budget."""
 
-    def without(rows: DataFrame, items: list[Item]) -> DataFrame:
-        cache: list[Searcher] = []
+def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, item_id, start, end (characters) and distance of each item found in each document.
 
-        def clean(column: pa.Array) -> np.ndarray:
-            if not cache:
-                cache.append(Searcher(items))
-            return np.array([not (t and cache[0].search(t)) for t in column.to_pylist()], bool)
+    With several blocks, the hits of each are written before the next block is read.
+    """
+    spark, docs = docs.sparkSession, doc_columns(docs)
+    items, blocks = blocked_items(benchmark, block_chars)
+    if blocks == 0:
+        return spark.createDataFrame([], SCHEMA)
+    if blocks == 1:
+        return _searched(docs, _block(items, 0))
+    path = scratch_path(spark, "leaks")
+    for block in range(blocks):
+        _searched(docs, _block(items, block)).write.mode("append").parquet(path)
+    return spark.read.schema(SCHEMA).parquet(path)
 
-        return filter_slices(rows, clean)
 
-    return reduce(without, item_blocks(benchmark, block_chars), docs)
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no item within its budget."""
+    items, blocks = blocked_items(benchmark, block_chars)
+    if blocks > 1:
+        # a hash of the text stands for its row: equal texts hold equal items
+        key = F.xxhash64(F.col("text").cast("string"))
+        found = leaks(docs.select(key.alias("doc_id"), "text"), benchmark, block_chars)
+        name = free_name(docs, "leak_key")
+        gone = saved(found.select(F.col("doc_id").alias(name)).distinct(), "leaking")
+        kept = docs.where("text is null")
+        return docs.where("text is not null").join(gone, key == F.col(name), "left_anti").union(kept)
+    if blocks == 0:
+        return docs
+    found = _block(items, 0)
+    cache: list[Searcher] = []
+
+    def clean(column: pa.Array) -> np.ndarray:
+        if not cache:
+            cache.append(Searcher(found))
+        return np.array([not (t and cache[0].search(t)) for t in column.to_pylist()], bool)
+
+    return filter_slices(docs, clean)
