@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import random
 import re
@@ -402,6 +403,17 @@ def test_recall_of_planted_tokens(spark):
     assert true > 100 and found >= 0.9 * true
 
 
+def test_a_changed_payload_fails_the_read(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "payload one")], "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "w"))
+    (file,) = (f for f in (tmp_path / "w").glob("part-*") if b"payload one" in gzip.decompress(f.read_bytes()))
+    file.write_bytes(gzip.compress(gzip.decompress(file.read_bytes()).replace(b"payload one", b"payload two")))
+    for crc in (tmp_path / "w").glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(Exception, match="not what its header says"):
+        warc.read_archives(spark, str(tmp_path / "w")).collect()
+
+
 def test_archives_round_trip(spark, tmp_path):
     rows = [(3, "http://x/a", "same"), (1, None, "same"), (2, "http://x/\r\nb", "same"), (4, "u", None), (5, "u", "")]
     rows += [(6, "u", "a\r\n\r\nWARC/1.1\r\n\r\nü"), (None, "u", "same"), (1, "again", "same")]
@@ -416,6 +428,12 @@ def test_archives_round_trip(spark, tmp_path):
     )
     assert {r["payload"] for r in out if r["page_id"] == 6} == {rows[5][2]}
     assert warc.read_archives(spark, str(tmp_path / "w")).where("page_id = 2").first()["target_uri"] == "http://x/%0D%0Ab"
+    more = pages.withColumns({c: F.lit("x") for c in ("value", "payload_bytes", "refers_to", "last")})
+    warc.write_archives(more, str(tmp_path / "more"), archive_bytes=1100, small_bytes=4)
+    again = warc.read_archives(spark, str(tmp_path / "more"))
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, out))
+    assert len(list((tmp_path / "more").glob("part-*"))) >= 4
+    assert warc.round_trip(pages.limit(0)).count() == 0
     long = warc.read_archives(spark, str(tmp_path / "w"))
     assert long.where("payload_digest is null").count() == 0
     warc.write_archives(pages, str(tmp_path / "all"), min_bytes=5)

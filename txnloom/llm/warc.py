@@ -8,10 +8,14 @@ file system Spark reaches; they are read back as binary files and parsed by thei
 A null payload is empty. Rows of the same page_id and payload stand at the same place: each is a
 response if that id is the smallest. A null page_id never is referred to; its row is a response.
 Line breaks in a URL are percent-encoded; a null URL has no target header. Empty tables give no rows.
+Archives are bounded by bytes; a payload above the bound has an archive of its own, which must fit a
+task. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +29,9 @@ from .common import saved
 
 #: Shorter payloads are always written as responses.
 MIN_BYTES = 0
-RECORDS_PER_FILE = 20_000
+#: Payload bytes that an archive holds, at most, but for an archive of one larger record; payloads up to
+#: SMALL_BYTES are kept apart from larger ones, which would else make all archives short.
+ARCHIVE_BYTES, SMALL_BYTES = 1 << 28, 1 << 16
 #: Revisits that are sent to every task, at most; beyond, pages are shuffled by id.
 BROADCAST_ROWS = 500_000
 
@@ -64,7 +70,7 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 
 def records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """One column, ``value``: a record for each page, without the two line breaks that end it."""
+    """``value``, a record for each page without the two line breaks that end it, and ``payload_bytes``."""
     again = saved(revisits(pages, min_bytes), "revisits")
     if again.count() <= BROADCAST_ROWS:
         again = F.broadcast(again)
@@ -86,12 +92,21 @@ def records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block)),
     ]
-    return rows.select(F.concat(F.concat_ws(BREAK, *header), F.lit(BREAK * 2), block).alias("value"))
+    return rows.select(F.concat(F.concat_ws(BREAK, *header), F.lit(BREAK * 2), block).alias("value"), "payload_bytes")
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> None:
-    writer = records(pages, min_bytes).write.option("lineSep", BREAK * 2).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+def write_archives(
+    pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, archive_bytes: int = ARCHIVE_BYTES, small_bytes: int = SMALL_BYTES
+) -> None:
+    """Archives of at most ``archive_bytes`` of payload, so that each can be read as one value."""
+    size = F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0))
+    largest = pages.agg(F.max(size)).first()[0] or 0
+    rows, small = records(pages, min_bytes), F.col("payload_bytes") <= small_bytes
+    parts = [(rows, largest)] if largest <= small_bytes else [(rows.where(small), small_bytes), (rows.where(~small), largest)]
+    for part, bound in parts:
+        writer = part.select("value").write.mode("append").option("lineSep", BREAK * 2).option("compression", "gzip")
+        # headers take less than a thousand bytes
+        writer.option("maxRecordsPerFile", max(archive_bytes // (bound + 1000), 1)).text(path)
 
 
 def parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -140,22 +155,25 @@ def _urn_id(urn: str | None) -> int | None:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, target_uri and the payload
-    itself (null for revisits) of each record of the archives at ``path``."""
+    itself (null for revisits) of each record of the archives at ``path``.
+
+    Length and digest of each payload that is there are computed anew; where they differ from the
+    record's own, the read fails.
+    """
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "payload"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
 
     def rows(content: bytes) -> Iterator[tuple]:
         for headers, block in parse(_unzipped(content)):
-            kind = headers["WARC-Type"]
-            yield (
-                _urn_id(headers["WARC-Record-ID"]),
-                int(headers["X-Payload-Length"]),
-                headers["WARC-Payload-Digest"].removeprefix("sha1:"),
-                kind,
-                _urn_id(headers.get("WARC-Refers-To")),
-                headers.get("WARC-Target-URI"),
-                block.split(b"\r\n\r\n", 1)[1].decode("utf-8") if kind == "response" else None,
-            )
+            kind, payload = headers["WARC-Type"], None
+            size, digest = int(headers["X-Payload-Length"]), headers["WARC-Payload-Digest"].removeprefix("sha1:")
+            if kind == "response":
+                payload = block.split(b"\r\n\r\n", 1)[1]
+                if (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()) != (size, digest):
+                    raise ValueError(f"the payload of {headers['WARC-Record-ID']} is not what its header says")
+                payload = payload.decode("utf-8")
+            referred = _urn_id(headers.get("WARC-Refers-To"))
+            yield _urn_id(headers["WARC-Record-ID"]), size, digest, kind, referred, headers.get("WARC-Target-URI"), payload
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
