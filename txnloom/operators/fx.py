@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pyarrow.compute as pc
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +12,7 @@ from ..session import scratch_path
 # broadcast and takes the salted join instead.
 MAX_BROADCAST_RATES = 10_000
 _SALTS = 64
+_RATE_KINDS = (pa.string(), pa.float64())
 
 FX_MODES = ("divide", "multiply")
 
@@ -37,10 +38,11 @@ def frozen_rates(rates: DataFrame, most: int) -> tuple[DataFrame, bool]:
     """
     spark = rates.sparkSession
     kept = rates.select(F.col("currency"), F.col("rate").cast("double").alias("rate"))
-    few = kept.limit(most + 1).toArrow()
-    if few.num_rows <= most:
-        doubled = few.num_rows > pc.count_distinct(few["currency"], mode="all").as_py()
-        kept = spark.createDataFrame(few, kept.schema)
+    few = kept.limit(most + 1).collect()
+    if len(few) <= most:
+        doubled = len({row["currency"] for row in few}) < len(few)
+        columns = [pa.array([row[i] for row in few], kind) for i, kind in enumerate(_RATE_KINDS)]
+        kept = spark.createDataFrame(pa.table(columns, names=["currency", "rate"]))
     else:
         path = scratch_path(spark, "rates")
         kept.write.parquet(path)
@@ -48,7 +50,7 @@ def frozen_rates(rates: DataFrame, most: int) -> tuple[DataFrame, bool]:
         doubled = not kept.groupBy("currency").count().where("count > 1").isEmpty()
     if doubled:
         raise ValueError("the rate table lists a currency twice")
-    return kept, few.num_rows <= most
+    return kept, len(few) <= most
 
 
 def join_currency(

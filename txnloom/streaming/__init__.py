@@ -1,4 +1,4 @@
-from .progress import Backlog, BatchReport
+from .progress import Backlog, BatchReport, files_behind
 from .runner import (
     BatchSink,
     bucketed_sink,
@@ -27,6 +27,7 @@ __all__ = [
     "committed_sink",
     "converting",
     "earliest_sink",
+    "files_behind",
     "finish",
     "jdbc_sink",
     "parquet_sink",

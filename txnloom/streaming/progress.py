@@ -1,4 +1,4 @@
-"""What running queries report: rows of each micro-batch, and what their sources still hold."""
+"""What running queries report of each micro-batch, and what their sources still hold."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import threading
 from collections import deque
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.listener import (
     QueryIdleEvent,
@@ -14,10 +16,23 @@ from pyspark.sql.streaming.listener import (
     QueryTerminatedEvent,
 )
 
+from ..session import input_files
+
+
+def files_behind(spark: SparkSession, folder: str, checkpoint: str) -> int:
+    """How many files of ``folder`` the stream with this checkpoint has not yet taken.
+
+    The file source lists in its checkpoint what each micro-batch took.
+    """
+    log = spark.read.text(f"{checkpoint}/sources/0")
+    path = F.get_json_object("value", "$.path")
+    taken = log.select(path.alias("path")).where("path is not null").distinct().count()
+    return len(input_files(spark, folder)) - taken
+
 
 @dataclass(frozen=True)
 class BatchReport:
-    """One micro-batch: its rows, its seconds, and the files and bytes, or records, left behind."""
+    """One micro-batch: its rows, its seconds, and what a topic still held after it, if known."""
 
     run_id: str
     batch_id: int
@@ -29,8 +44,8 @@ class BatchReport:
 class Backlog(StreamingQueryListener):
     """Keeps the last ``most`` reports; add it with ``spark.streams.addListener``.
 
-    A source limited per trigger reports what it left: files and bytes of folders, records
-    of topics. A backlog that grows over reports means that the pace is too low.
+    Topics report how many records they are ahead; for folders ask ``files_behind``. A
+    backlog that grows from report to report means that the pace is too low.
     """
 
     def __init__(self, most: int = 10_000):
@@ -48,7 +63,7 @@ class Backlog(StreamingQueryListener):
         left: dict[str, float] = {}
         for source in progress.sources:
             for name, value in (source.metrics or {}).items():
-                if name.endswith("Outstanding") or name.startswith("maxOffsetsBehind"):
+                if "OffsetsBehindLatest" in name:
                     left[name] = left.get(name, 0.0) + float(value)
         self.reports.append(
             BatchReport(

@@ -483,8 +483,11 @@ def paced_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.streams.addListener(backlog)
     try:
         out = scratch_path(spark, "paced-out")
-        query = streaming.start_files(stream, out, scratch_path(spark, "checkpoint"), drain=True)
+        checkpoint = scratch_path(spark, "checkpoint")
+        query = streaming.start_files(stream, out, checkpoint, drain=True)
         query.awaitTermination()
+        if streaming.files_behind(spark, folder, checkpoint):
+            raise AssertionError("files are left")
         reports = [(r.rows,) for r in backlog.of(query) if r.rows]
     finally:
         spark.streams.removeListener(backlog)
