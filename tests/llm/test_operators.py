@@ -596,3 +596,33 @@ def test_pipeline_against_its_operators(spark, sf_dir):
     assert set(texts[0]) >= set(texts[1]) == set(texts[2])
     assert {r["doc_id"] for r in states[5].collect()} == set(texts[4])
     assert states[5].agg(F.sum("length")).first()[0] == sum(len(packing.encode(t, *packing.paths())) for t in texts[4].values())
+
+
+def test_blocks_reach_the_optimum_of_the_whole(spark, monkeypatch):
+    """Blocks that take turns end at the loss of one block, and both near that of a plain descent."""
+    rng = random.Random(21)
+    words = [[rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(30)] for _ in range(2)]
+    texts = [(i, " ".join(rng.choice(words[(i % 2) if rng.random() < 0.6 else rng.randint(0, 1)]) for _ in range(15))) for i in range(240)]
+    rows = spark.createDataFrame(
+        [(i // 2 % 6, i, i % 2, text) for i, text in texts], "block int, key long, label int, text string"
+    )
+    ratio = np.random.default_rng(3).normal(size=nbsvm.BUCKETS)
+    bucket, doc = nbsvm.ngrams(nbsvm.Texts(pa.array([t for _, t in texts])))
+    x = np.zeros((len(texts), nbsvm.BUCKETS + 1))
+    x[doc, bucket] = ratio[bucket]
+    x[:, :-1] /= np.linalg.norm(x[:, :-1], axis=1)[:, None]
+    x[:, -1] = 1
+    y = np.array([1.0 if i % 2 else -1.0 for i, _ in texts])
+    loss = lambda w: (w @ w) / 2 + nbsvm.COST * np.maximum(0, 1 - y * (x @ w)).sum()
+    gram, dual = (x @ x.T) * np.outer(y, y), np.zeros(len(y))
+    for _ in range(400):
+        for i in range(len(y)):
+            dual[i] = np.clip(dual[i] + (1 - gram[i] @ dual) / gram[i, i], 0, nbsvm.COST)
+    best = loss((dual * y) @ x)
+    monkeypatch.setattr(nbsvm, "PASSES", 60)
+    assert loss(nbsvm.fit(rows.withColumn("block", F.lit(0)), ratio, 1)) <= 1.01 * best
+    few = loss(nbsvm.fit(rows, ratio, 6))
+    monkeypatch.setattr(nbsvm, "TURNS", 30)
+    many = loss(nbsvm.fit(rows, ratio, 6))
+    print(few / best, many / best)
+    assert many < few <= 1.05 * best and many <= 1.02 * best
