@@ -206,7 +206,7 @@ class FakeDatabase:
 
     def read(self, reader, url, table, **options):
         self.calls.append((table, "read"))
-        held = [row for row in self.tables["t_incoming"] if row[0] in self.stored]
+        held = [row for row in next(v for k, v in self.tables.items() if "incoming" in k and k in table) if row[0] in self.stored]
         return self.spark.createDataFrame(held, "transaction_id string")
 
 
@@ -228,6 +228,9 @@ def test_jdbc_append_skips_ids_the_table_holds(spark):
         assert [call[1] for call in database.calls] == ["overwrite", "read", "append"]
         assert "JOIN t_incoming" in database.calls[1][0]
         database.calls.clear()
+        sinks.append_new_jdbc(target_rows(spark, "2"), target, writer="csv")
+        assert [call[0] for call in database.calls if call[1] == "overwrite"] == ["t_incoming_csv"]
+        database.calls.clear()
         sinks.append_new_jdbc(target_rows(spark, "1"), target, check_existing=False)
         assert database.calls == [("t", "append")]
         with pytest.raises(Exception, match="transaction_id is null"):

@@ -10,10 +10,11 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from tests.conftest import values
-from txnloom import sources
+from txnloom import sinks, sources
 from txnloom.schema import FIELD_NAMES, HEADER_LINE
 from txnloom.session import build_session, scratch_path, size_shuffle
 from txnloom.sources import lines
+from txnloom.sources.jdbc import hash_parts
 
 
 def write(path, text):
@@ -219,6 +220,18 @@ def test_kafka_options():
     assert more["minPartitions"] == "64" and more["maxOffsetsPerTrigger"] == "1000"
 
 
+def test_further_options_reach_broker_and_database():
+    secured = {"kafka.security.protocol": "SSL"}
+    assert sources.kafka_read_options("k", "in", options=secured)["kafka.security.protocol"] == "SSL"
+    assert sinks.kafka_write_options("k", "out", secured)["topic"] == "out"
+    with pytest.raises(ValueError, match="twice"):
+        sources.kafka_read_options("k", "in", options={"Subscribe": "x"})
+    target = sources.JdbcTarget("jdbc:x", user="u", password="p", options={"sslmode": "require"})
+    assert target.properties["sslmode"] == "require" and "require" not in repr(target)
+    parts = hash_parts("id", 3)
+    assert len(set(parts)) == 3 and all("hashtext(id)" in part for part in parts)
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         sources.kafka_stream(spark, "k:9093", "in")
@@ -242,7 +255,7 @@ def test_jdbc_query_is_pushed_down_as_a_subquery():
     target = sources.JdbcTarget("jdbc:x", user="u")
     sources.jdbc_query(spark, target, "SELECT 1 AS one")
     spark.read.jdbc.assert_called_once_with(
-        "jdbc:x", "(SELECT 1 AS one) AS q", properties=target.properties
+        "jdbc:x", "(SELECT 1 AS one) AS q", properties={"fetchsize": "10000", "user": "u", **target.properties}
     )
     sources.jdbc_query(spark, target, "SELECT id FROM t", ["id < 5", "id >= 5"])
     assert spark.read.jdbc.call_args.kwargs["predicates"] == ["id < 5", "id >= 5"]

@@ -36,11 +36,29 @@ def _message_arguments(job: argparse.ArgumentParser, topic: str) -> None:
     job.add_argument("--starting", default="latest", choices=("latest", "earliest"))
     job.add_argument("--min-partitions", type=int, help="split the topic into more tasks")
     job.add_argument("--max-offsets", type=int, help="records per micro-batch")
+    _kafka_arguments(job)
     job.add_argument("--input", help="folder to read instead of a topic")
     job.add_argument("--input-format", default="parquet", choices=("parquet", "text"))
     _pace_arguments(job)
 
 
+def _kafka_arguments(job: argparse.ArgumentParser) -> None:
+    job.add_argument(
+        "--kafka-option",
+        action="append",
+        default=[],
+        metavar="NAME=VALUE",
+        help="further option of the Kafka connector, such as kafka.security.protocol=SSL",
+    )
+
+
+def _kafka_options(args: argparse.Namespace) -> dict[str, str]:
+    pairs = [option.partition("=") for option in args.kafka_option]
+    if not all(name and equals for name, equals, _ in pairs):
+        raise SystemExit("--kafka-option takes NAME=VALUE")
+    return {name: value for name, _, value in pairs}
+
+
 def _pace_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--max-files", type=int, help="files per micro-batch")
     job.add_argument("--max-bytes", type=int, help="bytes of files per micro-batch, instead")
@@ -55,6 +73,7 @@ def _stream_arguments(job: argparse.ArgumentParser) -> None:
 def _publish_arguments(job: argparse.ArgumentParser) -> None:
     job.add_argument("--csv", required=True, help="CSV files with a header line")
     job.add_argument("--servers", help="Kafka bootstrap servers")
+    _kafka_arguments(job)
     job.add_argument("--to-topic", default=RAW_TOPIC)
     job.add_argument("--output", help="Parquet folder to write instead of a topic")
     job.add_argument("--limit", type=int, help="publish only the first so many rows, in one batch")
@@ -133,6 +152,7 @@ def messages(spark: SparkSession, args: argparse.Namespace, streaming: bool = Tr
             starting=args.starting,
             min_partitions=args.min_partitions,
             max_offsets_per_trigger=args.max_offsets,
+            options=_kafka_options(args),
         )
     read = sources.text_lines if args.input_format == "text" else sources.parquet_rows
     return read(
@@ -158,12 +178,14 @@ def _forward(
         if args.output is not None:
             out.write.mode("append").parquet(args.output)
         else:
-            sinks.publish(out, args.servers, args.to_topic)
+            sinks.publish(out, args.servers, args.to_topic, _kafka_options(args))
         return []
     if args.output is not None:
         start = partial(streaming.start_files, out, args.output)
     else:
-        start = partial(streaming.start_kafka, out, args.servers, args.to_topic)
+        start = partial(
+            streaming.start_kafka, out, args.servers, args.to_topic, options=_kafka_options(args)
+        )
     return [start(checkpoint=progress, every=args.every, drain=args.drain)]
 
 
@@ -236,7 +258,8 @@ def _load(
         if args.output is not None:
             sinks.append_new(rows, args.output, unique=True, bulk=True, ranges=args.ranges)
         else:
-            sinks.append_new_jdbc(rows, JdbcTarget.from_env())
+            writer = args.job.replace("-", "_")
+            sinks.append_new_jdbc(rows, JdbcTarget.from_env(), writer=writer)
         if rejects is not None:
             rejected(payloads).write.mode("append").parquet(rejects)
         return []
@@ -258,7 +281,8 @@ def _load(
 
 def _sink(args: argparse.Namespace) -> streaming.BatchSink:
     if args.output is None:
-        return streaming.jdbc_sink(JdbcTarget.from_env(), args.sole_writer)
+        writer = args.job.replace("-", "_")
+        return streaming.jdbc_sink(JdbcTarget.from_env(), args.sole_writer, writer)
     if args.buckets is not None:
         name = "table_" + "".join(c if c.isalnum() else "_" for c in args.output)
         table = sinks.BucketedTable(name, args.output, args.buckets)

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import KEY, PARTITION_COLUMNS, TARGET, conform
-from ..sources.jdbc import JdbcTarget, jdbc_query
+from ..sources.jdbc import JdbcTarget, hash_parts, jdbc_query
 from .ids import keep_unseen, require_ids
 
 
@@ -50,14 +50,18 @@ def append_jdbc(
     )
 
 
-def stored_ids(batch: DataFrame, target: JdbcTarget, max_connections: int = 16) -> DataFrame:
-    """The batch's ids that the table already holds.
+def stored_ids(
+    batch: DataFrame, target: JdbcTarget, max_connections: int = 16, writer: str | None = None
+) -> DataFrame:
+    """The batch's ids that the table already holds, read over several connections.
 
     The ids are put in a side table and joined inside the database, so the work
     follows the batch and the table's key index, not the size of the table. The
-    side table is replaced each time, so append from one job at a time.
+    side table is replaced each time; jobs that append at the same time need names of
+    their own, as ``writer``. Should both insert one id, the key fails one batch, which
+    finds the id stored when it is delivered again.
     """
-    side = f"{target.table}_incoming"
+    side = f"{target.table}_incoming" + (f"_{writer}" if writer else "")
     (
         batch.select(KEY)
         .write.option("numPartitions", max_connections)
@@ -65,11 +69,16 @@ def stored_ids(batch: DataFrame, target: JdbcTarget, max_connections: int = 16)
         .jdbc(target.url, side, mode="overwrite", properties=target.properties)
     )
     query = f"SELECT t.{KEY} FROM {target.table} t JOIN {side} s ON t.{KEY} = s.{KEY}"
-    return jdbc_query(batch.sparkSession, target, query)
+    parts = hash_parts(KEY, max_connections)
+    return jdbc_query(batch.sparkSession, target, query, parts)
 
 
 def append_new_jdbc(
-    batch: DataFrame, target: JdbcTarget, check_existing: bool = True, max_connections: int = 16
+    batch: DataFrame,
+    target: JdbcTarget,
+    check_existing: bool = True,
+    max_connections: int = 16,
+    writer: str | None = None,
 ) -> None:
     """Insert the rows whose id the table lacks; ids must be distinct in the batch.
 
@@ -82,7 +91,7 @@ def append_new_jdbc(
         return
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        known = stored_ids(rows, target, max_connections)
+        known = stored_ids(rows, target, max_connections, writer)
         append_jdbc(keep_unseen(rows, known), target, max_connections)
     finally:
         rows.unpersist()

@@ -111,9 +111,15 @@ def parquet_sink(path: str, sole_writer: bool = False, ranges: int | None = None
     return _checking(append, sole_writer)
 
 
-def jdbc_sink(target: JdbcTarget, sole_writer: bool = False) -> BatchSink:
-    """Append micro-batches of distinct ids to a keyed JDBC table."""
-    return _checking(lambda batch, check: append_new_jdbc(batch, target, check), sole_writer)
+def jdbc_sink(
+    target: JdbcTarget, sole_writer: bool = False, writer: str | None = None
+) -> BatchSink:
+    """Append micro-batches of distinct ids to a keyed JDBC table, as ``writer`` among others."""
+
+    def append(batch: DataFrame, check: bool) -> None:
+        append_new_jdbc(batch, target, check, writer=writer)
+
+    return _checking(append, sole_writer)
 
 
 def committed_sink(path: str, writer: str) -> BatchSink:
@@ -159,11 +165,11 @@ def start_files(
 
 def start_kafka(
     messages: DataFrame, servers: str, topic: str, checkpoint: str, every: str | None = None,
-    drain: bool = False,
+    drain: bool = False, options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Forward ``key, value`` messages to a topic."""
-    options = kafka_write_options(servers, topic)
-    return _writer(messages, checkpoint, every, drain).format("kafka").options(**options).start()
+    chosen = kafka_write_options(servers, topic, options)
+    return _writer(messages, checkpoint, every, drain).format("kafka").options(**chosen).start()
 
 
 def start_console(
