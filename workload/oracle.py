@@ -75,7 +75,10 @@ def as_typed(name: str, flag=loose_bool, quoted: bool = False) -> str:
 
 
 def as_shown(name: str) -> str:
-    return f"CAST({loose_bool(name)} AS VARCHAR)" if name == "card_present" else as_typed(name)
+    return f"coalesce({loose_bool(name)}, false)" if name == "card_present" else as_typed(name)
+
+
+FLAG_KNOWN = f"({loose_bool('card_present')}) IS NOT NULL AS card_present_known"
 
 
 def listing(names, render) -> str:
@@ -96,7 +99,7 @@ def from_json(name: str) -> str:
 
 
 def from_json_strict(name: str) -> str:
-    return "CAST(NULL AS VARCHAR)" if name in INTEGERS else from_json(name)
+    return "CAST(0 AS INTEGER)" if name in INTEGERS else from_json(name)
 
 
 def json_text(timestamp: str) -> str:
@@ -229,7 +232,8 @@ def wire_sql() -> str:
 def strict_json_sql() -> str:
     return (
         f"WITH {rows_cte('events')} SELECT {listing(NO_VELOCITY, from_json_strict)}, "
-        f"json_extract_string({VELOCITY}, '$.k') AS velocity_k FROM tx"
+        f"json_extract_string({VELOCITY}, '$.k') AS velocity_k, "
+        "false AS distance_from_home_known, false AS transaction_hour_known FROM tx"
     )
 
 
@@ -283,7 +287,9 @@ ORACLE: dict[str, str] = {
     "parse_csv_unquoted": select_rows("events", FIELD_NAMES, _unquoted),
     "parse_csv_odd": odd_sql(),
     "json_type_faults": faults_sql(),
-    "cast_fields": select_rows("events", FIELD_NAMES, as_shown),
+    "cast_fields": (
+        f"WITH {rows_cte('events')} SELECT {listing(FIELD_NAMES, as_shown)}, {FLAG_KNOWN} FROM tx"
+    ),
     "coerce_strict": select_rows(
         "events",
         FIELD_NAMES,
@@ -306,6 +312,11 @@ ORACLE: dict[str, str] = {
         f"WITH {rows_cte('events')} SELECT 'Transaction' AS key, "
         f"{json_text(EVENT_MILLIS)} AS value FROM tx"
     ),
+    "normalize_nested": (
+        f"WITH {rows_cte('events')} SELECT 'Transaction' AS key, "
+        "'{\"extra\":1.50,\"in\":{\"timestamp\":\"' || timestamp || '\",\"n\":12.0},' || "
+        f"substr({json_text(EVENT_MILLIS)}, 2) AS value FROM tx"
+    ),
     "join_currency_left": amounts_sql("rate"),
     "fx_divide": amounts_sql("amount / rate AS rate_usd"),
     "fx_multiply": amounts_sql("amount * rate AS rate_usd"),
@@ -325,7 +336,8 @@ ORACLE: dict[str, str] = {
         "AND transaction_id = '150'"
     ),
     "stream_enrich": (
-        "SELECT * REPLACE (CAST(card_present AS VARCHAR) AS card_present) "
+        "SELECT * REPLACE (coalesce(card_present, false) AS card_present), "
+        "card_present IS NOT NULL AS card_present_known "
         f"FROM ({target_sql('events', '/', loose_bool, True)})"
     ),
     "stream_dedup": UNIQUE_EVENTS,

@@ -55,9 +55,14 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns(shown) if shown else df
 
 
-def as_text(df: DataFrame, *names: str) -> DataFrame:
-    """Integer or boolean columns holding nulls, which data frames of each engine type apart."""
-    return df.withColumns({name: F.col(name).cast("string") for name in names})
+def with_known(df: DataFrame, *names: str) -> DataFrame:
+    """Integer or boolean columns without their nulls, which engines type apart, and where they were."""
+    zero = {"boolean": F.lit(False), "int": F.lit(0)}
+    kinds = dict(df.dtypes)
+    known = {f"{name}_known": F.col(name).isNotNull() for name in names}
+    return df.withColumns(known).withColumns(
+        {name: F.coalesce(name, zero[kinds[name]]) for name in names}
+    )
 
 
 def offset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,8 +181,8 @@ def parse_json_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     payloads = plans.json_envelope(typed)
     parsed = op.parse_json(payloads, strict=True, velocity=True)
-    shown = as_text(plain(parsed), "distance_from_home", "transaction_hour")
-    return shown.withColumn("velocity_k", F.col(VELOCITY)["k"]).select(*TYPED_NAMES, "velocity_k")
+    shown = with_known(plain(parsed), "distance_from_home", "transaction_hour")
+    return shown.withColumn("velocity_k", F.col(VELOCITY)["k"]).drop(VELOCITY)
 
 
 def parse_csv_line(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +211,7 @@ def parse_csv_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_text(plain(op.cast_fields(read_rows(spark, sf_dir, "events"))), "card_present")
+    return with_known(plain(op.cast_fields(read_rows(spark, sf_dir, "events"))), "card_present")
 
 
 def coerce_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +245,15 @@ def normalize_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.normalize_messages(json_payloads(read_rows(spark, sf_dir, "events")))
 
 
+def normalize_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with unknown keys and a nested object that has a time of its own."""
+    rows = op.coerce_strict(read_rows(spark, sf_dir, "events"))
+    lead = F.concat(F.lit('{"extra":1.50,"in":{"timestamp":"'), "timestamp", F.lit('","n":12.0},'))
+    text = F.expr("substring(value, 2)")
+    sent = rows.select("timestamp", plans.json_value(rows).alias("value"))
+    return plans.normalize_messages(sent.select(F.concat(lead, text).alias("value")))
+
+
 # ---------------------------------------------------------------- currency
 
 
@@ -350,7 +364,7 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-enrich")
     query = streaming.start_files(enriched, out, scratch_path(spark, "checkpoint"), drain=True)
     query.awaitTermination()
-    return as_text(spark.read.schema(enriched.schema).parquet(out), "card_present")
+    return with_known(spark.read.schema(enriched.schema).parquet(out), "card_present")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -596,6 +610,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         calendar_parts_instant,
         normalize_timestamp,
         normalize_messages,
+        normalize_nested,
         join_currency_left,
         fx_divide,
         fx_multiply,
