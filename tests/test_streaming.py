@@ -158,6 +158,30 @@ def test_a_batch_that_fails_after_writing_is_not_repeated(spark, rates, payload,
     assert values(sinks.read_table(spark, path), "transaction_id") == [("1",), ("2",), ("3",)]
 
 
+@pytest.mark.parametrize("sole_writer", [False, True])
+def test_one_sink_object_meets_a_batch_twice(spark, rates, payload, sole_writer):
+    folder, add = message_folder(spark, [payload(transaction_id=i) for i in "12"])
+    add(payload(transaction_id="3"))
+    path, checkpoint = scratch_path(spark, "table"), scratch_path(spark, "check")
+    sink, fails = streaming.parquet_sink(path, sole_writer), [1]
+
+    def losing(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id in fails:
+            fails.remove(batch_id)
+            raise RuntimeError("lost after the write")
+
+    for attempt in range(2):
+        rows = plans.enrich_json(stream_of(spark, folder, max_files_per_trigger=1), rates)
+        query = streaming.start_batches(rows, losing, checkpoint, drain=True)
+        if attempt == 0:
+            with pytest.raises(Exception, match="lost after the write"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    assert values(sinks.read_table(spark, path), "transaction_id") == [("1",), ("2",), ("3",)]
+
+
 def test_a_sole_writer_looks_at_the_table_once_per_run(spark, rates, payload, monkeypatch):
     looked = []
 

@@ -8,7 +8,16 @@ from __future__ import annotations
 
 from txnloom.schema import FIELD_NAMES, HEADER_LINE, TARGET_NAMES, VELOCITY
 
-from .tables import FIRST_LINES, LATER_RATES, LOOKED_UP, ODD_LINE, PACE, RATES, field_sql
+from .tables import (
+    FIRST_LINES,
+    LATER_RATES,
+    LOOKED_UP,
+    MIXED_TIMES,
+    ODD_LINE,
+    PACE,
+    RATES,
+    field_sql,
+)
 
 FLAGS = ("card_present", "high_risk_merchant", "weekend_transaction", "is_fraud")
 INTEGERS = ("distance_from_home", "transaction_hour")
@@ -217,6 +226,20 @@ def unique_sql() -> str:
     )
 
 
+def mixed_times_sql() -> str:
+    """As ``unique_sql``, by the instant of times that can be read."""
+    typed = listing(FIELD_NAMES, lambda n: MIXED_TIMES[1] if n == "timestamp" else as_typed(n))
+    readable = "CASE WHEN city IN ('City 3', 'City 4', 'City 5') THEN NULL ELSE "
+    instant = f"{readable} CAST(substr(timestamp, 1, 19) AS TIMESTAMP) END"
+    order = ", ".join(f"{name} NULLS FIRST" for name in FIELD_NAMES if name != "transaction_id")
+    names = ", ".join(FIELD_NAMES)
+    return (
+        f"WITH {rows_cte('lineitem')}, typed AS (SELECT {typed}, {instant} AS instant FROM tx) "
+        f"SELECT {names} FROM typed QUALIFY row_number() OVER "
+        f"(PARTITION BY transaction_id ORDER BY instant NULLS LAST, {order}) = 1"
+    )
+
+
 def wire_sql() -> str:
     def value(name: str) -> str:
         if name in FLAGS:
@@ -321,6 +344,7 @@ ORACLE: dict[str, str] = {
     "fx_divide": amounts_sql("amount / rate AS rate_usd"),
     "fx_multiply": amounts_sql("amount * rate AS rate_usd"),
     "dedup_transaction_id": unique_sql(),
+    "dedup_mixed_times": mixed_times_sql(),
     "to_json_envelope": (
         f"WITH {rows_cte('events')} SELECT 'Transaction' AS key, "
         f"{json_text('timestamp')} AS value FROM tx"

@@ -17,6 +17,7 @@ from .tables import (
     FIRST_LINES,
     LATER_RATES,
     LOOKED_UP,
+    MIXED_TIMES,
     ODD_LINE,
     PACE,
     RATES,
@@ -281,6 +282,12 @@ def dedup_transaction_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(op.drop_repeated_ids(op.cast_fields(read_rows(spark, sf_dir, "lineitem"))))
 
 
+def dedup_mixed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earliest instant survives, whatever offset it is written in; rows without a time come last."""
+    rows = read_rows(spark, sf_dir, "lineitem").withColumn("timestamp", F.expr(MIXED_TIMES[0]))
+    return plain(op.drop_repeated_ids(op.cast_fields(rows)))
+
+
 # ---------------------------------------------------------------- messages
 
 
@@ -615,6 +622,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fx_divide,
         fx_multiply,
         dedup_transaction_id,
+        dedup_mixed_times,
         to_json_envelope,
         to_line_envelope,
         target_contract,

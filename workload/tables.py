@@ -121,6 +121,17 @@ ODD_LINE = (
     ),
 )
 
+# Times of order lines as different senders write them: in two offsets, blank, missing, not a time.
+MIXED_TIMES = tuple(
+    "CASE city WHEN 'City 1' THEN timestamp "
+    f"WHEN 'City 2' THEN {later} || '+05:00' WHEN 'City 3' THEN '' WHEN 'City 4' THEN NULL "
+    "WHEN 'City 5' THEN 'soon' ELSE timestamp END"
+    for later in (
+        "date_format(CAST(substr(timestamp, 1, 19) AS TIMESTAMP) + INTERVAL 5 HOURS, 'yyyy-MM-dd HH:mm:ss')",
+        "strftime(CAST(substr(timestamp, 1, 19) AS TIMESTAMP) + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S')",
+    )
+)
+
 #: How many lines ``src_first_lines`` asks for.
 FIRST_LINES = 1000
 
