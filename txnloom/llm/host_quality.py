@@ -6,7 +6,8 @@ that a host of three pages isn't blocked for two bad ones. A host whose shrunk r
 ``MAX_HOST_RATE`` is blocked with everything on it.
 
 Nulls: a null text has no words and fails; documents without a host share one. Empty tables give
-no rows; repeated rows are measured each for itself.
+no rows; repeated rows are measured each for itself, long texts whole. Nothing is ranked, so there are
+no ties. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ a line that also belongs to the first window itself, where the two overlap, stay
 
 Texts of fewer than three lines and null texts are left as they are. Rows of the same id and text
 count as one place, so neither removes the other's lines; rows of the same id with different texts
-are told apart by a hash of the text. Empty tables give no rows.
+are told apart by a hash of the text. Empty tables give no rows. Long texts are read whole; other columns
+are passed on, whatever their names.
 """
 
 from __future__ import annotations

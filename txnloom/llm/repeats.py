@@ -16,7 +16,8 @@ taken modulo three).
    same common bytes. Windows of blocks that are at an edge again are named one by one, and so are
    windows that have no cut near; a text sends each name once.
 
-A null text is empty; texts under 400 bytes are left alone. Repeated rows are documents of their
+A null text is empty; texts under 400 bytes are left alone. Long texts are one row and one task's work,
+in time in proportion; there are no ties to settle, as every copy goes. Other columns are not read. Repeated rows are documents of their
 own, so all of a repeated row goes if it has 400 bytes. Empty tables give no rows.
 """
 

@@ -13,7 +13,9 @@ labelled documents turns evidence into a score between 0 and 1.
 
 Nulls and empty texts have no evidence and get the score of documents without any. Without
 labels, or with one class only, that score is the smoothed share of toxic labels. Repeated rows
-are scored each for itself; an empty table gives no rows.
+are scored each for itself; an empty table gives no rows. Long texts are scored whole, in time in
+proportion. Tokens of equal surprise are taken in order of their hash, segments of equal total
+leftmost first. Columns other than doc_id and text are passed on by ``drop_toxic``, else not read.
 """
 
 from __future__ import annotations
