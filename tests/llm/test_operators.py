@@ -336,7 +336,11 @@ def found_spans(rows, rounds=pii.ROUNDS):
             if free:
                 beside.append((row, a, b, sides))
     support = Counter(side for side, _ in edges)
-    edges = {e: n for e, n in edges.items() if support[e[0]] >= pii.SUPPORT}
+    size = Counter()
+    for (side, _), n in edges.items():
+        size[side] += n
+    possible = {s for s in size if support[s] >= pii.SUPPORT and size[s] >= pii.ACCEPT * (totals[s] + pii.PRIOR)}
+    edges = {e: n for e, n in edges.items() if e[0] in possible}
     known = Counter()
     for (side, who), n in edges.items():
         known[side] += n * instances[who]

@@ -6,7 +6,8 @@ instance: the word before, the two words before, the word after, or the words on
 however long, in lower case by A-Z. In each round a pattern is worth the sum of its instances' worth over
 all places where it occurs, whatever stands there, and ``PRIOR`` worthless ones; a seed is worth one, and
 an unseen instance, a word of at least ``MIN_LENGTH`` characters with a digit, as much as its best
-pattern. Patterns of fewer than ``SUPPORT`` different instances count nothing. After the rounds every word
+pattern. Patterns of fewer than ``SUPPORT`` different instances count nothing, nor those that could not be
+worth ``ACCEPT`` if all their instances were worth one. After the rounds every word
 with a digit beside a pattern worth ``ACCEPT``, fixed kinds aside, is reported as kind ``id``, without
 the marks around it. Identifiers without a digit are never reported.
 
@@ -29,14 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, map_slices, saved, slices
+from .common import doc_columns, saved, slices
 from .tokens import LOWER, U64, Texts, mix, run_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"
 ROUNDS, PRIOR, ACCEPT, MIN_LENGTH, SUPPORT = 3, 2.0, 0.5, 6, 3
-#: Patterns whose places are counted in one pass over the texts, 32 MB of hashes.
-BLOCK = 4_000_000
+#: Patterns whose places are counted in one pass over the texts, 32 MB of hashes; one in so many texts is
+#: looked at first, to leave out patterns that ordinary words have too often. That decides cost only.
+BLOCK, PART = 4_000_000, 16
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -207,22 +209,31 @@ def places(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         here = wanted.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == block).select("pattern").toArrow()
         known = np.sort(here["pattern"].to_numpy())
 
-        def count(batch: pa.RecordBatch, known=known) -> pa.RecordBatch:
-            _, _, words, doc = _hashed(batch.column(0))
-            every = np.arange(len(words))
-            seen = patterns(words, doc, every, every).view(np.int64).ravel() if len(words) else np.empty(0, np.int64)
-            at = np.minimum(np.searchsorted(known, seen), len(known) - 1)
-            hits = np.bincount(at[known[at] == seen], minlength=len(known))
+        def count(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+            hits = np.zeros(len(known), np.int64)
+            for batch in batches:
+                for part in slices(batch):
+                    _, _, words, doc = _hashed(part.column(0))
+                    if len(words) and len(known):
+                        every = np.arange(len(words))
+                        seen = patterns(words, doc, every, every).view(np.int64).ravel()
+                        at = np.minimum(np.searchsorted(known, seen), len(known) - 1)
+                        hits += np.bincount(at[known[at] == seen], minlength=len(known))
             some = np.flatnonzero(hits)
-            return pa.RecordBatch.from_arrays([pa.array(known[some]), pa.array(hits[some])], names=["pattern", "total"])
+            yield pa.RecordBatch.from_arrays([pa.array(known[some]), pa.array(hits[some])], names=["pattern", "total"])
 
-        texts = docs.select(F.col("text").cast("string").alias("text"))
-        found = map_slices(texts, count, "pattern long, total long")
+        found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "pattern long, total long")
         found = found.groupBy("pattern").agg(F.sum("total").alias("total"))
         counts = found if counts is None else counts.union(found)
     return counts if counts is not None else wanted.select("pattern", F.lit(0).cast("long").alias("total"))
 
 
+def _worthy(sizes: DataFrame, totals: DataFrame, accept: float) -> DataFrame:
+    """pattern, n and total, where instances could make the pattern worth ``accept``, were all of worth one."""
+    rows = sizes.join(totals, "pattern", "left").fillna(0, ["total"])
+    return rows.where(F.col("n") >= accept * (F.col("total") + PRIOR))
+
+
 def score_patterns(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern and worth, from edges (pattern, instance, seed, n) and the places of each pattern."""
     edges = edges.join(totals.select("pattern"), "pattern")
@@ -248,8 +259,12 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT)
     edges = each.select(sides, "instance", "seed").groupBy("pattern", "instance", "seed").agg(F.count("*").alias("n"))
     edges = saved(edges, "pii-edges")
     # patterns that enough different instances share; the others need not be counted on the texts
-    wide = edges.groupBy("pattern").agg(F.count("*").alias("k")).where(F.col("k") >= SUPPORT).select("pattern")
-    totals = saved(places(docs, wide), "pattern-places")
+    wide = edges.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where(F.col("k") >= SUPPORT)
+    wide = saved(wide.drop("k"), "pattern-sizes")
+    # of most patterns a part of the texts already has too many places; the rest are counted on all texts
+    some = docs.where(F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(PART)) == 0)
+    possible = _worthy(wide, places(some, wide.select("pattern")), accept)
+    totals = saved(_worthy(wide, places(docs, possible.select("pattern")), accept).drop("n"), "pattern-places")
     good = score_patterns(edges, totals, rounds).where(F.col("worth") >= accept).select("pattern")
     unseen = each.where("open").select("row_id", "start", "end", sides)
     found = unseen.join(good, "pattern").select("row_id", "start", "end").distinct()
