@@ -263,8 +263,9 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT)
     wide = saved(wide.drop("k"), "pattern-sizes")
     # of most patterns a part of the texts already has too many places; the rest are counted on all texts
     some = docs.where(F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(PART)) == 0)
-    possible = _worthy(wide, places(some, wide.select("pattern")), accept)
-    totals = saved(_worthy(wide, places(docs, possible.select("pattern")), accept).drop("n"), "pattern-places")
+    possible = _worthy(wide, places(some, wide.select("pattern")), accept).drop("total")
+    possible = saved(possible, "possible-patterns")
+    totals = saved(_worthy(possible, places(docs, possible.select("pattern")), accept).drop("n"), "pattern-places")
     good = score_patterns(edges, totals, rounds).where(F.col("worth") >= accept).select("pattern")
     unseen = each.where("open").select("row_id", "start", "end", sides)
     found = unseen.join(good, "pattern").select("row_id", "start", "end").distinct()
