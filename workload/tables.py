@@ -7,10 +7,13 @@ the checking database's. All fields are text, as a CSV file would hold them;
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnloom.schema import FIELD_NAMES
+from txnloom.session import size_scan
 from txnloom.sources import parquet_rows, rates_from_mapping
 
 # Invented rates, units per US dollar. Other codes count as unknown.
@@ -22,9 +25,15 @@ LATER_RATES = {"USD": 1.0, "EUR": 0.75, "GBP": 0.7525, "MXN": 18.375, "ZZZ": 2.0
 #: Ids that ``lookup_by_id`` asks for, some of which no table has.
 LOOKED_UP = tuple(str(i) for i in (3, 150, 777, 999, 12345)) + ("none", "")
 
+#: Rows in a file or a task, about, where a query makes its input.
+FILE_ROWS = 250_000
+
 #: Ids in each file that ``paced_ingest`` reads.
 PACE = 1000
 
+#: Its files for each stream, about, and its streams at most.
+PACE_FILES, PACE_STREAMS = 100, 32
+
 EVENTS = {
     "transaction_id": "CAST(event_id AS STRING)",
     "customer_id": "CAST(user_id AS STRING)",
@@ -154,9 +163,16 @@ def text_rows(source: DataFrame, table: str) -> DataFrame:
 
 def read_rows(spark: SparkSession, sf_dir: str, table: str, streaming: bool = False) -> DataFrame:
     path = f"{sf_dir}/{table}.parquet"
+    if not streaming:
+        size_scan(spark, path)
     return text_rows(parquet_rows(spark, path, streaming=streaming), table)
 
 
+def pieces(spark: SparkSession, sf_dir: str, table: str, rows: int = FILE_ROWS) -> int:
+    """How many files or tasks of at most ``rows`` rows, about, hold the table; at least one."""
+    return max(1, math.ceil(spark.read.parquet(f"{sf_dir}/{table}.parquet").count() / rows))
+
+
 def csv_line(rows: DataFrame) -> Column:
     """A row as one CSV line, quoted where needed, quotes doubled."""
     return F.to_csv(F.struct(*rows.columns), {"escape": '"', "emptyValue": ""})
