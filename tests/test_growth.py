@@ -48,6 +48,13 @@ def grown(spark, tmp_path_factory):
     return str(folder)
 
 
+def test_paced_files_are_dealt_to_streams(spark, grown, monkeypatch):
+    monkeypatch.setattr(queries, "PACE", 20)
+    monkeypatch.setattr(queries, "PACE_FILES", 4)
+    rows = queries.paced_ingest(spark, grown).collect()
+    assert [row["n_rows"] for row in rows] == [20] * (EVENTS // 20)
+
+
 def test_scan_tasks_are_cut_by_rows(spark, tmp_path, conf):
     conf("spark.sql.files.maxPartitionBytes", "128m")
     path = str(tmp_path / "rows")

@@ -42,13 +42,13 @@ class BatchReport:
 
 
 class Backlog(StreamingQueryListener):
-    """Keeps the last ``most`` reports; add it with ``spark.streams.addListener``.
+    """Keeps the last ``most`` reports, or all with None; add it with ``spark.streams.addListener``.
 
     Topics report how many records they are ahead; for folders ask ``files_behind``. A
     backlog that grows from report to report means that the pace is too low.
     """
 
-    def __init__(self, most: int = 10_000):
+    def __init__(self, most: int | None = 10_000):
         self.reports: deque[BatchReport] = deque(maxlen=most)
         self._ended: dict[str, threading.Event] = {}
 
@@ -85,4 +85,5 @@ class Backlog(StreamingQueryListener):
         """The reports of a query that has ended, all of them: events come a little later."""
         if not self._end(str(query.runId)).wait(timeout):
             raise TimeoutError("the query has not ended")
-        return [report for report in self.reports if report.run_id == str(query.runId)]
+        reports = list(self.reports)  # those of other queries may still come in
+        return [report for report in reports if report.run_id == str(query.runId)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from txnloom import operators as op
 from txnloom import plans, sinks, sources, streaming
 from txnloom.schema import FIELD_NAMES, HEADER_LINE, TARGET_NAMES, VELOCITY
-from txnloom.session import scratch_path
+from txnloom.session import list_names, scratch_path
 
 from .tables import (
     FIRST_LINES,
@@ -20,9 +20,12 @@ from .tables import (
     MIXED_TIMES,
     ODD_LINE,
     PACE,
+    PACE_FILES,
+    PACE_STREAMS,
     RATES,
     csv_line,
     csv_lines,
+    pieces,
     rates,
     read_rows,
 )
@@ -492,24 +495,39 @@ def stream_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def paced_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each micro-batch of a stream that may take one file of a thousand ids at a time."""
+    """Rows of each micro-batch of streams that may take one file of a thousand ids at a time.
+
+    The micro-batches of a stream wait for each other, so many files are dealt to several streams.
+    """
     folder = scratch_path(spark, "paced")
     part = F.floor(F.col("event_id") / PACE).alias("part")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", part)
-    events.repartition("part").write.partitionBy("part").parquet(folder)
-    stream = sources.parquet_rows(
-        spark, folder, "event_id long, part long", streaming=True, max_bytes_per_trigger=1
-    )
-    backlog = streaming.Backlog()
+    streams = min(PACE_STREAMS, pieces(spark, sf_dir, "events", PACE * PACE_FILES))
+    lane = F.coalesce(F.pmod("part", F.lit(streams)), F.lit(0))
+    placed = events.withColumn("lane", lane).repartition("part")
+    placed.write.partitionBy("lane", "part").parquet(folder)
+    backlog = streaming.Backlog(most=None)  # one report for each file
     spark.streams.addListener(backlog)
+    queries = []
     try:
-        out = scratch_path(spark, "paced-out")
-        checkpoint = scratch_path(spark, "checkpoint")
-        query = streaming.start_files(stream, out, checkpoint, drain=True)
-        query.awaitTermination()
-        if streaming.files_behind(spark, folder, checkpoint):
-            raise AssertionError("files are left")
-        reports = [(r.rows,) for r in backlog.of(query) if r.rows]
+        for name in list_names(spark, folder):
+            if not name.startswith("lane="):
+                continue
+            stream = sources.parquet_rows(
+                spark,
+                f"{folder}/{name}",
+                "event_id long, part long",
+                streaming=True,
+                max_bytes_per_trigger=1,
+            )
+            out, checkpoint = scratch_path(spark, "paced-out"), scratch_path(spark, "checkpoint")
+            query = streaming.start_files(stream, out, checkpoint, drain=True)
+            queries.append((query, name, checkpoint))
+        streaming.run_until_stopped(*(query for query, _, _ in queries))
+        for _, name, checkpoint in queries:
+            if streaming.files_behind(spark, f"{folder}/{name}", checkpoint):
+                raise AssertionError("files are left")
+        reports = [(r.rows,) for query, _, _ in queries for r in backlog.of(query) if r.rows]
     finally:
         spark.streams.removeListener(backlog)
     return spark.createDataFrame(reports, "n_rows long")
