@@ -48,6 +48,27 @@ def grown(spark, tmp_path_factory):
     return str(folder)
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["sink_redelivery", "graceful_stop"],
+)
+def test_many_files_give_the_same_rows(spark, grown, monkeypatch, name):
+    monkeypatch.setattr(queries, "FILE_ROWS", 30)
+    queries.use_utc(spark)
+    problem = compare(spark, connect(grown), name, getattr(queries, name), ORACLE[name], grown)
+    assert problem is None
+
+
+def test_copies_are_in_files_of_other_deliveries(spark, grown, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 30)
+    folder, each = queries.message_files(spark, grown, 4)
+    assert each == 4
+    rows = spark.read.parquet(folder).select("value", F.col("_metadata.file_path").alias("file"))
+    sizes = Counter(row["file"] for row in rows.collect())
+    assert len(sizes) == 16 and sum(sizes.values()) == 2 * EVENTS and max(sizes.values()) < 70
+    assert rows.groupBy("value").agg(F.count_distinct("file").alias("n")).where("n < 2").isEmpty()
+
+
 def test_paced_files_are_dealt_to_streams(spark, grown, monkeypatch):
     monkeypatch.setattr(queries, "PACE", 20)
     monkeypatch.setattr(queries, "PACE_FILES", 4)

@@ -14,6 +14,7 @@ from txnloom.schema import FIELD_NAMES, HEADER_LINE, TARGET_NAMES, VELOCITY
 from txnloom.session import list_names, scratch_path
 
 from .tables import (
+    FILE_ROWS,
     FIRST_LINES,
     LATER_RATES,
     LOOKED_UP,
@@ -92,15 +93,27 @@ def odd_lines(rows: DataFrame) -> DataFrame:
 MESSAGE = "value binary"
 
 
-def message_files(spark: SparkSession, sf_dir: str, files: int) -> str:
-    """A folder of published events, each twice and the copies in different files."""
+def message_files(spark: SparkSession, sf_dir: str, deliveries: int) -> tuple[str, int]:
+    """A folder of published events, each twice and the copies in different files; files of a delivery.
+
+    The number of files of a delivery grows with the table. Copies are a delivery's files apart.
+    """
     folder = scratch_path(spark, "messages")
+    each = pieces(spark, sf_dir, "events", deliveries * FILE_ROWS // 2)
+    files = deliveries * each
     sent = json_payloads(read_rows(spark, sf_dir, "events"))
     copies = sent.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(1))))
-    place = F.pmod(F.xxhash64("value") + F.col("copy"), F.lit(files))
-    placed = copies.repartition(files, place).sortWithinPartitions("copy")
+    place = F.pmod(F.xxhash64("value") + F.col("copy") * each, F.lit(files)).cast("int")
+    placed = copies.repartitionById(files, place).sortWithinPartitions("copy")
     placed.select("value").write.parquet(folder)
-    return folder
+    return folder, each
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df``, computed once into the scratch folder."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def twice(df: DataFrame) -> DataFrame:
@@ -420,7 +433,7 @@ def stream_dedup_within(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch is written, fails before it is committed, and is delivered again to a new sink."""
-    folder = message_files(spark, sf_dir, 4)
+    folder, files = message_files(spark, sf_dir, 4)
     path, checkpoint = scratch_path(spark, "committed"), scratch_path(spark, "checkpoint")
 
     def run(fail_after: int | None) -> None:
@@ -432,7 +445,7 @@ def sink_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
                 raise RuntimeError("lost after the write")
 
         stream = sources.parquet_rows(
-            spark, folder, MESSAGE, streaming=True, max_files_per_trigger=1
+            spark, folder, MESSAGE, streaming=True, max_files_per_trigger=files
         )
         rows = plans.enrich_json(stream, rates(spark))
         query = streaming.start_batches(rows, losing, checkpoint, drain=True)
@@ -535,7 +548,7 @@ def paced_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def graceful_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stop is asked for during the first micro-batch; a second run takes up the rest."""
-    folder = message_files(spark, sf_dir, 3)
+    folder, files = message_files(spark, sf_dir, 3)
     path, checkpoint = scratch_path(spark, "stopped"), scratch_path(spark, "checkpoint")
     marker = scratch_path(spark, "stop-marker")
     sink = streaming.committed_sink(path, "json")
@@ -547,7 +560,7 @@ def graceful_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for run in range(2):
         stream = sources.parquet_rows(
-            spark, folder, MESSAGE, streaming=True, max_files_per_trigger=1
+            spark, folder, MESSAGE, streaming=True, max_files_per_trigger=files
         )
         rows = plans.enrich_json(stream, rates(spark))
         query = streaming.start_batches(rows, asked, checkpoint, drain=True, marker=marker)
