@@ -491,7 +491,8 @@ def stream_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "unordered")
     rows = op.cast_fields(read_rows(spark, sf_dir, "lineitem"))
     dated = rows.withColumn("year", F.year(F.col("timestamp").cast("timestamp")))
-    dated.repartition(3, F.xxhash64("transaction_id", "city")).write.parquet(folder)
+    parts = 3 * pieces(spark, sf_dir, "lineitem", 3 * FILE_ROWS)
+    dated.repartition(parts, F.xxhash64("transaction_id", "city")).write.parquet(folder)
     files = len(spark.read.parquet(folder).inputFiles())
     stream = sources.parquet_rows(
         spark, folder, dated.schema, streaming=True, max_files_per_trigger=max(1, files // 3)
