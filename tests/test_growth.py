@@ -50,7 +50,7 @@ def grown(spark, tmp_path_factory):
 
 @pytest.mark.parametrize(
     "name",
-    ["sink_redelivery", "graceful_stop", "stream_earliest"],
+    ["sink_redelivery", "graceful_stop", "stream_chain", "stream_earliest"],
 )
 def test_many_files_give_the_same_rows(spark, grown, monkeypatch, name):
     monkeypatch.setattr(queries, "FILE_ROWS", 30)

@@ -600,15 +600,22 @@ def stream_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "chain")
     rows = scratch_path(spark, "rows")
     typed = read_rows(spark, sf_dir, "events")
-    typed.repartition(3).write.parquet(rows)
-    stream = sources.parquet_rows(spark, rows, typed.schema, streaming=True, max_files_per_trigger=1)
+    files = pieces(spark, sf_dir, "events", 3 * FILE_ROWS)
+    typed.repartition(3 * files).write.parquet(rows)
+    stream = sources.parquet_rows(
+        spark, rows, typed.schema, streaming=True, max_files_per_trigger=files
+    )
     publish = {"raw": plans.publish_json}
     streaming.run_chain(stream, publish, base, drain=True)
     links = {"normalized": plans.normalize_messages}
 
     def raw() -> DataFrame:
         return sources.parquet_rows(
-            spark, f"{base}/raw", "key string, value string", streaming=True, max_files_per_trigger=1
+            spark,
+            f"{base}/raw",
+            "key string, value string",
+            streaming=True,
+            max_files_per_trigger=files,
         )
 
     (middle,) = streaming.run_chain(raw(), links, base)
