@@ -160,7 +160,8 @@ def src_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ordered")
     rows = read_rows(spark, sf_dir, "events")
     place = F.col("transaction_id").cast("long")
-    ordered = rows.repartitionByRange(4, place).sortWithinPartitions(place)
+    ranges = 4 * pieces(spark, sf_dir, "events", 4 * FILE_ROWS)
+    ordered = rows.repartitionByRange(ranges, place).sortWithinPartitions(place)
     ordered.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
     return sources.text_lines(spark, path, first=FIRST_LINES)
 
