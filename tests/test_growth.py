@@ -50,7 +50,7 @@ def grown(spark, tmp_path_factory):
 
 @pytest.mark.parametrize(
     "name",
-    ["sink_redelivery", "graceful_stop", "stream_chain", "stream_earliest", "src_first_lines"],
+    ["sink_redelivery", "graceful_stop", "stream_chain", "stream_earliest", "bucketed_append", "src_first_lines"],
 )
 def test_many_files_give_the_same_rows(spark, grown, monkeypatch, name):
     monkeypatch.setattr(queries, "FILE_ROWS", 30)

@@ -465,8 +465,9 @@ def sink_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucketed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two writers share the table: one checks before the other has written, one delivers twice."""
     place = scratch_path(spark, "bucketed")
-    table = sinks.BucketedTable("bucketed_" + place.rpartition("-")[2], place, 8)
-    events = _event_target(spark, sf_dir)
+    buckets = 8 * pieces(spark, sf_dir, "events", 8 * FILE_ROWS)
+    table = sinks.BucketedTable("bucketed_" + place.rpartition("-")[2], place, buckets)
+    events = stored(_event_target(spark, sf_dir), "events")
     others = events.withColumn("transaction_id", F.concat(F.lit("E"), "transaction_id"))
     nothing = table.open(spark).limit(0)
     # both writers find the table empty and store the events
