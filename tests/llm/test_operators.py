@@ -634,6 +634,18 @@ def test_blocks_reach_the_optimum_of_the_whole(spark, monkeypatch):
     assert many < few <= 1.05 * best and many <= 1.02 * best
 
 
+def test_models_learn_from_all_labels_outside_the_held_out_part(spark):
+    labels = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    known = common.labelled(labels, "toxic", 4, 2)
+    wanted = labels.where("crc32(cast(doc_id as string)) % 4 != 2").count()
+    assert known.count() == wanted
+    for most in (0, 1000):
+        rows = common.with_labels(docs, known, 4, 2, most)
+        assert rows.columns == ["doc_id", "text", "label"] and rows.count() == wanted
+    assert not hasattr(toxicity, "MAX_TRAINING") and not hasattr(nbsvm, "MAX_TRAINING")
+
+
 def test_blocks_larger_than_memory_fit_the_same_model(spark, monkeypatch):
     texts = [(i, f"word{i % 7} word{i % 5} {'good' if i % 2 else 'bad'} end") for i in range(60)]
     rows = spark.createDataFrame([(i % 2, i, i % 2, t) for i, t in texts], "block int, key long, label int, text string")

@@ -27,13 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_columns, filter_slices, labelled, logistic_fit, map_slices, remainder, saved
+from .common import doc_columns, filter_slices, labelled, logistic_fit, map_slices, remainder, saved, with_labels
 from .tokens import LOWER, WORDLIKE, Texts, run_hashes
 
 PARTS, HELD = 4, 2
 THRESHOLD = 0.3
-#: Labelled documents to learn from, at most.
-MAX_TRAINING = 40_000
 #: Tokens in the model, at most, by weight of evidence.
 MAX_TOKENS = 65_536
 #: Weight of the Dirichlet prior, in tokens; least documents of a token to be tested; share of the
@@ -147,9 +145,10 @@ def least_surprise(steps: np.ndarray, counts: np.ndarray, common: np.ndarray) ->
     return float(steps[good[-1]]) / FINE if len(good) else float("inf")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_training: int = MAX_TRAINING) -> Model:
-    known = F.broadcast(labelled(labels, "toxic", PARTS, HELD, max_training))  # bounded
-    training = saved(doc_columns(docs).join(known, "doc_id"), "toxic-training")
+def train(docs: DataFrame, labels: DataFrame, max_training: int | None = None) -> Model:
+    """The model of all labelled documents outside the held-out part, or of ``max_training``."""
+    known = saved(labelled(labels, "toxic", PARTS, HELD, max_training), "toxic-labels")
+    training = saved(with_labels(docs, known, PARTS, HELD), "toxic-training")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, toxic = Texts(batch.column(1)), batch.column(2).to_numpy()
