@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.oracle_check import compare, connect
-from txnloom.session import size_scan
+from txnloom.session import input_files, size_scan
 from workload import queries
 from workload.oracle import ORACLE
 
@@ -76,6 +76,21 @@ def test_paced_files_are_dealt_to_streams(spark, grown, monkeypatch):
     assert [row["n_rows"] for row in rows] == [20] * (EVENTS // 20)
 
 
+def test_paced_files_are_written_by_several_tasks(spark, grown, monkeypatch):
+    monkeypatch.setattr(queries, "PACE", 20)
+    monkeypatch.setattr(queries, "PACE_FILES", 4)
+    made, scratch = {}, queries.scratch_path
+
+    def noted(spark, label):
+        return made.setdefault(label, scratch(spark, label)) if label == "paced" else scratch(spark, label)
+
+    monkeypatch.setattr(queries, "scratch_path", noted)
+    queries.paced_ingest(spark, grown)
+    files = [path.rpartition("/") for path in input_files(spark, made["paced"])]
+    assert len(files) == len({folder for folder, _, _ in files}) == EVENTS // 20
+    assert len({name[:10] for _, _, name in files}) > 1
+
+
 def test_scan_tasks_are_cut_by_rows(spark, tmp_path, conf):
     conf("spark.sql.files.maxPartitionBytes", "128m")
     path = str(tmp_path / "rows")

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
+import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from tests.conftest import plan_of, values
 from tests.test_streaming import message_folder, stream_of
 from tests.test_jobs import files  # noqa: F401
-from txnloom import jobs, plans, sinks, sources, streaming
+from txnloom import jobs, plans, session, sinks, sources, streaming
 from txnloom import operators as op
 from txnloom.session import list_names, path_exists, scratch_path
 from txnloom.sources import RateBook, rates_from_mapping
@@ -84,6 +89,106 @@ def test_the_backlog_falls_as_files_are_taken(spark, payload):
         stream_of(spark, folder, max_bytes_per_trigger=1, max_files_per_trigger=1)
 
 
+def test_a_report_comes_in_one_call_not_field_by_field(spark, payload, monkeypatch):
+    folder, add = message_folder(spark, [payload()])
+    for i in range(3):
+        add(payload(transaction_id=str(i)), payload())
+    slow, convert = [], StreamingQueryProgress.fromJObject
+
+    def counted(progress):
+        slow.append(progress)
+        return convert(progress)
+
+    monkeypatch.setattr(StreamingQueryProgress, "fromJObject", counted)
+    backlog = streaming.Backlog()
+    spark.streams.addListener(backlog)
+    try:
+        stream = stream_of(spark, folder, max_bytes_per_trigger=1)
+        out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "check")
+        query = streaming.start_files(stream, out, checkpoint, drain=True)
+        query.awaitTermination()
+        reports = [(r.batch_id, r.rows) for r in backlog.of(query) if r.rows]
+    finally:
+        spark.streams.removeListener(backlog)
+    assert reports == [(0, 1), (1, 2), (2, 2), (3, 2)]
+    assert len(slow) <= 1
+
+
+def _report(query, batch_id, rows=1):
+    return json.dumps(
+        {
+            "runId": str(query.runId),
+            "batchId": batch_id,
+            "numInputRows": rows,
+            "batchDuration": 1500,
+            "sources": [{"metrics": {"maxOffsetsBehindLatest": "2"}}, {}],
+        }
+    )
+
+
+def _ended(last=None):
+    return SimpleNamespace(runId=uuid.uuid4(), isActive=False, lastProgress=last)
+
+
+def test_reports_that_still_come_in_are_waited_for():
+    backlog, query = streaming.Backlog(), _ended()
+
+    def late():
+        for batch_id in range(5):
+            backlog.keep(_report(query, batch_id))
+            time.sleep(0.3)
+        backlog.onQueryTerminated(SimpleNamespace(runId=query.runId))
+
+    thread = threading.Thread(target=late)
+    thread.start()
+    reports = backlog.of(query, timeout=1.0)
+    thread.join()
+    assert [(r.batch_id, r.seconds, r.backlog) for r in reports] == [
+        (batch_id, 1.5, {"maxOffsetsBehindLatest": 2.0}) for batch_id in range(5)
+    ]
+    with pytest.raises(TimeoutError):
+        backlog.of(_ended(), timeout=0.1)
+
+
+@pytest.mark.parametrize(
+    "seen, last, whole",
+    [
+        ([3, 4, 5], (5, 1), True),
+        ([3, 4, 5], (6, 0), True),  # the idle trigger after the last batch
+        ([3, 5], (5, 1), False),
+        ([3, 4], (5, 1), False),
+        ([3, 4], (6, 0), False),
+    ],
+)
+def test_lost_reports_are_an_error(seen, last, whole):
+    backlog = streaming.Backlog(most=2)
+    query = _ended(SimpleNamespace(batchId=last[0], numInputRows=last[1]))
+    for batch_id in seen:
+        backlog.keep(_report(query, batch_id))
+    backlog.onQueryTerminated(SimpleNamespace(runId=query.runId))
+    if whole:
+        assert [r.batch_id for r in backlog.of(query)] == seen[-2:]
+    else:
+        with pytest.raises(RuntimeError, match="lost"):
+            backlog.of(query)
+
+
+def test_files_are_listed_alike_on_a_local_disk_and_elsewhere(spark, tmp_path):
+    for name in ("b=1/y", "b=1/.y.crc", "a/deep/z", "a/_SUCCESS", "_hidden/x", "top"):
+        place = tmp_path / "files" / name
+        place.parent.mkdir(parents=True, exist_ok=True)
+        place.write_text("x")
+    base = f"file:{tmp_path}/files"
+    every = [f"{base}/{name}" for name in ("_hidden/x", "a/deep/z", "b=1/y", "top")]
+    for path, want in ((base, every), (f"{base}/*=1", every[2:3]), (f"{base}/top", every[3:]), (f"{base}/no", [])):
+        assert session.input_files(spark, path) == want
+        file_system, jvm_path = session._located(spark, path)
+        for start in file_system.globStatus(jvm_path) or ():
+            lists = (session._listed, session._walked)
+            listed, walked = ({f.toString() for f in way(file_system, start.getPath())} for way in lists)
+            assert listed == walked
+
+
 # ---------------------------------------------------------------- rates
 
 

@@ -520,7 +520,7 @@ def paced_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", part)
     streams = min(PACE_STREAMS, pieces(spark, sf_dir, "events", PACE * PACE_FILES))
     lane = F.coalesce(F.pmod("part", F.lit(streams)), F.lit(0))
-    placed = events.withColumn("lane", lane).repartition("part")
+    placed = events.withColumn("lane", lane).repartition(streams, "part")
     placed.write.partitionBy("lane", "part").parquet(folder)
     backlog = streaming.Backlog(most=None)  # one report for each file
     spark.streams.addListener(backlog)
