@@ -19,6 +19,7 @@ from txnloom import jobs, plans, session, sinks, sources, streaming
 from txnloom import operators as op
 from txnloom.session import list_names, path_exists, scratch_path
 from txnloom.sources import RateBook, rates_from_mapping
+from workload import queries
 
 
 # ---------------------------------------------------------------- stopping
@@ -173,6 +174,50 @@ def test_lost_reports_are_an_error(seen, last, whole):
             backlog.of(query)
 
 
+def test_logs_on_a_local_disk_are_written_by_fewer_processes(spark, payload, conf, monkeypatch):
+    folder, add = message_folder(spark, [payload()])
+    out, checkpoint = scratch_path(spark, "out"), scratch_path(spark, "check")
+    key = "spark.sql.streaming.checkpointFileManagerClass"
+    spark_streaming = "org.apache.spark.sql.execution.streaming"
+
+    def run():
+        with streaming.plain_logs(spark, out):
+            query = streaming.start_files(stream_of(spark, folder), out, checkpoint, drain=True)
+            query.awaitTermination()
+        used = query._jsq.streamingQuery().sparkSessionForStream().conf().get(key)
+        return used.rpartition(".")[2], spark.read.schema("value string").parquet(out).count()
+
+    assert not session.has_class(spark, "org.apache.spark.NoSuchThing")
+    assert run() == ("FileSystemBasedCheckpointFileManager", 1)
+    assert spark.conf.get(key, None) is None
+    add(payload(transaction_id="2"))
+    # a setting of the session stays, and either continues the logs of the other
+    package = session.has_class(spark, f"{spark_streaming}.checkpointing.CheckpointFileManager")
+    chosen = spark_streaming + ".checkpointing" * package + ".FileContextBasedCheckpointFileManager"
+    conf(key, chosen)
+    assert run() == ("FileContextBasedCheckpointFileManager", 2)
+    assert spark.conf.get(key) == chosen
+    spark.conf.unset(key)
+    add(payload(transaction_id="3"))
+    assert run() == ("FileSystemBasedCheckpointFileManager", 3)
+    # elsewhere nothing changes
+    monkeypatch.setattr(streaming.runner, "on_local_disk", lambda *_: False)
+    with streaming.plain_logs(spark, out):
+        assert spark.conf.get(key, None) is None
+
+
+def test_paced_streams_write_plain_logs(spark, sf_dir, monkeypatch):
+    seen, start = [], streaming.start_files
+
+    def noted(*args, **more):
+        seen.append(spark.conf.get("spark.sql.streaming.checkpointFileManagerClass", "usual"))
+        return start(*args, **more)
+
+    monkeypatch.setattr(streaming, "start_files", noted)
+    queries.paced_ingest(spark, sf_dir)
+    assert seen and all(name.endswith(".FileSystemBasedCheckpointFileManager") for name in seen)
+
+
 def test_files_are_listed_alike_on_a_local_disk_and_elsewhere(spark, tmp_path):
     for name in ("b=1/y", "b=1/.y.crc", "a/deep/z", "a/_SUCCESS", "_hidden/x", "top"):
         place = tmp_path / "files" / name

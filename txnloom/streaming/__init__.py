@@ -8,6 +8,7 @@ from .runner import (
     finish,
     jdbc_sink,
     parquet_sink,
+    plain_logs,
     request_stop,
     run_chain,
     run_until_stopped,
@@ -31,6 +32,7 @@ __all__ = [
     "finish",
     "jdbc_sink",
     "parquet_sink",
+    "plain_logs",
     "request_stop",
     "run_chain",
     "run_until_stopped",

@@ -520,26 +520,27 @@ def paced_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", part)
     streams = min(PACE_STREAMS, pieces(spark, sf_dir, "events", PACE * PACE_FILES))
     lane = F.coalesce(F.pmod("part", F.lit(streams)), F.lit(0))
-    placed = events.withColumn("lane", lane).repartition(streams, "part")
+    placed = events.withColumn("lane", lane).repartition("part")
     placed.write.partitionBy("lane", "part").parquet(folder)
     backlog = streaming.Backlog(most=None)  # one report for each file
     spark.streams.addListener(backlog)
     queries = []
     try:
-        for name in list_names(spark, folder):
-            if not name.startswith("lane="):
-                continue
-            stream = sources.parquet_rows(
-                spark,
-                f"{folder}/{name}",
-                "event_id long, part long",
-                streaming=True,
-                max_bytes_per_trigger=1,
-            )
-            out, checkpoint = scratch_path(spark, "paced-out"), scratch_path(spark, "checkpoint")
-            query = streaming.start_files(stream, out, checkpoint, drain=True)
-            queries.append((query, name, checkpoint))
-        streaming.run_until_stopped(*(query for query, _, _ in queries))
+        with streaming.plain_logs(spark, folder):
+            for name in list_names(spark, folder):
+                if not name.startswith("lane="):
+                    continue
+                stream = sources.parquet_rows(
+                    spark,
+                    f"{folder}/{name}",
+                    "event_id long, part long",
+                    streaming=True,
+                    max_bytes_per_trigger=1,
+                )
+                out, checkpoint = scratch_path(spark, "paced-out"), scratch_path(spark, "checkpoint")
+                query = streaming.start_files(stream, out, checkpoint, drain=True)
+                queries.append((query, name, checkpoint))
+            streaming.run_until_stopped(*(query for query, _, _ in queries))
         for _, name, checkpoint in queries:
             if streaming.files_behind(spark, f"{folder}/{name}", checkpoint):
                 raise AssertionError("files are left")
